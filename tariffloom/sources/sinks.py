@@ -6,8 +6,12 @@ name, so a lost executor can recompute its input at any time.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from tariffloom.session import checkpoint_dir
+
 
 def write_cache(df: DataFrame, path: str) -> None:
     """Price cache as Parquet, laid out for the search filters: country and city prune directories."""
@@ -45,3 +49,13 @@ def replace_table(spark: SparkSession, df: DataFrame, name: str) -> None:
     create_table_as(df, staged)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write an intermediate table once, in the shared checkpoint folder, and read it back.
+
+    It survives lost executors, cuts the lineage, and keeps column pruning and filter pushdown for its readers.
+    """
+    path = f"{checkpoint_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
