@@ -23,9 +23,8 @@ def weekday_mask(prefix: str = "") -> Column:
 
 def days_in_mask(mask: Column, counts: Column) -> Column:
     """Stay nights that fall on a weekday of the mask; ``counts`` holds the nights per day number."""
-    return F.aggregate(
-        mask, F.lit(0), lambda acc, d: acc + F.coalesce(F.element_at(counts, d + 1), F.lit(0))
-    )
+    days_on = F.filter(mask, lambda d: d.isNotNull())
+    return F.aggregate(days_on, F.lit(0), lambda acc, d: acc + F.element_at(counts, d + 1))
 
 
 def discount_days(mask: Column, counts: Column, application_type: Column) -> Column:

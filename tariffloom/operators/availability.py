@@ -9,6 +9,7 @@ from tariffloom.functions import intervals as iv
 from tariffloom.functions import party
 from tariffloom.functions.keys import md5_key
 from tariffloom.params import Stay
+from tariffloom.schemas import MONEY
 
 ROOM_KEY = ("file_id", "room_type", "characteristic", "base_board", "is_price_per_pax")
 ROOM = ["file_id", "room_type", "characteristic"]
@@ -23,13 +24,14 @@ def touching(prices: DataFrame, stay: Stay) -> DataFrame:
 
 def available_rooms(prices: DataFrame, stay: Stay, key: tuple[str, ...] = ROOM_KEY) -> DataFrame:
     """Coverage by summed nights. One aggregation on the full room key, combined before its shuffle, and done
-    before any join: what follows works on rooms, not on price rows."""
+    before any join: what follows works on rooms, not on price rows. Money is summed as decimal, so the sum does
+    not depend on how the rows were partitioned."""
     return (
         touching(prices, stay)
         .groupBy(*key)
         .agg(
             F.sum("nights").cast("bigint").alias("sum_nights"),
-            F.sum(F.col("nights") * F.col("amount")).alias("stay_amount"),
+            F.sum(F.col("nights") * F.col("amount").cast(MONEY)).alias("stay_amount"),
         )
         .filter(F.col("sum_nights") >= stay.nights)
     )
@@ -61,7 +63,7 @@ def covered_rooms(prices: DataFrame, stay: Stay, key: tuple[str, ...] = ROOM_KEY
         .agg(
             F.countDistinct("night").alias("covered_nights"),
             F.count(F.lit(1)).alias("priced_nights"),
-            F.sum("amount").alias("amount"),
+            F.sum(F.col("amount").cast(MONEY)).alias("amount"),
         )
         .filter(F.col("covered_nights") == stay.nights)
     )
@@ -105,8 +107,8 @@ def offers(tables, stay: Stay) -> DataFrame:
         .filter(fits(F.col("paxes"), F.col("childes")))
         .select(
             md5_key("file_id", "room_type", "characteristic", "base_board").alias("cnct_id"),
-            *ROOM_KEY, "sum_nights", "stay_amount",
-            (F.col("stay_amount") / F.col("sum_nights")).alias("amount"),
+            *ROOM_KEY, "sum_nights", F.col("stay_amount").cast("double").alias("stay_amount"),
+            (F.col("stay_amount").cast("double") / F.col("sum_nights")).alias("amount"),
             "hotel_code", "contract_number", "contract_name", "currency", "country_code", "city_code",
             "standard_capacity", "min_pax", "max_pax", "max_adult", "max_children", "max_infant", "min_adult",
             "guests", "paxes", "adults", "childes", "infants",

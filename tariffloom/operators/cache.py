@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from tariffloom.functions import intervals as iv
 from tariffloom.functions import predicates as pr
+from tariffloom.functions import pricing as px
 from tariffloom.functions.keys import md5_key
 from tariffloom.operators.availability import ROOM
 from tariffloom.operators.matching import match_rules
 from tariffloom.params import Stay
+from tariffloom.schemas import MONEY
 
 CAPACITY = [
     "standard_capacity", "min_pax", "max_pax", "max_adult", "max_children", "max_infant", "min_adult", "min_children",
@@ -143,6 +145,30 @@ def cached_offers(cache: DataFrame, stay: Stay) -> DataFrame:
     nights = iv.common_nights(lo, hi, stay.lo, stay.hi)
     return (
         found.groupBy(*CACHE_OFFER, *BOARD_TERM)
-        .agg(F.sum(nights).cast("bigint").alias("sum_nights"), F.sum(nights * F.col("amount")).alias("stay_amount"))
+        .agg(F.sum(nights).cast("bigint").alias("sum_nights"), F.sum(nights * F.col("amount").cast(MONEY)).alias("stay_amount"))
         .filter(F.col("sum_nights") >= stay.nights)
     )
+
+
+def priced_offers(cache: DataFrame, stay: Stay) -> DataFrame:
+    """Room and board price per offer for one night, and the price of the stay.
+
+    A board term counts when it has no age limit or some guest is inside it; the terms of an offer are added up.
+    """
+    guests = F.lit(len(stay.ages))
+    allowed = iv.is_empty(F.col("cnsr_pax_ages")) | F.exists(
+        stay.ages_col, lambda age: iv.in_range(age, F.col("cnsr_pax_ages"))
+    )
+    nightly = F.col("stay_amount").cast("double") / F.col("sum_nights")
+    room = px.room_total(nightly, F.col("is_price_per_pax"), guests)
+    term = px.board_term(
+        room, F.col("is_price_per_pax"), F.col("standard_capacity"), guests,
+        F.col("cnsr_amount"), F.col("cnsr_percentage"), F.col("cnsr_is_per_pax"),
+    )
+    return (
+        cached_offers(cache, stay)
+        .filter(allowed)
+        .groupBy(*CACHE_OFFER, "sum_nights", "stay_amount")
+        .agg(F.max(room).alias("room_price"), F.sum(term).alias("board_price"), F.count(F.lit(1)).alias("terms"))
+        .withColumn("price", (F.col("room_price") + F.col("board_price")) * stay.nights)
+    )

@@ -17,9 +17,11 @@ def prefix_join(left: DataFrame, text: str, names: DataFrame, name: str) -> Data
     """
     known = names.select(F.upper(name).alias("prefix"), F.col(name))
     lengths = known.agg(F.collect_set(F.length("prefix")).alias("lengths")).scalar()
-    usable = F.filter(lengths, lambda n: n <= F.length(text))
-    tried = left.select(text).distinct().withColumn(
-        "prefix", F.explode(F.transform(usable, lambda n: F.substring(F.col(text), F.lit(1), n)))
+    tried = (
+        left.select(text).distinct()
+        .withColumn("n", F.explode(lengths))
+        .filter(F.col("n") <= F.length(text))
+        .select(text, F.substring(F.col(text), F.lit(1), F.col("n")).alias("prefix"))
     )
     hits = tried.join(known, "prefix").drop("prefix")
     return left.join(hits, text, "left")
