@@ -1,6 +1,7 @@
 """Guests of one party against the child-age bounds of a contract, without a cross join.
 
-The party is a short array carried by the row, so classifying it needs neither a join nor a shuffle.
+The party is a short array carried by the row, so classifying it needs neither a join nor a shuffle. The
+expressions read the columns ``ages``, ``minimum_child_age`` and ``maximum_child_age``.
 """
 
 from __future__ import annotations
@@ -8,49 +9,40 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_CHILD = "between minimum_child_age and maximum_child_age"
+_INFANT = "< minimum_child_age"
+_NUMBERED = "transform(reverse(array_sort(ages)), (a, i) -> struct(i + 1 as pax_id, a as age))"
 
-def numbered(ages: Column) -> Column:
-    """Guest number 1.. by age, oldest first."""
-    ordered = F.reverse(F.array_sort(ages))
-    return F.transform(ordered, lambda age, i: F.struct((i + 1).alias("pax_id"), age.alias("age")))
 
+def _youngest_first(test: str) -> str:
+    """Numbers of the guests whose age passes, youngest first, ties by guest number."""
+    picked = f"filter({_NUMBERED}, g -> g.age {test})"
+    by_age = f"array_sort(transform({picked}, g -> struct(g.age as age, g.pax_id as pax_id)))"
+    return f"transform({by_age}, g -> g.pax_id)"
 
-def _ordinal(guests: Column, member) -> Column:
-    """Ids of the guests that satisfy ``member``, youngest first, ties by guest number."""
-    picked = F.array_sort(
-        F.transform(F.filter(guests, member), lambda g: F.struct(g["age"], g["pax_id"]))
-    )
-    return F.transform(picked, lambda g: g["pax_id"])
+
+def numbered() -> Column:
+    """Guest number 1.. by age, oldest first."""
+    return F.expr(_NUMBERED)
 
 
-def classified(ages: Column, child_from: Column, child_to: Column) -> Column:
+def classified() -> Column:
     """Array of guests with their child and infant ordinals (NULL where a guest is neither)."""
-    guests = numbered(ages)
-    children = _ordinal(guests, lambda g: (child_from <= g["age"]) & (g["age"] <= child_to))
-    infants = _ordinal(guests, lambda g: g["age"] < child_from)
-
-    def position(ids: Column, pax: Column) -> Column:
-        return F.nullif(F.array_position(ids, pax).cast("int"), F.lit(0))
-
-    return F.transform(
-        guests,
-        lambda g: F.struct(
-            g["pax_id"].alias("pax_id"),
-            g["age"].alias("age"),
-            position(children, g["pax_id"]).alias("child_id"),
-            position(infants, g["pax_id"]).alias("infant_id"),
-        ),
+    nth = "cast(nullif(array_position({}, g.pax_id), 0) as int)"
+    return F.expr(
+        f"transform({_NUMBERED}, g -> struct(g.pax_id as pax_id, g.age as age, "
+        f"{nth.format(_youngest_first(_CHILD))} as child_id, {nth.format(_youngest_first(_INFANT))} as infant_id))"
     )
 
 
-def ages_of_children(ages: Column, child_from: Column, child_to: Column) -> Column:
-    return F.filter(ages, lambda a: (a >= child_from) & (a <= child_to))
+def ages_of_children() -> Column:
+    return F.expr(f"filter(ages, a -> a {_CHILD})")
 
 
-def ages_of_infants(ages: Column, child_from: Column) -> Column:
-    return F.filter(ages, lambda a: a < child_from)
+def ages_of_infants() -> Column:
+    return F.expr(f"filter(ages, a -> a {_INFANT})")
 
 
-def ages_of_adults(ages: Column, child_to: Column) -> Column:
+def ages_of_adults() -> Column:
     """Adult from the first age above the child bound: no age falls between the bands."""
-    return F.filter(ages, lambda a: a > child_to)
+    return F.expr("filter(ages, a -> a > maximum_child_age)")

@@ -18,7 +18,7 @@ def day_number(date: Column) -> Column:
 
 def weekday_mask(prefix: str = "") -> Column:
     """Seven entries, the day number where the flag is 'Y', NULL elsewhere."""
-    return F.array(*[F.when(F.col(prefix + name) == "Y", F.lit(i)) for i, name in enumerate(DAY_FLAGS)])
+    return F.expr("array(" + ", ".join(f"if({prefix}{name} = 'Y', {i}, null)" for i, name in enumerate(DAY_FLAGS)) + ")")
 
 
 def days_in_mask(mask: Column, counts: Column) -> Column:

@@ -69,16 +69,17 @@ def covered_rooms(prices: DataFrame, stay: Stay, key: tuple[str, ...] = ROOM_KEY
     )
 
 
-def with_party(ccon: DataFrame, ages: Column) -> DataFrame:
+def with_party(contracts: DataFrame, ages: Column) -> DataFrame:
     """Guests of the party per contract, classified by the contract's child-age bounds."""
-    lo, hi = F.col("minimum_child_age"), F.col("maximum_child_age")
-    guests = party.classified(ages, lo, hi)
     return (
-        ccon.withColumn("guests", guests)
-        .withColumn("childes", F.size(party.ages_of_children(ages, lo, hi)))
-        .withColumn("infants", F.size(party.ages_of_infants(ages, lo)))
-        .withColumn("paxes", F.size("guests") - F.col("infants"))
-        .withColumn("adults", F.col("paxes") - F.col("childes"))
+        contracts.withColumn("ages", ages)
+        .withColumns({
+            "guests": party.classified(),
+            "childes": F.size(party.ages_of_children()),
+            "infants": F.size(party.ages_of_infants()),
+        })
+        .selectExpr("*", "size(ages) - infants as paxes", "size(ages) - infants - childes as adults")
+        .drop("ages")
     )
 
 

@@ -13,6 +13,8 @@ Guest-type rules only add constants; general rules may reset a total, or scale t
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,136 +64,139 @@ def rules_to_price(listed: DataFrame, stay: Stay) -> DataFrame:
     )
 
 
-def _cases(*branches: tuple[Column, Column], default: float) -> Column:
-    out = F.lit(default)
-    for condition, value in reversed(branches):
-        out = F.when(condition, value).otherwise(out)
-    return out
-
-
-def guest_additions() -> tuple[Column, Column]:
-    """What a guest-type rule adds to the room total and to the board total, for all guests it meets."""
-    amount, pct, d = F.col("amount"), F.col("percentage"), F.col("days")
-    p, c = F.nullif(F.col("paxes"), F.lit(0)), F.nullif(F.col("standard_capacity"), F.lit(0))
-    app = F.col("application_type")
-    per_guest, board_per_guest = F.col("room_flag") == "Y", F.col("board_flag") == "Y"
-    board_per_service = F.col("board_flag") == "N"
-    s, sb, g, gb = F.col("sbp_1"), F.col("sbbp_1"), F.col("pbp_1"), F.col("pbbp_1")
-    has_amount, has_pct = px.present(amount), px.present(pct)
-
-    on_room, on_board = app.isin(*px.ROOM_APPLICATIONS), app.isin(*px.BOARD_APPLICATIONS)
-    absolute = (app == px.ABSOLUTE) & has_amount
-    with_board = (app == px.ABSOLUTE_PLUS_BOARD) & has_amount
-    room = _cases(
-        (on_room & has_amount, amount / p * d),
-        (on_room & has_pct & per_guest, pct / 100 * g / p * d),
-        (on_room & has_pct, pct / 100 * s / c * d),
-        (absolute & per_guest, (amount - g) / p * d),
-        (absolute, (amount / p - s / c) * d),
-        (with_board & per_guest & board_per_service, (amount - g + gb) / p * d),
-        (with_board & per_guest & board_per_guest, (amount / p - g / p + sb) * d),
-        (with_board & ~per_guest & board_per_service, (amount / p - g / c + sb / c) * d),
-        (with_board & ~per_guest & board_per_guest, (amount / p - g / c + gb) * d),
-        default=0.0,
-    )
-    board = _cases(
-        (on_board & has_amount & (board_per_guest | board_per_service), amount / p * d),
-        (on_board & has_pct & board_per_guest, pct / 100 * gb / p * d),
-        (on_board & has_pct & board_per_service, pct / 100 * sb / c * d),
-        default=0.0,
+def _quoted(values: tuple[str, ...]) -> str:
+    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
+# conditions on a rule and its offer, by name
+_TERMS = {
+    "GUEST": f"type in {_quoted(px.GUEST_TYPES)}",
+    "GENERAL": f"type in {_quoted(px.GENERAL_TYPES)}",
+    "ON_ROOM": f"application_type in {_quoted(px.ROOM_APPLICATIONS)}",
+    "ON_BOARD": f"application_type in {_quoted(px.BOARD_APPLICATIONS)} and board_flag is not null",
+    "ABSOLUTE": f"application_type = '{px.ABSOLUTE}' and HAS_AMOUNT",
+    "PLUS_BOARD": f"application_type = '{px.ABSOLUTE_PLUS_BOARD}' and HAS_AMOUNT and board_flag is not null",
+    "HAS_AMOUNT": "coalesce(amount, 0) <> 0",
+    "HAS_PERCENT": "coalesce(percentage, 0) <> 0",
+    "ROOM_Y": "room_flag = 'Y'",
+    "BOARD_Y": "board_flag = 'Y'",
+}
+
+
+def _cases(*branches: tuple[str, str], default: str) -> str:
+    """First branch whose named conditions hold."""
+    text = " ".join(f"when {condition} then {value}" for condition, value in branches)
+    for _ in range(2):  # a condition may name another one
+        for name, sql in _TERMS.items():
+            text = re.sub(rf"\b{name}\b", f"({sql})", text)
+    return f"cast(case {text} else {default} end as double)"
+
+
+# what a guest-type rule adds to the totals, for every guest it meets; p and c are guests and room capacity
+GUEST_ADDS_ROOM = _cases(
+    ("ON_ROOM and HAS_AMOUNT", "times * days * amount / p"),
+    ("ON_ROOM and HAS_PERCENT and ROOM_Y", "times * days * percentage / 100 * pbp_1 / p"),
+    ("ON_ROOM and HAS_PERCENT", "times * days * percentage / 100 * sbp_1 / c"),
+    ("ABSOLUTE and ROOM_Y", "times * days * (amount - pbp_1) / p"),
+    ("ABSOLUTE", "times * days * (amount / p - sbp_1 / c)"),
+    ("PLUS_BOARD and ROOM_Y and BOARD_Y", "times * days * (amount / p - pbp_1 / p + sbbp_1)"),
+    ("PLUS_BOARD and ROOM_Y", "times * days * (amount - pbp_1 + pbbp_1) / p"),
+    ("PLUS_BOARD and BOARD_Y", "times * days * (amount / p - pbp_1 / c + pbbp_1)"),
+    ("PLUS_BOARD", "times * days * (amount / p - pbp_1 / c + sbbp_1 / c)"),
+    default="0",
+)
+GUEST_ADDS_BOARD = _cases(
+    ("ON_BOARD and HAS_AMOUNT", "times * days * amount / p"),
+    ("ON_BOARD and HAS_PERCENT and BOARD_Y", "times * days * percentage / 100 * pbbp_1 / p"),
+    ("ON_BOARD and HAS_PERCENT", "times * days * percentage / 100 * sbbp_1 / c"),
+    default="0",
+)
+
+# The coefficients of a rule's step. A total whose board flag the offer does not have never changes, so it enters
+# an absolute rule as a constant; the other one enters through ``from_b``.
+STEP = {
+    "keep": _cases(("GENERAL and (ABSOLUTE or PLUS_BOARD)", "0"), default="1"),
+    "from_b": _cases(
+        ("GENERAL and PLUS_BOARD and ROOM_Y and BOARD_Y", "days"),
+        ("GENERAL and PLUS_BOARD and not ROOM_Y and not BOARD_Y", "days / c"),
+        default="0",
+    ),
+    "pull_r": _cases(("GENERAL and ON_ROOM and not HAS_AMOUNT and HAS_PERCENT", "percentage / 100"), default="0"),
+    "cross": "0D",
+    "add_r": _cases(
+        ("GUEST", GUEST_ADDS_ROOM),
+        ("GENERAL and HAS_AMOUNT and (ON_ROOM or ABSOLUTE)", "days * amount"),
+        ("GENERAL and PLUS_BOARD and ROOM_Y and not BOARD_Y", "days * (amount + pbbp_1 * rest_nights / p)"),
+        ("GENERAL and PLUS_BOARD and not ROOM_Y and BOARD_Y", "days * (amount + sbbp_1 * rest_nights)"),
+        ("GENERAL and PLUS_BOARD", "days * amount"),
+        default="0",
+    ),
+    "pull_b": _cases(("GENERAL and ON_BOARD and not HAS_AMOUNT and HAS_PERCENT", "percentage / 100"), default="0"),
+    "add_b": _cases(
+        ("GUEST", GUEST_ADDS_BOARD), ("GENERAL and ON_BOARD and HAS_AMOUNT", "days * amount"), default="0"
+    ),
+    "gain_r": _cases(
+        ("GENERAL and ON_ROOM and HAS_AMOUNT", "0"), ("GENERAL and ON_ROOM and HAS_PERCENT", "percentage / 100"),
+        default="1",
+    ),
+    "set_r": _cases(("GENERAL and ON_ROOM and HAS_AMOUNT", "days * amount"), default="0"),
+    "gain_b": _cases(
+        ("GENERAL and ON_BOARD and HAS_AMOUNT", "0"), ("GENERAL and ON_BOARD and HAS_PERCENT", "percentage / 100"),
+        default="1",
+    ),
+    "set_b": _cases(("GENERAL and ON_BOARD and HAS_AMOUNT", "days * amount"), default="0"),
+}
+
+
+def with_base(rules: DataFrame, base: DataFrame) -> DataFrame:
+    """Rules next to the base prices of their offer."""
+    return rules.join(base, "cnct_id").selectExpr(
+        "*", "nullif(paxes, 0) as p", "nullif(standard_capacity, 0) as c"
     )
-    return room * F.col("times"), board * F.col("times")
 
 
 def steps(rules: DataFrame, base: DataFrame) -> DataFrame:
     """One affine step per offer and rule."""
-    df = rules.join(base, "cnct_id")
-    amount, pct, d = F.col("amount"), F.col("percentage"), F.col("days")
-    p, c = F.nullif(F.col("paxes"), F.lit(0)), F.nullif(F.col("standard_capacity"), F.lit(0))
-    app, kind = F.col("application_type"), F.col("type")
-    per_guest, board_per_guest = F.col("room_flag") == "Y", F.col("board_flag") == "Y"
-    board_per_service = F.col("board_flag") == "N"
-    has_board = board_per_guest | board_per_service
-    has_amount, has_pct = px.present(amount), px.present(pct)
-    guest, general = kind.isin(*px.GUEST_TYPES), kind.isin(*px.GENERAL_TYPES)
-
-    on_room = general & app.isin(*px.ROOM_APPLICATIONS)
-    on_board = general & app.isin(*px.BOARD_APPLICATIONS) & has_board
-    room_amount, room_pct = on_room & has_amount, on_room & ~has_amount & has_pct
-    board_amount, board_pct = on_board & has_amount, on_board & ~has_amount & has_pct
-    absolute = general & (app == px.ABSOLUTE) & has_amount
-    with_board = general & (app == px.ABSOLUTE_PLUS_BOARD) & has_amount & has_board
-    # totals of the board flag the offer does not have never change: they enter as constants
-    other_guest, other_service = F.col("pbbp_1") * F.col("rest_nights"), F.col("sbbp_1") * F.col("rest_nights")
-    add_room, add_board = guest_additions()
-    return df.select(
-        "cnct_id", *RULE_ORDER,
-        _cases((absolute | with_board, F.lit(0.0)), default=1.0).alias("keep"),
-        _cases(
-            (with_board & per_guest & board_per_guest, d.cast("double")),
-            (with_board & ~per_guest & board_per_service, d / c),
-            default=0.0,
-        ).alias("from_b"),
-        _cases((room_pct, pct / 100), default=0.0).alias("pull_r"),
-        F.lit(0.0).alias("cross"),
-        _cases(
-            (guest, add_room),
-            (room_amount | absolute, amount * d),
-            (with_board & per_guest & board_per_service, (amount + other_guest / p) * d),
-            (with_board & ~per_guest & board_per_guest, (amount + other_service) * d),
-            (with_board, amount * d),
-            default=0.0,
-        ).alias("add_r"),
-        _cases((board_pct, pct / 100), default=0.0).alias("pull_b"),
-        _cases((guest, add_board), (board_amount, amount * d), default=0.0).alias("add_b"),
-        _cases((room_amount, F.lit(0.0)), (room_pct, pct / 100), default=1.0).alias("gain_r"),
-        _cases((room_amount, amount * d), default=0.0).alias("set_r"),
-        _cases((board_amount, F.lit(0.0)), (board_pct, pct / 100), default=1.0).alias("gain_b"),
-        _cases((board_amount, amount * d), default=0.0).alias("set_b"),
+    return with_base(rules, base).selectExpr(
+        "cnct_id", *RULE_ORDER, *[f"{sql} as {name}" for name, sql in STEP.items()]
     )
 
 
-def _then(first: Column, second: Column) -> Column:
-    """Composition of two steps."""
-    a, b = (lambda n: first[n]), (lambda n: second[n])
-    out = {
-        "keep": b("keep") * a("keep"),
-        "from_b": b("keep") * a("from_b") + b("from_b"),
-        "pull_r": b("keep") * a("pull_r") + b("pull_r") * a("gain_r"),
-        "cross": b("keep") * a("cross") + b("from_b") * a("pull_b") + b("cross") * a("gain_b"),
-        "add_r": b("keep") * a("add_r") + b("from_b") * a("add_b") + b("pull_r") * a("set_r")
-        + b("cross") * a("set_b") + b("add_r"),
-        "pull_b": a("pull_b") + b("pull_b") * a("gain_b"),
-        "add_b": a("add_b") + b("pull_b") * a("set_b") + b("add_b"),
-        "gain_r": b("gain_r") * a("gain_r"),
-        "set_r": b("gain_r") * a("set_r") + b("set_r"),
-        "gain_b": b("gain_b") * a("gain_b"),
-        "set_b": b("gain_b") * a("set_b") + b("set_b"),
-    }
-    return F.struct(*[out[n].alias(n) for n in COEFFICIENTS])
-
+# composition of step a with the step b after it
+_THEN = {
+    "keep": "b.keep * a.keep",
+    "from_b": "b.keep * a.from_b + b.from_b",
+    "pull_r": "b.keep * a.pull_r + b.pull_r * a.gain_r",
+    "cross": "b.keep * a.cross + b.from_b * a.pull_b + b.cross * a.gain_b",
+    "add_r": "b.keep * a.add_r + b.from_b * a.add_b + b.pull_r * a.set_r + b.cross * a.set_b + b.add_r",
+    "pull_b": "a.pull_b + b.pull_b * a.gain_b",
+    "add_b": "a.add_b + b.pull_b * a.set_b + b.add_b",
+    "gain_r": "b.gain_r * a.gain_r",
+    "set_r": "b.gain_r * a.set_r + b.set_r",
+    "gain_b": "b.gain_b * a.gain_b",
+    "set_b": "b.gain_b * a.set_b + b.set_b",
+}
 
-def _compose(ordered: Column) -> Column:
-    start = F.struct(*[F.lit(IDENTITY[n]).alias(n) for n in COEFFICIENTS])
-    return F.aggregate(ordered, start, _then)
 
-
-def _nulls_last(name: str) -> list[Column]:
-    return [F.col(name).isNull().alias(f"{name}_is_null"), F.col(name)]
+def _compose(ordered: str) -> Column:
+    """The steps of a sorted array as one step."""
+    start = ", ".join(f"{IDENTITY[n]}D as {n}" for n in COEFFICIENTS)
+    merge = ", ".join(f"{_THEN[n]} as {n}" for n in COEFFICIENTS)
+    return F.expr(f"aggregate({ordered}, struct({start}), (a, b) -> struct({merge}))")
 
 
 def composed(stepped: DataFrame, pieces: int | None = None) -> DataFrame:
     """One step per offer. ``pieces`` fixes the number of range partitions; by default Spark sizes them."""
-    order = [c for name in RULE_ORDER for c in _nulls_last(name)]
-    spread = [F.col("cnct_id"), *order]
+    order = [f"{name} {part}".strip() for name in RULE_ORDER for part in ("is null", "")]
+    spread = [F.col("cnct_id"), *[F.expr(o) for o in order]]
     ranged = stepped.repartitionByRange(pieces, *spread) if pieces else stepped.repartitionByRange(*spread)
-    step = F.struct(*order, *[F.col(n) for n in COEFFICIENTS])
+    fields = ", ".join([f"{o} as o{i}" for i, o in enumerate(order)] + list(COEFFICIENTS))
     parts = (
         ranged.withColumn("piece", F.spark_partition_id())
         .groupBy("cnct_id", "piece")
-        .agg(_compose(F.array_sort(F.collect_list(step))).alias("step"))
+        .agg(_compose(f"array_sort(collect_list(struct({fields})))").alias("step"))
     )
-    in_order = F.transform(F.array_sort(F.collect_list(F.struct("piece", "step"))), lambda x: x["step"])
+    in_order = "transform(array_sort(collect_list(struct(piece, step))), x -> x.step)"
     return parts.groupBy("cnct_id").agg(_compose(in_order).alias("step"))
 
 
@@ -199,22 +204,20 @@ def fold_prices(listed: DataFrame, stay: Stay, pieces: int | None = None) -> Dat
     """Five prices per offer; every offer of the list comes out once, under its own ids."""
     base = base_prices(listed)
     folded = composed(steps(rules_to_price(listed, stay), base), pieces)
-    n = F.col("rest_nights")
-    per_guest, board_per_guest = F.col("room_flag") == "Y", F.col("board_flag") == "Y"
-    room_0 = F.when(per_guest, F.col("pbp_1")).otherwise(F.col("sbp_1")) * n
-    board_0 = F.when(board_per_guest, F.col("pbbp_1")).otherwise(F.col("sbbp_1")) * n
-    s = F.col("step")
-    room = F.coalesce(s["keep"] * room_0 + s["from_b"] * board_0 + s["add_r"], room_0)
-    board = F.coalesce(board_0 + s["add_b"], board_0)
-    zero = F.lit(0.0)
-    return (
-        base.join(folded, "cnct_id", "left")
-        .select(
-            "cnct_id", "file_id", "room_type", "characteristic", F.col("base_board").alias("board"),
-            F.when(per_guest, zero).otherwise(room).alias("sbprice"),
-            F.when(board_per_guest, F.col("sbbp_1") * n).otherwise(board).alias("sbbprice"),
-            F.when(per_guest, room).otherwise(zero).alias("pbprice"),
-            F.when(board_per_guest, board).otherwise(F.col("pbbp_1") * n).alias("pbbprice"),
-        )
-        .withColumn("total_price", F.col("sbprice") + F.col("sbbprice") + F.col("pbprice") + F.col("pbbprice"))
+    start = base.join(folded, "cnct_id", "left").selectExpr(
+        "*",
+        "if(room_flag = 'Y', pbp_1, sbp_1) * rest_nights as room_0",
+        "if(board_flag = 'Y', pbbp_1, sbbp_1) * rest_nights as board_0",
+    )
+    ended = start.selectExpr(
+        "*",
+        "coalesce(step.keep * room_0 + step.from_b * board_0 + step.add_r, room_0) as room",
+        "coalesce(board_0 + step.add_b, board_0) as board_total",
     )
+    return ended.selectExpr(
+        "cnct_id", "file_id", "room_type", "characteristic", "base_board as board",
+        "if(room_flag = 'Y', 0D, room) as sbprice",
+        "if(board_flag = 'Y', sbbp_1 * rest_nights, board_total) as sbbprice",
+        "if(room_flag = 'Y', room, 0D) as pbprice",
+        "if(board_flag = 'Y', board_total, pbbp_1 * rest_nights) as pbbprice",
+    ).selectExpr("*", "sbprice + sbbprice + pbprice + pbbprice as total_price")

@@ -5,8 +5,8 @@ would meet every room of it. Here a rule keeps one key (its value or the wildcar
 the four keys it can be reached by, so the whole wildcard test is an equi-join and only true matches are built.
 
 Contracts with very many rules are split further: their rules are spread over buckets, their offers visit each
-bucket. Which keys those are is counted first; the list cannot grow past ``max_keys`` whatever the data, so it
-is the one thing broadcast here.
+bucket. Which keys those are is counted first; the list is a top-k, so it cannot grow past ``max_keys`` whatever
+the data, and is the one thing broadcast here.
 """
 
 from __future__ import annotations
@@ -20,14 +20,13 @@ KEYS = ["file_id", "room_key", "char_key"]
 
 
 def crowded_keys(df: DataFrame, keys: list[str], per_bucket: int, max_keys: int = 10_000) -> DataFrame:
-    """Keys with more than ``per_bucket`` rows and the buckets they need.
+    """The ``max_keys`` most crowded keys with more than ``per_bucket`` rows, and the buckets they need.
 
-    A key must also hold more than 1/max_keys of all rows, so at most ``max_keys`` keys qualify.
+    A key that does not make the list is matched all the same, only unsplit.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return counts.filter(F.col("n") > F.greatest(F.lit(per_bucket), total / max_keys)).select(
-        *keys, F.ceil(F.col("n") / per_bucket).cast("int").alias("buckets")
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > per_bucket)
+    return counts.orderBy(F.desc("n")).limit(max_keys).selectExpr(
+        *keys, f"cast(ceil(n / {per_bucket}) as int) as buckets"
     )
 
 
@@ -38,12 +37,9 @@ def keyed_rules(rules: DataFrame) -> DataFrame:
 
 
 def keyed_offers(offers: DataFrame) -> DataFrame:
-    room, char, any_ = F.col("room_type"), F.col("characteristic"), F.lit(WILD)
-    reach = F.array(*[
-        F.struct(r.alias("room_key"), c.alias("char_key")) for r in (room, any_) for c in (char, any_)
-    ])
-    return offers.withColumn("reach", F.explode(reach)).select(
-        *offers.columns, F.col("reach.room_key").alias("room_key"), F.col("reach.char_key").alias("char_key")
+    """The four keys of an offer, as the product of two short generators."""
+    return offers.selectExpr("*", f"explode(array(room_type, '{WILD}')) as room_key").selectExpr(
+        "*", f"explode(array(characteristic, '{WILD}')) as char_key"
     )
 
 
@@ -57,17 +53,12 @@ def match_rules(
     """
     right = keyed_rules(rules)
     crowded = F.broadcast(crowded_keys(right, KEYS, per_bucket))
-    buckets = F.coalesce(F.col("buckets"), F.lit(1))
-    right = (
-        right.join(crowded, KEYS, "left")
-        .withColumn("bucket", F.pmod(F.xxhash64("rule_id"), buckets).cast("int"))
-        .drop("buckets")
+    right = right.join(crowded, KEYS, "left").selectExpr(
+        *right.columns, "cast(pmod(xxhash64(rule_id), coalesce(buckets, 1)) as int) as bucket"
     )
-    left = (
-        keyed_offers(offers)
-        .join(crowded, KEYS, "left")
-        .withColumn("bucket", F.explode(F.sequence(F.lit(0), buckets - 1)))
-        .drop("buckets")
+    left = keyed_offers(offers)
+    left = left.join(crowded, KEYS, "left").selectExpr(
+        *left.columns, "explode(sequence(0, coalesce(buckets, 1) - 1)) as bucket"
     )
     matched = left.join(right, [*KEYS, "bucket"])
     if condition is not None:

@@ -15,6 +15,7 @@ OFFER_COLUMNS = [
     "cnct_id", "file_id", "hotel_code", "room_type", "characteristic", "base_board", "rest_nights", "paxes", "adults",
     "childes", "infants", "standard_capacity", "max_pax", "max_children", "cnct_is_per_pax",
 ]
+BASE_TERMS = ("service_base_price", "pax_base_price", "service_base_board_price", "pax_base_board_price")
 
 
 def priced_boards(matched: DataFrame) -> DataFrame:
@@ -30,33 +31,61 @@ def priced_boards(matched: DataFrame) -> DataFrame:
     })
 
 
-def rule_list(offers: DataFrame, tables, stay: Stay) -> DataFrame:
-    """Union of the three families. Rows are per offer and rule; ``pax_ids`` names the guests a rule meets.
+FAMILIES = ("cnsr", "cnsu", "cngr")
+
 
-    Offers without a rule of a family keep one row with an empty code, as a left join gives.
+def matched_rules(offers: DataFrame, tables, stay: Stay) -> DataFrame:
+    """The three rule families of the offers in one shape, one row per offer and rule.
+
+    ``pax_ids`` names the guests a rule meets.
     """
-    base = offers.withColumn("rest_nights", F.lit(stay.nights)).withColumn(
-        "cnct_is_per_pax", F.col("is_price_per_pax")
-    )
-    boards = priced_boards(rules.board_rules(base, tables.table("cnsr"), stay)).select(
-        F.lit("cnsr").alias("sad_name"), *OFFER_COLUMNS, "rule_id", "pax_ids", "week_days", "cnsr_is_per_pax",
-        "board_code", "service_base_price", "pax_base_price", "service_base_board_price", "pax_base_board_price",
-        F.lit(px.BASE_RANK).alias("order"),
+    boards = priced_boards(rules.board_rules(offers, tables.table("cnsr"), stay, how="inner")).selectExpr(
+        "'cnsr' as sad_name", "cnct_id", "rule_id", "pax_ids", "week_days", "cnsr_is_per_pax", "board_code",
+        *BASE_TERMS, f"{px.BASE_RANK} as order",
     )
-    discounts = rules.discount_rules(base, tables.table("cnsu"), stay).select(
-        F.lit("cnsu").alias("sad_name"), *OFFER_COLUMNS, "rule_id", "pax_ids", "times", "week_days", "sad_code",
-        "order", "type", "application_type", F.col("sad_amount").alias("amount"),
-        F.col("sad_percentage").alias("percentage"), "cnsu_is_per_pax", "cnsu_is_cumulative",
-        "application_initial_date",
+    discounts = rules.discount_rules(offers, tables.table("cnsu"), stay, how="inner").selectExpr(
+        "'cnsu' as sad_name", "cnct_id", "rule_id", "pax_ids", "times", "week_days", "sad_code", "order", "type",
+        "application_type", "sad_amount as amount", "sad_percentage as percentage", "cnsu_is_per_pax",
+        "cnsu_is_cumulative", "application_initial_date",
     )
-    frees = rules.free_night_rules(base, tables.table("cngr"), stay).select(
-        F.lit("cngr").alias("sad_name"), *OFFER_COLUMNS, "rule_id", "week_days", "sad_code",
-        F.lit(px.FREE_NIGHT_RANK).alias("order"), "frees", "discount", "application_base_type",
-        "application_board_type", "application_discount_type", "application_stay_type",
+    frees = rules.free_night_rules(offers, tables.table("cngr"), stay, how="inner").selectExpr(
+        "'cngr' as sad_name", "cnct_id", "rule_id", "week_days", "sad_code", f"{px.FREE_NIGHT_RANK} as order", "frees",
+        "discount", "application_base_type", "application_board_type", "application_discount_type",
+        "application_stay_type",
     )
     return boards.unionByName(discounts, allowMissingColumns=True).unionByName(frees, allowMissingColumns=True)
 
 
+def rule_list(offers: DataFrame, tables, stay: Stay) -> DataFrame:
+    """Offers with their rules. A family without a rule keeps one row with an empty code, as a left join gives.
+
+    Offers and matched rules are stored: the price facts are read once and each rule family is matched once, while
+    the list itself, read several times by the steps after it, is only a join of the two.
+    """
+    found = stored(offers)
+    matched = stored(matched_rules(found, tables, stay))
+    head = found.selectExpr(
+        *[c for c in OFFER_COLUMNS if c not in ("rest_nights", "cnct_is_per_pax")],
+        f"{stay.nights} as rest_nights", "is_price_per_pax as cnct_is_per_pax", "amount as room_amount",
+    )
+    seen = matched.select("cnct_id", "sad_name").distinct()
+    blanks = head.withColumn("sad_name", F.explode(F.array(*[F.lit(f) for f in FAMILIES]))).join(
+        seen, ["cnct_id", "sad_name"], "left_anti"
+    )
+    rank = {"cnsr": px.BASE_RANK, "cngr": px.FREE_NIGHT_RANK}
+    ranks = " ".join(f"when '{k}' then {v}" for k, v in rank.items())
+    is_base = F.col("sad_name") == "cnsr"
+    room, flag, paxes = F.col("room_amount"), F.col("cnct_is_per_pax"), F.col("paxes")
+    blanks = blanks.withColumns({
+        "order": F.expr(f"case sad_name {ranks} end"),
+        "service_base_price": F.when(is_base, px.service_base_price(room, flag)),
+        "pax_base_price": F.when(is_base, px.pax_base_price(room, flag, paxes)),
+        "service_base_board_price": F.when(is_base, F.lit(0.0)),
+        "pax_base_board_price": F.when(is_base, F.lit(0.0)),
+    })
+    return head.join(matched, "cnct_id").unionByName(blanks, allowMissingColumns=True).drop("room_amount")
+
+
 def carry_board_flag(listed: DataFrame) -> DataFrame:
     """Give every row the board flag of its offer: per guest if any of its board rules is."""
     flags = listed.filter(F.col("sad_name") == "cnsr").groupBy("cnct_id").agg(
@@ -93,11 +122,5 @@ def drop_incompatible(listed: DataFrame, cnoe: DataFrame) -> DataFrame:
 
 
 def searched_list(tables, stay: Stay) -> DataFrame:
-    """Offers, their rule list, pair rules applied.
-
-    Both intermediate tables are stored: the price facts are then read once, and the list, which the pair rules
-    and the fold read several times, is built once.
-    """
-    found = stored(find_offers(tables, stay))
-    listed = stored(rule_list(found, tables, stay))
-    return drop_incompatible(listed, tables.table("cnoe"))
+    """Offers, their rule list, pair rules applied."""
+    return drop_incompatible(rule_list(find_offers(tables, stay), tables, stay), tables.table("cnoe"))

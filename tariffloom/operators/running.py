@@ -51,20 +51,19 @@ def running_sums(df: DataFrame, group: list[str], slice_by: list[str], inside: l
 def running_price(listed: DataFrame, stay) -> DataFrame:
     """Prices of an offer after each of its guest-type rules, in rule order."""
     base = fold.base_prices(listed)
-    priced = fold.rules_to_price(listed, stay).filter(F.col("type").isin(*px.GUEST_TYPES)).join(base, "cnct_id")
-    room, board = fold.guest_additions()
-    added = priced.select("cnct_id", *fold.RULE_ORDER, room.alias("room"), board.alias("board"))
+    rules = fold.rules_to_price(listed, stay).filter(F.col("type").isin(*px.GUEST_TYPES))
+    added = fold.with_base(rules, base).selectExpr(
+        "cnct_id", *fold.RULE_ORDER, f"{fold.GUEST_ADDS_ROOM} as room", f"{fold.GUEST_ADDS_BOARD} as board",
+        "room_flag", "board_flag", "sbp_1 * rest_nights as sbp", "sbbp_1 * rest_nights as sbbp",
+        "pbp_1 * rest_nights as pbp", "pbbp_1 * rest_nights as pbbp",
+    )
     run = running_sums(added, ["cnct_id"], list(SLICE), list(INSIDE), ["room", "board"])
-    n, zero = F.col("rest_nights"), F.lit(0.0)
-    per_guest, board_per_guest = F.col("room_flag") == "Y", F.col("board_flag") == "Y"
-    room_add, board_add = F.col("running_room"), F.col("running_board")
-    terms = base.select("cnct_id", "room_flag", "board_flag", "sbp_1", "sbbp_1", "pbp_1", "pbbp_1", "rest_nights")
-    return run.join(terms, "cnct_id").select(
+    return run.selectExpr(
         "cnct_id", "order", "sad_code", "rule_id", "type", "application_type",
-        (F.col("sbp_1") * n + F.when(per_guest, zero).otherwise(room_add)).alias("service_base_price"),
-        (F.col("sbbp_1") * n + F.when(board_per_guest, zero).otherwise(board_add)).alias("service_base_board_price"),
-        (F.col("pbp_1") * n + F.when(per_guest, room_add).otherwise(zero)).alias("pax_base_price"),
-        (F.col("pbbp_1") * n + F.when(board_per_guest, board_add).otherwise(zero)).alias("pax_base_board_price"),
+        "sbp + if(room_flag = 'Y', 0, running_room) as service_base_price",
+        "sbbp + if(board_flag = 'Y', 0, running_board) as service_base_board_price",
+        "pbp + if(room_flag = 'Y', running_room, 0) as pax_base_price",
+        "pbbp + if(board_flag = 'Y', running_board, 0) as pax_base_board_price",
     )
 
 

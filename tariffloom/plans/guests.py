@@ -15,7 +15,7 @@ from tariffloom.plans.common import FAMILY, ids, query
 @query
 def pax_table(t) -> DataFrame:
     """Guests of every booking request, numbered by age, oldest first."""
-    guests = t.table("requests").select("request_id", F.explode(party.numbered(F.col("ages"))).alias("g"))
+    guests = t.table("requests").select("request_id", F.explode(party.numbered()).alias("g"))
     return guests.select("request_id", "g.pax_id", "g.age")
 
 
@@ -51,13 +51,12 @@ def pax_classify(t) -> DataFrame:
 def age_bands(t) -> DataFrame:
     """Counts and lists of children, infants and adults without a row per guest."""
     bounds = t.table("ccon").select("file_id", "minimum_child_age", "maximum_child_age")
-    ages, lo, hi = F.col("ages"), F.col("minimum_child_age"), F.col("maximum_child_age")
-    children, infants = party.ages_of_children(ages, lo, hi), party.ages_of_infants(ages, lo)
+    children, infants = party.ages_of_children(), party.ages_of_infants()
     return t.table("requests").join(bounds, "file_id").select(
         "request_id",
         F.size(children).alias("childs"), ids(F.array_sort(children)).alias("child_ages"),
         F.size(infants).alias("infants"), ids(F.array_sort(infants)).alias("infant_ages"),
-        F.size(party.ages_of_adults(ages, hi)).alias("adults"),
+        F.size(party.ages_of_adults()).alias("adults"),
     )
 
 

@@ -11,7 +11,6 @@ from tariffloom.operators import cache as cache_ops
 from tariffloom.operators import fold, rule_list, running, terms
 from tariffloom.plans.common import COUPLE, FAMILY, flat_range, ids, query
 from tariffloom.search import discounts_for_stay, search, search_cache
-from tariffloom.sources.sinks import stored
 
 PRICES = ("sbprice", "sbbprice", "pbprice", "pbbprice", "total_price")
 
@@ -59,7 +58,7 @@ def _shown(listed: DataFrame) -> DataFrame:
 @query
 def rule_union(t) -> DataFrame:
     """Base rows, discounts and free nights of every offer in one list."""
-    return _shown(rule_list.carry_board_flag(stored(_list(t))))
+    return _shown(rule_list.carry_board_flag(_list(t)))
 
 
 @query
@@ -102,8 +101,7 @@ def price_fold(t) -> DataFrame:
 @query
 def running_price(t) -> DataFrame:
     """Prices of an offer after each guest-type rule."""
-    listed = stored(rule_list.rule_list(stored(av.offers(t, FAMILY)), t, FAMILY))
-    run = running.running_price(listed, FAMILY)
+    run = running.running_price(_list(t), FAMILY)
     cols = ("service_base_price", "service_base_board_price", "pax_base_price", "pax_base_board_price")
     return run.select(
         "cnct_id", F.coalesce("order", F.lit(-1)).alias("order"), "sad_code", "rule_id", "type", "application_type",

@@ -8,9 +8,7 @@ cents, so both engines see the same doubles.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tariffloom.functions.pricing import GENERAL_TYPES, GUEST_TYPES
@@ -24,39 +22,50 @@ CURRENCY = {"AFRICA": "ZAR", "AMERICA": "USD", "ASIA": "JPY", "EUROPE": "EUR", "
 BOARD_CODES = {"F": "HB", "O": "FB", "P": "BB"}
 APPLICATIONS = ("B", "N", "T", "U", "R", "A", "M")
 RULE_TYPES = GUEST_TYPES + GENERAL_TYPES
+# fixed values: columns of the shared tables; declared, so opening a table starts no inference job
+SHARED = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+}
 
 
-def _pick(values: tuple[str, ...], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index.cast("int") + 1)
+def _list(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
 
 
-def _lookup(col: Column, table: dict) -> Column:
-    return reduce(lambda acc, kv: acc.when(col == kv[0], F.lit(kv[1])), table.items(), F.when(F.lit(False), None))
+def _pick(values: tuple[str, ...], index: str) -> str:
+    return f"element_at(array({_list(values)}), cast({index} as int) + 1)"
 
 
-def _div(col: Column, n: int) -> Column:
-    return F.floor(col / n).cast("bigint")
+def _lookup(col: str, table: dict) -> str:
+    branches = " ".join(f"when '{k}' then {v!r}" for k, v in table.items())
+    return f"case {col} {branches} end"
 
 
-def _room_wildcard(k: Column) -> Column:
-    return (
-        F.when(k % 3 == 0, F.lit(""))
-        .when(k % 3 == 2, _pick(ROOM_TYPES, _div(k, 3) % 6))
-    )
+def _room_wildcard(k: str) -> str:
+    """Blank, NULL or a room type in turn: both forms of "any", and a name."""
+    return f"case {k} % 3 when 0 then '' when 2 then {_pick(ROOM_TYPES, f'{k} div 3 % 6')} end as room_type"
 
 
-def _characteristic_wildcard(k: Column) -> Column:
-    part = _div(k, 7)
-    return F.when(part % 3 == 0, F.lit("")).when(part % 3 == 2, _pick(CHARACTERISTICS, _div(k, 21) % 3))
+def _characteristic_wildcard(k: str) -> str:
+    named = _pick(CHARACTERISTICS, f"{k} div 21 % 3")
+    return f"case {k} div 7 % 3 when 0 then '' when 2 then {named} end as characteristic"
 
 
-def _board_wildcard(k: Column) -> Column:
-    part = _div(k, 5) % 4
-    return F.when(part == 1, F.lit("")).when(part == 2, F.lit("BB")).when(part == 3, F.lit("RO"))
+def _board_wildcard(k: str) -> str:
+    return f"case {k} div 5 % 4 when 1 then '' when 2 then 'BB' when 3 then 'RO' end as board"
 
 
-def _weekday_flags(k: Column) -> list[Column]:
-    return [F.when((k + i) % 5 == 0, F.lit("N")).otherwise(F.lit("Y")).alias(f) for i, f in enumerate(DAY_FLAGS)]
+def _weekday_flags(k: str) -> list[str]:
+    return [f"if(({k} + {i}) % 5 = 0, 'N', 'Y') as {flag}" for i, flag in enumerate(DAY_FLAGS)]
 
 
 class DerivedContracts:
@@ -64,189 +73,158 @@ class DerivedContracts:
         self.spark, self.dir = spark, sf_dir
 
     def shared(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return self.spark.read.schema(SHARED[name]).parquet(f"{self.dir}/{name}.parquet")
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)()
 
-    def _contract_of(self, key: Column) -> Column:
-        """Spread a key over the contracts; their number is a scalar subquery, not a driver action."""
-        n = self.shared("supplier").agg(F.count(F.lit(1)).alias("n")).scalar()
-        return F.concat(F.lit("S"), (key % n).cast("string"))
+    def _with_contract_count(self, df: DataFrame) -> DataFrame:
+        """The number of contracts as a column ``n``: a scalar subquery, not a driver action."""
+        return df.withColumn("n", self.shared("supplier").selectExpr("count(1) as n").scalar())
 
     # --- headers and dimensions -------------------------------------------------------------------------------
 
     def ccon(self) -> DataFrame:
         s, nation, region = self.shared("supplier"), self.shared("nation"), self.shared("region")
-        k = F.col("s_suppkey")
-        return (
-            s.join(nation, s.s_nationkey == nation.n_nationkey)
-            .join(region, nation.n_regionkey == region.r_regionkey)
-            .select(
-                F.concat(F.lit("S"), k.cast("string")).alias("file_id"),
-                k.cast("string").alias("hotel_code"),
-                k.cast("int").alias("contract_number"),
-                F.col("s_name").alias("contract_name"),
-                F.concat(F.lit("C"), (k % 3).cast("string")).alias("company_code"),
-                _lookup(F.col("r_name"), CURRENCY).alias("currency"),
-                F.lit(2).alias("minimum_child_age"),
-                (k % 4 + 10).cast("int").alias("maximum_child_age"),
-            )
+        located = s.join(nation, s.s_nationkey == nation.n_nationkey).join(
+            region, nation.n_regionkey == region.r_regionkey
+        )
+        return located.selectExpr(
+            "concat('S', s_suppkey) as file_id",
+            "cast(s_suppkey as string) as hotel_code",
+            "cast(s_suppkey as int) as contract_number",
+            "s_name as contract_name",
+            "concat('C', s_suppkey % 3) as company_code",
+            f"{_lookup('r_name', CURRENCY)} as currency",
+            "2 as minimum_child_age",
+            "cast(s_suppkey % 4 + 10 as int) as maximum_child_age",
         )
 
     def hotel_supplier(self) -> DataFrame:
         s, nation = self.shared("supplier"), self.shared("nation")
-        k = F.col("s_suppkey")
-        return s.join(nation, s.s_nationkey == nation.n_nationkey).select(
-            k.cast("string").alias("supplier_hotel_code"),
-            F.when(k % 10 == 0, F.lit(6)).otherwise(F.lit(5)).alias("supplier_id"),
-            F.col("n_name").alias("country_code"),
-            F.concat(F.col("n_name"), F.lit("_"), (k % 4).cast("string")).alias("city_code"),
+        return s.join(nation, s.s_nationkey == nation.n_nationkey).selectExpr(
+            "cast(s_suppkey as string) as supplier_hotel_code",
+            "if(s_suppkey % 10 = 0, 6, 5) as supplier_id",
+            "n_name as country_code",
+            "concat(n_name, '_', s_suppkey % 4) as city_code",
         )
 
     # --- facts ------------------------------------------------------------------------------------------------
 
     def cnct(self) -> DataFrame:
         item, part = self.shared("lineitem"), self.shared("part")
-        line, flag = F.col("l_linenumber"), F.col("l_returnflag")
-        start = F.col("l_shipdate").cast("date")
-        quantity = F.col("l_quantity").cast("int")
-        return item.join(part, item.l_partkey == part.p_partkey).select(
-            F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("file_id"),
-            F.col("l_suppkey").cast("int").alias("hotel_id"),
-            (F.col("l_orderkey") * 10 + line).alias("id"),
-            start.alias("initial_date"),
-            F.date_add(start, quantity + 30).alias("final_date"),
-            line.alias("days"),
-            F.col("p_type").alias("room_type"),
-            flag.alias("characteristic"),
-            F.when(line % 2 == 1, line.cast("string")).alias("generic_rate"),
-            F.when(line % 2 == 0, line.cast("string")).alias("specific_rate"),
-            F.when(flag == "A", F.lit("Y")).otherwise(F.lit("N")).alias("is_price_per_pax"),
-            F.when(flag == "N", F.lit("BB")).otherwise(F.lit("RO")).alias("base_board"),
-            (F.floor(F.round(F.col("l_extendedprice") * 100) / (F.col("l_quantity") * 10)) / 100.0).alias("amount"),
+        return item.join(part, item.l_partkey == part.p_partkey).selectExpr(
+            "concat('S', l_suppkey) as file_id",
+            "cast(l_suppkey as int) as hotel_id",
+            "l_orderkey * 10 + l_linenumber as id",
+            "cast(l_shipdate as date) as initial_date",
+            "date_add(cast(l_shipdate as date), cast(l_quantity as int) + 30) as final_date",
+            "l_linenumber as days",
+            "p_type as room_type",
+            "l_returnflag as characteristic",
+            "if(l_linenumber % 2 = 1, cast(l_linenumber as string), null) as generic_rate",
+            "if(l_linenumber % 2 = 0, cast(l_linenumber as string), null) as specific_rate",
+            "if(l_returnflag = 'A', 'Y', 'N') as is_price_per_pax",
+            "if(l_returnflag = 'N', 'BB', 'RO') as base_board",
+            "floor(round(l_extendedprice * 100) / (l_quantity * 10)) / 100D as amount",
         )
 
     def cnha(self) -> DataFrame:
         rooms = self.cnct().select("file_id", "hotel_id", "room_type", "characteristic").distinct()
-        capacity = _lookup(F.col("room_type"), CAPACITY)
-        return rooms.withColumn("standard_capacity", capacity).select(
-            "file_id", "hotel_id", "room_type", "characteristic", "standard_capacity",
-            F.lit(1).alias("min_pax"),
-            (F.col("standard_capacity") + 2).alias("max_pax"),
-            F.greatest(F.lit(2), F.col("standard_capacity")).alias("max_adult"),
-            F.lit(2).alias("max_children"),
-            F.lit(1).alias("max_infant"),
-            F.lit(1).alias("min_adult"),
-            F.lit(0).alias("min_children"),
+        return rooms.selectExpr("*", f"{_lookup('room_type', CAPACITY)} as standard_capacity").selectExpr(
+            "*", "1 as min_pax", "standard_capacity + 2 as max_pax", "greatest(2, standard_capacity) as max_adult",
+            "2 as max_children", "1 as max_infant", "1 as min_adult", "0 as min_children",
         )
 
     # --- rules ------------------------------------------------------------------------------------------------
 
     def cnsr(self) -> DataFrame:
-        k, cust = F.col("o_orderkey"), F.col("o_custkey")
-        start = F.col("o_orderdate").cast("date")
-        by_amount = cust % 4 != 0
-        return self.shared("orders").select(
-            self._contract_of(k).alias("file_id"),
-            k.alias("rule_id"),
-            start.alias("initial_date"),
-            F.date_add(start, 180).alias("final_date"),
-            _lookup(F.col("o_orderstatus"), BOARD_CODES).alias("board_code"),
-            F.when(F.substring("o_orderpriority", 1, 1).isin("1", "2"), F.lit("Y")).otherwise(F.lit("N"))
-            .alias("is_per_pax"),
-            F.when(by_amount, F.floor(F.round(F.col("o_totalprice") * 100) / 10000) / 100.0).alias("amount"),
-            F.when(~by_amount, F.lit(5.0)).alias("percentage"),
-            F.when(_div(k, 4) % 3 != 0, (k % 7 + 1).cast("int")).alias("rate"),
-            _room_wildcard(k).alias("room_type"),
-            _characteristic_wildcard(k).alias("characteristic"),
-            F.when(cust % 3 == 1, F.lit(0)).when(cust % 3 == 2, F.lit(13)).alias("min_age"),
-            F.when(cust % 3 == 1, F.lit(12)).when(cust % 3 == 2, F.lit(99)).alias("max_age"),
+        k, cust = "o_orderkey", "o_custkey"
+        return self._with_contract_count(self.shared("orders")).selectExpr(
+            f"concat('S', {k} % n) as file_id",
+            f"{k} as rule_id",
+            "cast(o_orderdate as date) as initial_date",
+            "date_add(cast(o_orderdate as date), 180) as final_date",
+            f"{_lookup('o_orderstatus', BOARD_CODES)} as board_code",
+            "if(substring(o_orderpriority, 1, 1) in ('1', '2'), 'Y', 'N') as is_per_pax",
+            f"if({cust} % 4 <> 0, floor(round(o_totalprice * 100) / 10000) / 100D, null) as amount",
+            f"if({cust} % 4 = 0, 5D, null) as percentage",
+            f"if({k} div 4 % 3 <> 0, cast({k} % 7 + 1 as int), null) as rate",
+            _room_wildcard(k), _characteristic_wildcard(k),
+            f"case {cust} % 3 when 1 then 0 when 2 then 13 end as min_age",
+            f"case {cust} % 3 when 1 then 12 when 2 then 99 end as max_age",
             *_weekday_flags(cust),
         )
 
+    def _item_rules(self, line: int) -> DataFrame:
+        """Line items of one number as dated rules with booking window, wildcards and weekdays."""
+        k = "l_orderkey"
+        return self.shared("lineitem").filter(f"l_linenumber = {line}").selectExpr(
+            "*",
+            "concat('S', l_suppkey) as file_id",
+            f"{k} as rule_id",
+            "cast(l_shipdate as date) as initial_date",
+            "date_add(cast(l_shipdate as date), 120) as final_date",
+            f"if({k} % 4 <> 0, date_sub(cast(l_shipdate as date), 90), null) as application_initial_date",
+            f"if({k} % 4 <> 0, date_add(cast(l_shipdate as date), 30), null) as application_final_date",
+            _room_wildcard(k), _characteristic_wildcard(k), _board_wildcard(k), *_weekday_flags(k),
+        )
+
+    _RULE = ("file_id", "rule_id", "initial_date", "final_date", "application_initial_date", "application_final_date",
+             "room_type", "characteristic", "board", *DAY_FLAGS)
+
     def cnsu(self) -> DataFrame:
-        k, part = F.col("l_orderkey"), F.col("l_partkey")
-        start = F.col("l_shipdate").cast("date")
-        discount = F.round(F.col("l_discount") * 100)
-        by_amount = discount <= 5
-        windowed = k % 4 != 0
-        young = k % 3 == 0
-        return self.shared("lineitem").filter(F.col("l_linenumber") == 1).select(
-            F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("file_id"),
-            k.alias("rule_id"),
-            start.alias("initial_date"),
-            F.date_add(start, 120).alias("final_date"),
-            F.when(windowed, F.date_sub(start, 90)).alias("application_initial_date"),
-            F.when(windowed, F.date_add(start, 30)).alias("application_final_date"),
-            F.concat(F.lit("D"), (part % 20).cast("string")).alias("code"),
-            _pick(RULE_TYPES, part % 13).alias("type"),
-            F.when(_div(k, 8) % 2 == 0, F.lit("Y")).otherwise(F.lit("N")).alias("is_per_pax"),
-            F.when(k % 17 != 0, F.col("l_quantity").cast("int")).alias("order"),
-            _pick(APPLICATIONS, k % 7).alias("application_type"),
-            F.when(by_amount, F.round(F.col("l_tax") * 100) - 3.0).alias("amount"),
-            F.when(~by_amount, F.lit(0.0) - discount).alias("percentage"),
-            F.when(_div(k, 16) % 2 == 0, F.lit("Y")).otherwise(F.lit("N")).alias("is_cumulative"),
-            _room_wildcard(k).alias("room_type"),
-            _characteristic_wildcard(k).alias("characteristic"),
-            _board_wildcard(k).alias("board"),
-            F.when(_div(k, 2) % 3 != 0, (_div(k, 2) % 3).cast("int")).alias("adults"),
-            (k % 2 + 1).cast("int").alias("pax_order"),
-            F.when(young, F.lit(0)).otherwise(F.lit(13)).alias("min_age"),
-            F.when(young, F.lit(12)).otherwise(F.lit(99)).alias("max_age"),
-            *_weekday_flags(k),
+        k, part = "l_orderkey", "l_partkey"
+        return self._item_rules(1).selectExpr(
+            *self._RULE,
+            f"concat('D', {part} % 20) as code",
+            f"{_pick(RULE_TYPES, f'{part} % 13')} as type",
+            f"if({k} div 8 % 2 = 0, 'Y', 'N') as is_per_pax",
+            f"if({k} % 17 <> 0, cast(l_quantity as int), null) as order",
+            f"{_pick(APPLICATIONS, f'{k} % 7')} as application_type",
+            "if(round(l_discount * 100) <= 5, round(l_tax * 100) - 3D, null) as amount",
+            "if(round(l_discount * 100) > 5, 0D - round(l_discount * 100), null) as percentage",
+            f"if({k} div 16 % 2 = 0, 'Y', 'N') as is_cumulative",
+            f"if({k} div 2 % 3 <> 0, cast({k} div 2 % 3 as int), null) as adults",
+            f"cast({k} % 2 + 1 as int) as pax_order",
+            f"if({k} % 3 = 0, 0, 13) as min_age",
+            f"if({k} % 3 = 0, 12, 99) as max_age",
         )
 
     def cngr(self) -> DataFrame:
-        k, part = F.col("l_orderkey"), F.col("l_partkey")
-        start = F.col("l_shipdate").cast("date")
-        windowed = k % 4 != 0
-        return self.shared("lineitem").filter(F.col("l_linenumber") == 2).select(
-            F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("file_id"),
-            k.alias("rule_id"),
-            start.alias("initial_date"),
-            F.date_add(start, 120).alias("final_date"),
-            F.when(windowed, F.date_sub(start, 90)).alias("application_initial_date"),
-            F.when(windowed, F.date_add(start, 30)).alias("application_final_date"),
-            F.lit(3).alias("min_days"),
-            (F.col("l_quantity").cast("int") % 20 + 5).alias("max_days"),
-            _room_wildcard(k).alias("room_type"),
-            _characteristic_wildcard(k).alias("characteristic"),
-            _board_wildcard(k).alias("board"),
-            (part % 2 + 1).cast("int").alias("frees"),
-            F.concat(F.lit("F"), (part % 5).cast("string")).alias("free_code"),
-            F.lit(100.0).alias("discount"),
-            _pick(("N", "B"), part % 2).alias("application_base_type"),
-            _pick(("N", "R"), _div(part, 2) % 2).alias("application_board_type"),
-            _pick(("N", "D"), _div(part, 4) % 2).alias("application_discount_type"),
-            _pick(("A", "B", "C"), part % 3).alias("application_stay_type"),
-            *_weekday_flags(k),
+        part = "l_partkey"
+        return self._item_rules(2).selectExpr(
+            *self._RULE,
+            "3 as min_days",
+            "cast(l_quantity as int) % 20 + 5 as max_days",
+            f"cast({part} % 2 + 1 as int) as frees",
+            f"concat('F', {part} % 5) as free_code",
+            "100D as discount",
+            f"{_pick(('N', 'B'), f'{part} % 2')} as application_base_type",
+            f"{_pick(('N', 'R'), f'{part} div 2 % 2')} as application_board_type",
+            f"{_pick(('N', 'D'), f'{part} div 4 % 2')} as application_discount_type",
+            f"{_pick(('A', 'B', 'C'), f'{part} % 3')} as application_stay_type",
         )
 
     def cnoe(self) -> DataFrame:
-        k, size = F.col("p_partkey"), F.col("p_size")
-        n = self.shared("supplier").agg(F.count(F.lit(1)).alias("n")).scalar()
-        block = F.floor(k / n).cast("bigint")
-        return self.shared("part").select(
-            self._contract_of(k).alias("file_id"),
-            F.concat(F.lit("D"), (size % 20).cast("string")).alias("code1"),
-            F.concat(F.lit("D"), ((size * 7 + block) % 20).cast("string")).alias("code2"),
-            F.when(block % 2 == 0, F.lit("Y")).otherwise(F.lit("N")).alias("is_included"),
+        k = "p_partkey"
+        return self._with_contract_count(self.shared("part")).selectExpr(
+            f"concat('S', {k} % n) as file_id",
+            "concat('D', p_size % 20) as code1",
+            f"concat('D', (p_size * 7 + {k} div n) % 20) as code2",
+            f"if({k} div n % 2 = 0, 'Y', 'N') as is_included",
         )
 
     def cnem(self) -> DataFrame:
-        nation = F.col("c_nationkey")
-        return self.shared("customer").select(
-            self._contract_of(F.col("c_custkey")).alias("file_id"),
-            F.col("c_custkey").alias("rule_id"),
-            F.lit(None).cast("date").alias("application_date"),
-            F.lit("1998-01-01").cast("date").alias("initial_date"),
-            F.lit("1998-12-31").cast("date").alias("final_date"),
-            F.lit("").alias("room_type"),
-            F.lit("").alias("characteristic"),
-            F.lit("").alias("board"),
-            (nation % 8).cast("int").alias("minimum_days"),
-            (nation + 7).cast("int").alias("maximum_days"),
+        return self._with_contract_count(self.shared("customer")).selectExpr(
+            "concat('S', c_custkey % n) as file_id",
+            "c_custkey as rule_id",
+            "cast(null as date) as application_date",
+            "date'1998-01-01' as initial_date",
+            "date'1998-12-31' as final_date",
+            "'' as room_type", "'' as characteristic", "'' as board",
+            "cast(c_nationkey % 8 as int) as minimum_days",
+            "cast(c_nationkey + 7 as int) as maximum_days",
         )
 
     # --- room dictionary --------------------------------------------------------------------------------------
@@ -256,27 +234,22 @@ class DerivedContracts:
         first_part = self.shared("part").groupBy(F.col("p_type").alias("room_type")).agg(
             F.upper(F.min_by("p_name", "p_partkey")).alias("first_name")
         )
-        return rooms.join(first_part, "room_type").select(
-            "room_type", "characteristic",
-            F.when(F.col("characteristic").isin("A", "R"), F.col("first_name")).alias("title"),
-            F.concat(F.col("room_type"), F.lit(" ROOM")).alias("rt_title"),
+        return rooms.join(first_part, "room_type").selectExpr(
+            "room_type", "characteristic", "if(characteristic in ('A', 'R'), first_name, null) as title",
+            "concat(room_type, ' ROOM') as rt_title",
         )
 
     def room_type_names(self) -> DataFrame:
-        return self.shared("part").select(
-            F.substring_index("p_name", " ", 1).alias("name_en")
-        ).distinct()
+        return self.shared("part").selectExpr("substring_index(p_name, ' ', 1) as name_en").distinct()
 
     # --- booking requests: one party and stay per order ---------------------------------------------------------
 
     def requests(self) -> DataFrame:
-        k, cust = F.col("o_orderkey"), F.col("o_custkey")
-        check_in = F.col("o_orderdate").cast("date")
-        nights = (k % 14 + 1).cast("int")
-        return self.shared("orders").select(
-            k.alias("request_id"),
-            self._contract_of(cust).alias("file_id"),
-            check_in.alias("check_in"),
-            F.date_add(check_in, nights).alias("check_out"),
-            F.array(F.lit(30), F.lit(30), (cust % 18).cast("int"), (_div(k, 14) % 6).cast("int")).alias("ages"),
+        k = "o_orderkey"
+        return self._with_contract_count(self.shared("orders")).selectExpr(
+            f"{k} as request_id",
+            "concat('S', o_custkey % n) as file_id",
+            "cast(o_orderdate as date) as check_in",
+            f"date_add(cast(o_orderdate as date), cast({k} % 14 + 1 as int)) as check_out",
+            f"array(30, 30, cast(o_custkey % 18 as int), cast({k} div 14 % 6 as int)) as ages",
         )
