@@ -14,11 +14,15 @@ _INFANT = "< minimum_child_age"
 _NUMBERED = "transform(reverse(array_sort(ages)), (a, i) -> struct(i + 1 as pax_id, a as age))"
 
 
-def _youngest_first(test: str) -> str:
-    """Numbers of the guests whose age passes, youngest first, ties by guest number."""
-    picked = f"filter({_NUMBERED}, g -> g.age {test})"
-    by_age = f"array_sort(transform({picked}, g -> struct(g.age as age, g.pax_id as pax_id)))"
-    return f"transform({by_age}, g -> g.pax_id)"
+def _ordinal(band: str) -> str:
+    """Position of guest ``g`` in a band, youngest first, ties by guest number.
+
+    Guests of one age are numbered in a row behind all older ones, so counting younger members of the band and
+    older guests of the party is enough; nothing is sorted per guest.
+    """
+    younger = f"size(filter(ages, a -> a {band} and a < g.age))"
+    older = "size(filter(ages, a -> a > g.age))"
+    return f"if(g.age {band}, {younger} + g.pax_id - {older}, null)"
 
 
 def numbered() -> Column:
@@ -28,10 +32,9 @@ def numbered() -> Column:
 
 def classified() -> Column:
     """Array of guests with their child and infant ordinals (NULL where a guest is neither)."""
-    nth = "cast(nullif(array_position({}, g.pax_id), 0) as int)"
     return F.expr(
         f"transform({_NUMBERED}, g -> struct(g.pax_id as pax_id, g.age as age, "
-        f"{nth.format(_youngest_first(_CHILD))} as child_id, {nth.format(_youngest_first(_INFANT))} as infant_id))"
+        f"{_ordinal(_CHILD)} as child_id, {_ordinal(_INFANT)} as infant_id))"
     )
 
 

@@ -26,13 +26,9 @@ def rate_match(rule: Column, rate: Column) -> Column:
     return rule.isNull() | (rule.cast("string") == rate)
 
 
-def rate_strict(rule: Column, generic: Column, specific: Column) -> Column:
-    """Rate test of the cache build: the generic rate if there is one, else a specific rate other than '0'."""
-    as_text = rule.cast("string")
-    return (
-        F.when(generic.isNotNull(), as_text == generic)
-        .when(specific != "0", as_text == specific)
-    )
+def rule_rate(generic: Column, specific: Column) -> Column:
+    """The rate a rule must have: the generic rate if there is one, else a specific rate other than '0'."""
+    return F.nullif(F.coalesce(generic, F.nullif(specific, F.lit("0"))), F.lit(""))
 
 
 def in_band(age: Column, lo: Column, hi: Column) -> Column:

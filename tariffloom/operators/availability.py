@@ -100,11 +100,13 @@ def offers(tables, stay: Stay) -> DataFrame:
     ``amount`` is the price of one night, averaged over the stay.
     """
     rooms = available_rooms(tables.table("cnct"), stay)
-    contract = with_party(tables.table("ccon"), stay.ages_col)
+    hotels = sold_by(tables.table("hotel_supplier"), stay)
+    contracts = with_party(tables.table("ccon"), stay.ages_col).join(
+        hotels, F.col("hotel_code") == F.col("supplier_hotel_code")
+    )
     return (
         rooms.join(tables.table("cnha").drop("hotel_id"), ROOM)
-        .join(contract, "file_id")
-        .join(sold_by(tables.table("hotel_supplier"), stay), F.col("hotel_code") == F.col("supplier_hotel_code"))
+        .join(contracts, "file_id")
         .filter(fits(F.col("paxes"), F.col("childes")))
         .select(
             md5_key("file_id", "room_type", "characteristic", "base_board").alias("cnct_id"),

@@ -20,29 +20,27 @@ CAPACITY = [
 
 
 def rooms_of_supplier(tables, supplier_id: int) -> DataFrame:
-    """Room dimension of one supplier: capacity, contract header, hotel."""
+    """Room dimension of one supplier: capacity, contract header, hotel. Headers meet hotels first, so rooms of
+    other suppliers are never shuffled twice."""
     hotels = tables.table("hotel_supplier").filter(F.col("supplier_id") == supplier_id)
-    return (
-        tables.table("cnha").drop("hotel_id")
-        .join(tables.table("ccon"), "file_id")
-        .join(hotels, F.col("hotel_code") == F.col("supplier_hotel_code"))
-        .select(
-            *ROOM, "country_code", "city_code", "hotel_code", "contract_name", "contract_number", "company_code",
-            "currency", "minimum_child_age", "maximum_child_age", *CAPACITY,
-        )
+    contracts = tables.table("ccon").join(hotels, F.col("hotel_code") == F.col("supplier_hotel_code"))
+    return tables.table("cnha").drop("hotel_id").join(contracts, "file_id").select(
+        *ROOM, "country_code", "city_code", "hotel_code", "contract_name", "contract_number", "company_code",
+        "currency", "minimum_child_age", "maximum_child_age", *CAPACITY,
     )
 
 
 def board_choices(rooms: DataFrame, cnsr: DataFrame) -> DataFrame:
-    """Every room once with its base board, and once per board rule it may take.
+    """Every room once with its base board (no rule), and once per board rule it may take.
 
-    Wildcards are resolved here, on the room dimension, so the price facts are joined once and on exact keys.
+    Wildcards are resolved here, on the room dimension, so the price facts are joined once and on exact keys. A rule
+    without a rate matches no price row of the cache and is left out.
     """
-    supplements = cnsr.filter(F.col("board_code").isNotNull()).select(
+    supplements = cnsr.filter(F.col("board_code").isNotNull() & F.col("rate").isNotNull()).select(
         *ROOM, "rule_id", F.col("board_code").alias("rule_board"),
         F.coalesce(F.col("amount").cast("double"), F.lit(0.0)).alias("cnsr_amount"),
         F.coalesce(F.col("percentage").cast("double"), F.lit(0.0)).alias("cnsr_percentage"),
-        F.col("is_per_pax").alias("cnsr_is_per_pax"), F.col("rate").alias("rule_rate"),
+        F.col("is_per_pax").alias("cnsr_is_per_pax"), F.col("rate").cast("string").alias("rule_rate"),
         F.col("initial_date").alias("rule_lo"), F.col("final_date").alias("rule_hi"),
         iv.closed_int_range(F.col("min_age"), F.col("max_age")).alias("cnsr_pax_ages"),
     )
@@ -54,16 +52,19 @@ def board_choices(rooms: DataFrame, cnsr: DataFrame) -> DataFrame:
 
 
 def build_cache(tables, supplier_id: int = 5) -> DataFrame:
-    """Base boards and supplementary boards in one pass over the price facts."""
+    """Base boards and supplementary boards in one pass over the price facts.
+
+    The union is on the side of the rooms, so the facts are shuffled once; rate and dates are tested in the join.
+    """
     choices = board_choices(rooms_of_supplier(tables, supplier_id), tables.table("cnsr"))
     prices = tables.table("cnct").select(
         *ROOM, "id", "initial_date", "final_date", "generic_rate", "specific_rate", "base_board", "amount",
         "is_price_per_pax",
     )
     is_base = F.col("rule_board").isNull()
-    takes_rule = pr.rate_strict(F.col("rule_rate"), F.col("generic_rate"), F.col("specific_rate")) & iv.intersects(
-        F.col("initial_date"), F.col("final_date"), F.col("rule_lo"), F.col("rule_hi")
-    )
+    takes_rule = (
+        F.col("rule_rate") == pr.rule_rate(F.col("generic_rate"), F.col("specific_rate"))
+    ) & iv.intersects(F.col("initial_date"), F.col("final_date"), F.col("rule_lo"), F.col("rule_hi"))
     board = F.coalesce(F.col("rule_board"), F.col("base_board"))
     return (
         prices.join(choices, ROOM)
