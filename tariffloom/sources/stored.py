@@ -20,6 +20,7 @@ class StoredContracts:
         declared = text_schema(schema) if self.text_dates else schema
         reader = self.spark.read.schema(declared)
         if self.fmt == "csv":
+            # as database exports write it: nothing between commas is NULL, quoted nothing is a blank
             reader = reader.option("header", "true").option("nullValue", "\\N").option("emptyValue", "")
         df = reader.format(self.fmt).load(f"{self.root}/{name}")
         return parse_text_dates(df, schema) if self.text_dates else df
