@@ -94,6 +94,15 @@ def fits(paxes: Column, childes: Column) -> Column:
     return (paxes > 0) & (F.col("max_pax") >= paxes) & (F.col("max_children") >= childes)
 
 
+def sold_contracts(tables, hotels: DataFrame) -> DataFrame:
+    """Contract headers of the hotels, reduced to what offers carry."""
+    headers = tables.table("ccon").select(
+        "file_id", "hotel_code", "contract_number", "contract_name", "company_code", "currency", "minimum_child_age",
+        "maximum_child_age",
+    )
+    return headers.join(hotels, F.col("hotel_code") == F.col("supplier_hotel_code"))
+
+
 def offers(tables, stay: Stay) -> DataFrame:
     """Available rooms with capacity, contract header, hotel and classified guests.
 
@@ -101,9 +110,7 @@ def offers(tables, stay: Stay) -> DataFrame:
     """
     rooms = available_rooms(tables.table("cnct"), stay)
     hotels = sold_by(tables.table("hotel_supplier"), stay)
-    contracts = with_party(tables.table("ccon"), stay.ages_col).join(
-        hotels, F.col("hotel_code") == F.col("supplier_hotel_code")
-    )
+    contracts = with_party(sold_contracts(tables, hotels), stay.ages_col)
     return (
         rooms.join(tables.table("cnha").drop("hotel_id"), ROOM)
         .join(contracts, "file_id")

@@ -9,7 +9,7 @@ from tariffloom.functions import intervals as iv
 from tariffloom.functions import predicates as pr
 from tariffloom.functions import pricing as px
 from tariffloom.functions.keys import md5_key
-from tariffloom.operators.availability import ROOM
+from tariffloom.operators.availability import ROOM, sold_contracts
 from tariffloom.operators.matching import match_rules
 from tariffloom.params import Stay
 from tariffloom.schemas import MONEY
@@ -23,7 +23,7 @@ def rooms_of_supplier(tables, supplier_id: int) -> DataFrame:
     """Room dimension of one supplier: capacity, contract header, hotel. Headers meet hotels first, so rooms of
     other suppliers are never shuffled twice."""
     hotels = tables.table("hotel_supplier").filter(F.col("supplier_id") == supplier_id)
-    contracts = tables.table("ccon").join(hotels, F.col("hotel_code") == F.col("supplier_hotel_code"))
+    contracts = sold_contracts(tables, hotels)
     return tables.table("cnha").drop("hotel_id").join(contracts, "file_id").select(
         *ROOM, "country_code", "city_code", "hotel_code", "contract_name", "contract_number", "company_code",
         "currency", "minimum_child_age", "maximum_child_age", *CAPACITY,
@@ -93,10 +93,7 @@ def build_cache(tables, supplier_id: int = 5) -> DataFrame:
 def build_nightly_cache(tables, supplier_id: int = 5) -> DataFrame:
     """The first cache: single nights, with the minimum stay of the room's stay rules, and no capacity."""
     hotels = tables.table("hotel_supplier").filter(F.col("supplier_id") == supplier_id)
-    contracts = tables.table("ccon").join(hotels, F.col("hotel_code") == F.col("supplier_hotel_code")).select(
-        "file_id", "hotel_code", "company_code", "currency", "country_code", "city_code", "minimum_child_age",
-        "maximum_child_age",
-    )
+    contracts = sold_contracts(tables, hotels)
     rooms = tables.table("cnha").select(*ROOM).join(contracts, "file_id")
     stays = tables.table("cnem").select(*ROOM, "rule_id", "minimum_days")
     resolved = match_rules(rooms, stays).drop("rule_id")

@@ -160,7 +160,7 @@ def stay_availability(t) -> DataFrame:
     """Rooms of a city that cover the stay and hold the party."""
     party = len(COUPLE.ages)
     hotels = av.sold_by(t.table("hotel_supplier"), COUPLE)
-    contracts = t.table("ccon").join(hotels, F.col("hotel_code") == F.col("supplier_hotel_code"))
+    contracts = av.sold_contracts(t, hotels)
     return (
         av.available_rooms(t.table("cnct"), COUPLE)
         .join(t.table("cnha").filter(occupancy(party)).drop("hotel_id"), av.ROOM)

@@ -70,9 +70,14 @@ API = _schema(
     "internal_fild_3:s min_pax:i max_pax:i min_adult:i max_adult:i max_child:i max_infant:i"
 )
 
+HOTEL_SUPPLIER = _schema("supplier_hotel_code:s supplier_id:i country_code:s city_code:s")
+RT_DIC = _schema("room_type:s characteristic:s title:s rt_title:s")
+ROOM_TYPE_NAMES = _schema("name_en:s")
+
 TABLES = {
     "ccon": CCON, "cnct": CNCT, "cnin": CNIN, "cnha": CNHA, "cnsr": CNSR, "cnsu": CNSU,
-    "cngr": CNGR, "cnoe": CNOE, "cnem": CNEM, "api": API,
+    "cngr": CNGR, "cnoe": CNOE, "cnem": CNEM, "api": API, "hotel_supplier": HOTEL_SUPPLIER, "rt_dic": RT_DIC,
+    "room_type_names": ROOM_TYPE_NAMES,
 }
 
 # fixed values: declared keys

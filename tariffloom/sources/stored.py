@@ -9,8 +9,15 @@ from pyspark.sql import types as T
 from tariffloom import schemas
 
 
+# rule tables get a stable row id: it settles ties between rules and spreads crowded contracts
+RULE_TABLES = ("cnsr", "cnsu", "cngr", "cnem")
+
+
 class StoredContracts:
-    """``root/<table>`` per contract table. Text dates (``yyyyMMdd``) are parsed when ``text_dates`` is set."""
+    """``root/<table>`` per contract table, under the names the operators use.
+
+    Text dates (``yyyyMMdd``) are parsed when ``text_dates`` is set.
+    """
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet", text_dates: bool = False):
         self.spark, self.root, self.fmt, self.text_dates = spark, root, fmt, text_dates
@@ -23,7 +30,11 @@ class StoredContracts:
             # as database exports write it: nothing between commas is NULL, quoted nothing is a blank
             reader = reader.option("header", "true").option("nullValue", "\\N").option("emptyValue", "")
         df = reader.format(self.fmt).load(f"{self.root}/{name}")
-        return parse_text_dates(df, schema) if self.text_dates else df
+        if self.text_dates:
+            df = parse_text_dates(df, schema)
+        if name in RULE_TABLES:
+            df = df.withColumn("rule_id", F.xxhash64(*schema.fieldNames()))
+        return df.withColumnRenamed("supplement_or_discount_code", "code")
 
 
 def text_schema(schema: T.StructType) -> T.StructType:

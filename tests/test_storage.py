@@ -7,7 +7,11 @@ import os
 from pyspark.sql import functions as F
 
 from tariffloom import schemas
+from tariffloom.plans.common import COUPLE, FAMILY
+from tariffloom.search import discounts_for_stay, search, search_cache
+from tariffloom.operators.cache import build_cache
 from tariffloom.sources import sinks
+from tariffloom.sources.derived import DerivedContracts
 from tariffloom.sources.stored import StoredContracts, conform, key_violations, parse_text_dates
 
 
@@ -75,3 +79,27 @@ def test_stored_respects_the_shared_folder(spark, tmp_path):
     used = spark.sparkContext.getCheckpointDir()
     assert used and (before is None or used == before)
     assert used.removeprefix("file:") in df.inputFiles()[0].removeprefix("file://")
+
+
+def test_search_runs_on_stored_contracts(spark, tmp_path):
+    """The same operators over tables written with the declared schemas."""
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    made = DerivedContracts(spark, sf)
+    for name in ("ccon", "cnct", "cnha", "cnsr", "cnsu", "cngr", "cnoe", "hotel_supplier"):
+        df = made.table(name)
+        if name == "cnsu":
+            df = df.withColumnRenamed("code", "supplement_or_discount_code")
+        conform(df, name).write.parquet(str(tmp_path / name))
+    held = StoredContracts(spark, str(tmp_path))
+    ids = {r.cnct_id for r in search(made, FAMILY).collect()}
+    rows = search(held, FAMILY).collect()
+    assert ids and {r.cnct_id for r in rows} == ids and len(rows) == len(ids)
+    assert all(r.total_price is not None for r in rows)
+    from_made, from_held = build_cache(made), build_cache(held)
+    assert from_held.count() == from_made.count()
+    price = lambda c: sorted(round(r.price, 6) for r in search_cache(c, COUPLE).collect())
+    assert price(from_held) == price(from_made)
+    stay = (FAMILY.check_in, FAMILY.check_out)
+    assert discounts_for_stay(held, *stay).count() == discounts_for_stay(made, *stay).count()
