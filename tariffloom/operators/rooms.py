@@ -49,7 +49,8 @@ def or_join(prices: DataFrame, cnsu: DataFrame) -> DataFrame:
     reduced to what it does to a price row: how often the row comes out, and the amounts it meets.
 
     Which columns a rule leaves empty decides its branch, so the branches are disjoint. Each is aggregated before
-    the join: two equi-joins on unique keys and one single row, never the pairs themselves.
+    the join: two equi-joins on unique keys and one single row, never the pairs themselves. The sums meet on the
+    distinct rooms, so the price facts are only shuffled by room, never by the few room types.
     """
     room, char = F.col("room_type"), F.col("characteristic")
 
@@ -67,13 +68,14 @@ def or_join(prices: DataFrame, cnsu: DataFrame) -> DataFrame:
     def zero(name: str):
         return F.coalesce(F.col(name), F.lit(0))
 
-    return (
-        prices.join(exact, ROOM, "left")
+    per_room = (
+        prices.select(*ROOM).distinct()
+        .join(exact, ROOM, "left")
         .join(by_room, "room_type", "left")
-        .withColumn("rules", zero("n_exact") + zero("n_room") + F.coalesce(wild_n, F.lit(0)))
-        .withColumn(
-            "rule_amount", zero("amount_exact") + zero("amount_room") + F.coalesce(wild_amount, F.lit(0.0))
+        .select(
+            *ROOM,
+            (zero("n_exact") + zero("n_room") + F.coalesce(wild_n, F.lit(0))).alias("rules"),
+            (zero("amount_exact") + zero("amount_room") + F.coalesce(wild_amount, F.lit(0.0))).alias("rule_amount"),
         )
-        .withColumn("copies", F.greatest("rules", F.lit(1)))
-        .drop("n_exact", "n_room", "amount_exact", "amount_room")
     )
+    return prices.join(per_room, ROOM).withColumn("copies", F.greatest("rules", F.lit(1)))
