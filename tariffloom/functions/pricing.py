@@ -82,6 +82,16 @@ def board_term(
     )
 
 
+def room_and_board(amount: Column, room_flag: Column, terms: Column, guests: Column, capacity: Column,
+                   board_flag: Column | None = None) -> Column:
+    """Room and board price of an offer as one struct."""
+    room = room_total(amount, room_flag, guests)
+    return F.struct(
+        room.alias("rt_price"),
+        board_total(terms, room, room_flag, capacity, guests, board_flag).alias("board_price"),
+    )
+
+
 def board_total(terms: Column, room: Column, room_flag: Column, capacity: Column, guests: Column,
                 board_flag: Column | None = None) -> Column:
     """All terms of an array of ``(amount, pct[, flag])`` structs added up; the flag may stand outside the array."""

@@ -148,12 +148,13 @@ def room_board_price_flag(t) -> DataFrame:
         F.col("cnsr_percentage").alias("pct"),
     )
     listed = terms.listed_terms(rows, key, ["amount", "pct"])
-    flag, capacity, guests = F.col("is_price_per_pax"), F.col("standard_capacity"), F.col("paxes")
-    room = px.room_total(F.col("amount_"), flag, guests)
-    board = px.board_total(F.col("terms"), room, flag, capacity, guests, F.col("flag"))
-    return listed.select(
-        "cnct_id", "flag", F.size("terms").alias("n_terms"), money(room).alias("room_price"),
-        money(board).alias("board_price"),
+    priced = listed.withColumn("priced", px.room_and_board(
+        F.col("amount_"), F.col("is_price_per_pax"), F.col("terms"), F.col("paxes"), F.col("standard_capacity"),
+        F.col("flag"),
+    ))
+    return priced.select(
+        "cnct_id", "flag", F.size("terms").alias("n_terms"), money(F.col("priced.rt_price")).alias("room_price"),
+        money(F.col("priced.board_price")).alias("board_price"),
     )
 
 

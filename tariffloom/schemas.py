@@ -70,6 +70,14 @@ API = _schema(
     "internal_fild_3:s min_pax:i max_pax:i min_adult:i max_adult:i max_child:i max_infant:i"
 )
 
+CACHE = (
+    "file_id string, rt_id string, hotel_code string, contract_name string, contract_number int, room_type_id string, "
+    "meal_type string, room_type string, characteristic string, rate string, board string, cnsr_amount double, "
+    "cnsr_percentage double, cnsr_is_per_pax string, lo date, hi date, currency_code string, adult_price int, "
+    "child_price int, amount double, is_price_per_pax string, min_nights int, childe_ages struct<lo: int, hi: int>, "
+    "standard_capacity int, min_pax int, max_pax int, max_adult int, max_children int, max_infant int, min_adult int, "
+    "min_children int, cnsr_pax_ages struct<lo: int, hi: int>, country_code string, city_code string"
+)
 HOTEL_SUPPLIER = _schema("supplier_hotel_code:s supplier_id:i country_code:s city_code:s")
 RT_DIC = _schema("room_type:s characteristic:s title:s rt_title:s")
 ROOM_TYPE_NAMES = _schema("name_en:s")

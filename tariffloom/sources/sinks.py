@@ -10,13 +10,17 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tariffloom.schemas import CACHE
 from tariffloom.session import checkpoint_dir
 
 
 def write_cache(df: DataFrame, path: str) -> None:
-    """Price cache as Parquet, laid out for the search filters: country and city prune directories."""
+    """Price cache as Parquet, laid out for the search filters: country and city prune directories.
+
+    Rebalancing sizes the files at run time: small cities share a task, a city with a third of the rows is split.
+    """
     (
-        df.repartition("country_code", "city_code", "file_id", "room_type", "characteristic")
+        df.hint("rebalance", "country_code", "city_code")
         .sortWithinPartitions("country_code", "city_code", "file_id", "lo")
         .write.mode("overwrite")
         .partitionBy("country_code", "city_code")
@@ -24,6 +28,11 @@ def write_cache(df: DataFrame, path: str) -> None:
     )
 
 
+def read_cache(spark: SparkSession, path: str) -> DataFrame:
+    """Declared schema: codes that look like numbers stay text, also as directory names."""
+    return spark.read.schema(CACHE).parquet(path)
+
+
 def create_table_as(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").format("parquet").saveAsTable(name)
 

@@ -62,10 +62,10 @@ def test_table_lifecycle(spark):
 
 def test_cache_layout_prunes(spark, tmp_path):
     cols = "file_id string, room_type string, characteristic string, country_code string, city_code string, lo date, amount double"
-    df = spark.createDataFrame(
-        [("F", "R", "A", c, f"{c}_1", None, 1.0) for c in ("X", "Y")], cols)
+    df = spark.createDataFrame([("F", "R", "A", c, f"{c}_1", None, 1.0) for c in ("X", "Y")], cols)
     path = str(tmp_path / "cache")
     sinks.write_cache(df, path)
+    assert dict(sinks.read_cache(spark, path).dtypes)["country_code"] == "string"
     assert sorted(d for d in os.listdir(path) if d.startswith("country")) == ["country_code=X", "country_code=Y"]
     found = spark.read.parquet(path).filter(F.col("city_code").startswith("X"))
     assert found.count() == 1
@@ -101,5 +101,7 @@ def test_search_runs_on_stored_contracts(spark, tmp_path):
     assert from_held.count() == from_made.count()
     price = lambda c: sorted(round(r.price, 6) for r in search_cache(c, COUPLE).collect())
     assert price(from_held) == price(from_made)
+    sinks.write_cache(from_held, str(tmp_path / "cache"))
+    assert price(sinks.read_cache(spark, str(tmp_path / "cache"))) == price(from_made)
     stay = (FAMILY.check_in, FAMILY.check_out)
     assert discounts_for_stay(held, *stay).count() == discounts_for_stay(made, *stay).count()
