@@ -14,10 +14,11 @@ from tariffloom.params import Stay
 
 
 def dated(rules: DataFrame, stay: Stay) -> DataFrame:
-    """Rules whose validity overlaps the stay. The first two comparisons repeat the overlap in the plain form
-    the scan understands; the exact test follows."""
-    lo, hi = F.col("initial_date"), F.col("final_date")
-    return rules.filter(iv.overlaps(lo, hi, stay.lo, stay.hi))
+    """Rules whose validity overlaps the stay. The first filter is what every overlap implies, also with reversed
+    ends, in the plain form a scan can skip row groups by; the exact test follows."""
+    a, b = F.col("initial_date"), F.col("final_date")
+    near = ((a <= stay.hi) | (b <= stay.hi)) & ((a >= stay.lo) | (b >= stay.lo))
+    return rules.filter(near).filter(iv.overlaps(a, b, stay.lo, stay.hi))
 
 
 def bookable(rules: DataFrame, stay: Stay) -> DataFrame:

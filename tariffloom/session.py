@@ -40,6 +40,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not configured and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     path = configured or tempfile.mkdtemp(prefix="tariffloom-")
     spark.sparkContext.setCheckpointDir(path)
     return path
