@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import random
 
@@ -131,6 +132,6 @@ def test_reconciliation(spark):
 def test_keys(spark):
     df = spark.createDataFrame([("a", "b"), ("a", None)], "x string, y string")
     hashed = [r[0] for r in df.select(md5_key("x", "y")).collect()]
-    assert hashed[0] == "4b9a6d0ccfbd6d8ab1ec8ee70a2e2bf7" or len(hashed[0]) == 32
+    assert hashed[0] == hashlib.md5(b"a.b").hexdigest()
     assert hashed[1] is None
     assert df.select(surrogate("x", "y")).first()[0] > 0
