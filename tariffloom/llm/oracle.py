@@ -23,4 +23,33 @@ WITH parts AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fits WHERE place = 1
 """
 
-ORACLES = {"op1_url_filter": URL_FILTER}
+DECONTAMINATION = r"""
+WITH item AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark
+), win AS (
+  SELECT DISTINCT item_id, least(len(words), 13) AS size, array_to_string(words[i:i + 12], ' ') AS phrase
+  FROM (SELECT item_id, words, unnest(range(1, greatest(len(words) - 12, 1) + 1)) AS i FROM item WHERE len(words) > 0)
+), doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), sizes AS (SELECT DISTINCT size FROM win
+), place AS (
+  SELECT doc_id, size, i, array_to_string(words[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS i FROM doc, sizes WHERE len(words) >= size)
+), hit AS (
+  SELECT p.doc_id, w.item_id, p.i, p.size FROM place p JOIN win w ON p.phrase = w.phrase AND p.size = w.size
+), word AS (
+  SELECT doc_id, count(DISTINCT spot) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS spot FROM hit) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.words) AS contaminated
+FROM doc d LEFT JOIN word USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+ORACLES = {"op9_decontamination": DECONTAMINATION, "op1_url_filter": URL_FILTER}

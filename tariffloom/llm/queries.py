@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tariffloom.llm.common import table
+from tariffloom.llm.decontam import contaminated, contamination
 from tariffloom.llm.url_filter import apply_rules, rule_table
 
 
@@ -12,4 +14,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "pages"), rule_table(spark))
 
 
-QUERIES = {"op1_url_filter": op1_url_filter}
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2("items", 256).alias("items_sha256"), contaminated().alias("contaminated"))
+
+
+QUERIES = {"op1_url_filter": op1_url_filter, "op9_decontamination": op9_decontamination}
