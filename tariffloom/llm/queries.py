@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tariffloom.llm.common import table
 from tariffloom.llm.decontam import contaminated, contamination
+from tariffloom.llm.simhash import near_duplicates
 from tariffloom.llm.url_filter import apply_rules, rule_table
 
 
@@ -14,10 +15,15 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "pages"), rule_table(spark))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
         "doc_id", "n_words", "n_hit", "n_items", F.sha2("items", 256).alias("items_sha256"), contaminated().alias("contaminated"))
 
 
-QUERIES = {"op1_url_filter": op1_url_filter, "op9_decontamination": op9_decontamination}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op5_simhash, op9_decontamination)}
