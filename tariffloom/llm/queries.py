@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tariffloom.llm.common import table
 from tariffloom.llm.decontam import contaminated, contamination
+from tariffloom.llm.packing import pack, word_count
 from tariffloom.llm.simhash import near_duplicates
 from tariffloom.llm.url_filter import apply_rules, rule_table
 
@@ -15,6 +16,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "pages"), rule_table(spark))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents").select("doc_id", word_count(F.col("text")).alias("length")))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
@@ -26,4 +31,4 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", "n_items", F.sha2("items", 256).alias("items_sha256"), contaminated().alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op5_simhash, op9_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op3_packing, op5_simhash, op9_decontamination)}
