@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffloom.llm.common import table
+from tariffloom.llm import toxicity
+from tariffloom.llm.common import fold, table
 from tariffloom.llm.decontam import contaminated, contamination
 from tariffloom.llm.packing import pack, word_count
 from tariffloom.llm.simhash import near_duplicates
@@ -31,4 +32,11 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", "n_items", F.sha2("items", 256).alias("items_sha256"), contaminated().alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op3_packing, op5_simhash, op9_decontamination)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.scored(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return found.select(
+        "doc_id", (fold("doc_id", toxicity.FOLDS) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op3_packing, op5_simhash, op9_decontamination, op10_toxicity)}
