@@ -9,6 +9,7 @@ from tariffloom.llm import toxicity
 from tariffloom.llm.common import fold, table
 from tariffloom.llm.decontam import contaminated, contamination
 from tariffloom.llm.packing import pack, word_count
+from tariffloom.llm.secrets import scan
 from tariffloom.llm.simhash import near_duplicates
 from tariffloom.llm.url_filter import apply_rules, rule_table
 
@@ -26,6 +27,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_novel")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -39,4 +45,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fold("doc_id", toxicity.FOLDS) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op3_packing, op5_simhash, op9_decontamination, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op3_packing, op5_simhash, op8_secrets, op9_decontamination, op10_toxicity)}
