@@ -26,13 +26,18 @@ def broadcast_if_small(df: DataFrame, size: Column, most: int = 8 << 20) -> tupl
     return (F.broadcast(df), True) if total <= most else (df, False)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the session's shared checkpoint folder; beside the warehouse where the session names none."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; one in the warehouse, which is shared as well, where the session names none."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
         named = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(named or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints")
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

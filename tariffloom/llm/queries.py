@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,4 +46,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fold("doc_id", toxicity.FOLDS) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op3_packing, op5_simhash, op8_secrets, op9_decontamination, op10_toxicity)}
+QUERIES = {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_url_filter, op3_packing, op5_simhash, op8_secrets, op9_decontamination, op10_toxicity)}
