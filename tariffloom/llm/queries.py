@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from tariffloom.llm.decontam import contaminated, contamination
 from tariffloom.llm.packing import pack, word_count
 from tariffloom.llm.secrets import scan
 from tariffloom.llm.simhash import near_duplicates
+from tariffloom.llm.token_count import token_counts
 from tariffloom.llm.url_filter import apply_rules, rule_table
 
 
@@ -19,6 +21,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "pages"), rule_table(spark))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents").select("doc_id", word_count(F.col("text")).alias("length")))
 
@@ -46,4 +52,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fold("doc_id", toxicity.FOLDS) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_url_filter, op3_packing, op5_simhash, op8_secrets, op9_decontamination, op10_toxicity)}
+QUERIES = {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_url_filter, op2_token_counts, op3_packing, op5_simhash, op8_secrets, op9_decontamination, op10_toxicity)}
