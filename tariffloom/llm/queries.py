@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffloom.llm import toxicity
+from tariffloom.llm import quality, toxicity
 from tariffloom.llm.common import fold, table
 from tariffloom.llm.decontam import contaminated, contamination
 from tariffloom.llm.packing import pack, word_count
@@ -29,6 +29,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents").select("doc_id", word_count(F.col("text")).alias("length")))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = quality.judged(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", *quality.COUNTS, "base_failed", "kept")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
@@ -52,4 +58,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fold("doc_id", toxicity.FOLDS) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_url_filter, op2_token_counts, op3_packing, op5_simhash, op8_secrets, op9_decontamination, op10_toxicity)}
+QUERIES = {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_url_filter, op2_token_counts, op3_packing, op4_quality_rules, op5_simhash, op8_secrets, op9_decontamination, op10_toxicity)}
