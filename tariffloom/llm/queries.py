@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffloom.llm import hidden_markov, quality, toxicity
+from tariffloom.llm import hidden_markov, quality, suffix_dedup, toxicity
 from tariffloom.llm.common import fold, table
 from tariffloom.llm.decontam import contaminated, contamination
 from tariffloom.llm.packing import pack, word_count
@@ -44,6 +44,10 @@ def op6_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hidden_markov.scores(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicated(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_novel")
@@ -62,4 +66,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fold("doc_id", toxicity.FOLDS) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_url_filter, op2_token_counts, op3_packing, op4_quality_rules, op5_simhash, op6_hidden_markov, op8_secrets, op9_decontamination, op10_toxicity)}
+QUERIES = {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_url_filter, op2_token_counts, op3_packing, op4_quality_rules, op5_simhash, op6_hidden_markov, op7_suffix_dedup, op8_secrets, op9_decontamination, op10_toxicity)}
