@@ -38,7 +38,7 @@ ASSIGN_WORDS = ("passw", "secret", "token", "api")
 LEAST, CONTEXT, NOVEL = 20, 64, 0.6
 CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
 SENSITIVE = re.compile(
-    r"passw|passphrase|secret|token|api[_-]?key|apikey|credential|bearer|authorization|private[_-]?key|access[_-]?key|client[_-]?id|"
+    r"passw|passphrase|secret|token|api[ _-]?key|credential|bearer|authorization|private[ _-]?key|access[ _-]?key|client[ _-]?id|"
     r"signature|akia|ssh-|\bauth\b", re.IGNORECASE | re.ASCII)
 #: Identifier words that prime the compressor, most frequent last as the format prefers.
 IDENTIFIERS = (
