@@ -2,11 +2,11 @@
 
 A wildcarded comparison is an OR and would leave the contract as the only join key, so every rule of a contract
 would meet every room of it. Here a rule keeps one key (its value or the wildcard mark) and an offer carries
-the four keys it can be reached by, so the whole wildcard test is an equi-join and only true matches are built.
+the keys it can be reached by, each once, so the whole wildcard test is an equi-join and only true matches are built.
 
-Contracts with very many rules are split further: their rules are spread over buckets, their offers visit each
-bucket. Which keys those are is counted first; the list is a top-k, so it cannot grow past ``max_keys`` whatever
-the data, and is the one thing broadcast here.
+Contracts with very many rules are split further: every key with more than ``per_bucket`` rules has its rules
+spread over buckets, and its offers visit each bucket. The list of such keys has at most one row for ``per_bucket``
+rules; how it is joined is left to adaptive execution.
 """
 
 from __future__ import annotations
@@ -19,15 +19,10 @@ from tariffloom.functions.predicates import WILD, rule_key
 KEYS = ["file_id", "room_key", "char_key"]
 
 
-def crowded_keys(df: DataFrame, keys: list[str], per_bucket: int, max_keys: int = 10_000) -> DataFrame:
-    """The ``max_keys`` most crowded keys with more than ``per_bucket`` rows, and the buckets they need.
-
-    A key that does not make the list is matched all the same, only unsplit.
-    """
+def crowded_keys(df: DataFrame, keys: list[str], per_bucket: int) -> DataFrame:
+    """All keys with more than ``per_bucket`` rows, and the buckets they need."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > per_bucket)
-    return counts.orderBy(F.desc("n")).limit(max_keys).selectExpr(
-        *keys, f"cast(ceil(n / {per_bucket}) as int) as buckets"
-    )
+    return counts.selectExpr(*keys, f"cast(ceil(n / {per_bucket}) as int) as buckets")
 
 
 def keyed_rules(rules: DataFrame) -> DataFrame:
@@ -37,9 +32,10 @@ def keyed_rules(rules: DataFrame) -> DataFrame:
 
 
 def keyed_offers(offers: DataFrame) -> DataFrame:
-    """The four keys of an offer, as the product of two short generators."""
-    return offers.selectExpr("*", f"explode(array(room_type, '{WILD}')) as room_key").selectExpr(
-        "*", f"explode(array(characteristic, '{WILD}')) as char_key"
+    """The keys of an offer, as the product of two short generators. A blank value is the wildcard mark itself and
+    gives one key only."""
+    return offers.selectExpr("*", f"explode(array_distinct(array(room_type, '{WILD}'))) as room_key").selectExpr(
+        "*", f"explode(array_distinct(array(characteristic, '{WILD}'))) as char_key"
     )
 
 
@@ -52,7 +48,7 @@ def match_rules(
     Filter the rules by date, booking window and stay length first: these tests need no offer.
     """
     right = keyed_rules(rules)
-    crowded = F.broadcast(crowded_keys(right, KEYS, per_bucket))
+    crowded = crowded_keys(right, KEYS, per_bucket)
     right = right.join(crowded, KEYS, "left").selectExpr(
         *right.columns, "cast(pmod(xxhash64(rule_id), coalesce(buckets, 1)) as int) as bucket"
     )

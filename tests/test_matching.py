@@ -46,22 +46,25 @@ def test_match_equals_brute_force(spark):
         assert set(rows) == pairs
 
 
-def test_crowded_keys_are_bounded(spark):
-    _, r, _, _ = fixture(spark)
-    keyed = matching.keyed_rules(r)
-    crowded = matching.crowded_keys(keyed, matching.KEYS, per_bucket=5)
+def test_every_crowded_key_is_split(spark):
+    rules = spark.range(30_000).selectExpr(
+        "id as rule_id", "concat('S', id % 3000) as file_id", "'' as room_type", "'' as characteristic")
+    crowded = matching.crowded_keys(matching.keyed_rules(rules), matching.KEYS, per_bucket=4)
     rows = crowded.collect()
-    assert rows and all(x.buckets > 1 for x in rows)
-    assert any(x.file_id == "S0" for x in rows)
-    assert matching.crowded_keys(keyed, matching.KEYS, per_bucket=5, max_keys=2).count() == 2
-
-
-def test_top_k_limit_never_loses_matches(spark, monkeypatch):
-    o, r, _, pairs = fixture(spark)
-    real = matching.crowded_keys
-    monkeypatch.setattr(matching, "crowded_keys", lambda df, keys, per: real(df, keys, per, max_keys=1))
-    got = matching.match_rules(o, r, F.col("weight") > 2, per_bucket=5)
-    assert {(x.cnct_id, x.rule_id) for x in got.select("cnct_id", "rule_id").collect()} == pairs
+    assert len(rows) == 3000 and {r.buckets for r in rows} == {3}
+    offers = spark.range(3000).selectExpr("id as cnct_id", "concat('S', id) as file_id", "'R' as room_type", "'' as characteristic")
+    assert matching.match_rules(offers, rules, per_bucket=4).select("cnct_id", "rule_id").distinct().count() == 30_000
+
+
+def test_blank_rooms_meet_a_rule_once(spark):
+    offers = spark.createDataFrame(
+        [("a", "S", "", ""), ("b", "S", "", "N"), ("c", "S", None, "N"), ("d", "S", "R", "N")],
+        "cnct_id string, file_id string, room_type string, characteristic string")
+    rules = spark.createDataFrame(
+        [(1, "S", "", None), (2, "S", None, "N"), (3, "S", "R", "")],
+        "rule_id bigint, file_id string, room_type string, characteristic string")
+    got = sorted((r.cnct_id, r.rule_id) for r in matching.match_rules(offers, rules).select("cnct_id", "rule_id").collect())
+    assert got == [("a", 1), ("b", 1), ("b", 2), ("c", 1), ("c", 2), ("d", 1), ("d", 2), ("d", 3)]
 
 
 def test_unmatched_offers_stay(spark):
