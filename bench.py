@@ -11,6 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tariffloom.plans.registry import QUERIES  # noqa: E402
 from tariffloom.session import build_session  # noqa: E402
+from tariffloom.sources.sinks import release  # noqa: E402
 
 HEADLINE = (
     "stay_availability", "coverage_having", "pax_classify", "board_rules", "discount_rules", "or_join", "room_types",
@@ -40,6 +41,7 @@ def main() -> None:
         # every row and column is produced, none is brought to the driver
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
+    release(spark)
     spark.stop()
     print(json.dumps({
         "metric": "total_query_seconds",

@@ -294,7 +294,7 @@ FROM board_left
 GROUP BY GROUPING SETS ((cnct_id, file_id, room_type, characteristic, base_board),
                         (cnct_id, file_id, board_code, cnsr_is_per_pax, cnsr_amount, cnsr_percentage))""", "board_left"),
     "room_board_price": _sql(f"""
-SELECT file_id, rt_id, room_type, characteristic, board, sum_nights, stay_cents / 100.0::DOUBLE AS stay_amount, terms,
+SELECT file_id, rt_id, room_type, characteristic, coalesce(rate, '') AS rate, board, sum_nights, stay_cents / 100.0::DOUBLE AS stay_amount, terms,
        {money('room_price')} AS room_price, {money('board_price')} AS board_price FROM priced""", "priced"),
     "room_board_price_flag": _sql(f"""
 WITH b AS (SELECT *, CASE WHEN is_price_per_pax = 'Y' THEN room_amount * paxes ELSE room_amount END AS room FROM board_match)
@@ -447,9 +447,13 @@ WINDOW w AS (PARTITION BY cnct_id ORDER BY deltas."order" NULLS LAST, sad_code,
              amount NULLS LAST, percentage NULLS LAST, days ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
                           "discount_match", "base"),
     "cached_search": _sql(f"""
-SELECT file_id, rt_id, city_code, room_type, characteristic, board, sum_nights, terms, {money('room_price')} AS room_price,
-       {money('board_price')} AS board_price, {money('price')} AS price
+SELECT file_id, rt_id, city_code, room_type, characteristic, coalesce(rate, '') AS rate, board, sum_nights, terms,
+       {money('room_price')} AS room_price, {money('board_price')} AS board_price, {money('price')} AS price
 FROM prices WHERE city_code LIKE 'NATION_1%'""", "prices"),
+    "cached_search_family": _sql(f"""
+SELECT file_id, rt_id, city_code, room_type, characteristic, coalesce(rate, '') AS rate, board, sum_nights, terms,
+       {money('room_price')} AS room_price, {money('board_price')} AS board_price, {money('price')} AS price
+FROM prices_family""", "prices_family"),
     "discounts_for_stay": _sql(f"""
 SELECT t.file_id, t.hotel_id, {_text('t.initial_date')}, {_text('t.final_date')}, t.room_type, t.characteristic,
        t.is_price_per_pax, coalesce(r.is_per_pax, '') AS cnsr_is_per_pax, t.base_board, t.amount, 5 AS age
@@ -462,6 +466,11 @@ SELECT file_id, rule_id, code, type, application_type, pax_order, {_text('initia
 FROM cnsu ORDER BY file_id, rule_id, code, cnsu.initial_date LIMIT 100""", "cnsu"),
 }
 
+# an answer that rounds to the price, then the nearest, then the smaller
+NEAREST = (
+    "CASE WHEN round_even(api_amount, 0) <> round_even(price, 0) THEN 1 ELSE 0 END, round(abs(api_amount - price), 4), api_amount"
+)
+
 CHECKS = {
     "api_dedup": _sql("""
 SELECT DISTINCT req_id, check_in, check_out, contract_number, contract_name, room_type, characteristic, board, currency, amount
@@ -473,16 +482,22 @@ FROM cnct GROUP BY file_id, hotel_id, room_type, characteristic, is_price_per_pa
 HAVING count(*) > 1""", "cnct"),
     "reconcile_prices": _sql(f"""
 WITH a AS (SELECT DISTINCT contract_number, contract_name, room_type, characteristic, board, amount AS api_amount FROM api),
-p AS (SELECT CAST(contract_number AS VARCHAR) AS contract_number, contract_name, room_type, characteristic, board, price FROM prices)
-SELECT p.contract_number, p.contract_name, p.room_type, p.characteristic, p.board, {money('price')} AS price, api_amount,
+p AS (SELECT row_number() OVER () AS n, CAST(contract_number AS VARCHAR) AS contract_number, contract_name, room_type,
+             characteristic, board, price FROM prices),
+met AS (SELECT *, row_number() OVER (PARTITION BY n ORDER BY {NEAREST}) AS place
+        FROM p JOIN a USING (contract_number, contract_name, room_type, characteristic, board))
+SELECT contract_number, contract_name, room_type, characteristic, board, {money('price')} AS price, api_amount,
        round_even(api_amount, 0) - round_even(price, 0) AS difference
-FROM p LEFT JOIN a USING (contract_number, contract_name, room_type, characteristic, board)
-WHERE round_even(api_amount, 0) <> round_even(price, 0)""", "api", "prices"),
+FROM met WHERE place = 1 AND round_even(api_amount, 0) <> round_even(price, 0)""", "api", "prices"),
     "price_check": _sql(f"""
-WITH a AS (SELECT DISTINCT contract_number, contract_name, room_type, characteristic, board, amount AS api_amount FROM api)
-SELECT a.*, {money('room_price')} AS room_price, {money('board_price')} AS board_price, {money('price')} AS price
-FROM prices p JOIN a ON a.contract_number = CAST(p.contract_number AS VARCHAR) AND a.contract_name = p.contract_name
- AND a.room_type = p.room_type AND a.characteristic = p.characteristic AND a.board = p.board""", "api", "prices"),
+WITH a AS (SELECT DISTINCT contract_number, contract_name, room_type, characteristic, board, amount AS api_amount FROM api),
+p AS (SELECT row_number() OVER () AS n, CAST(contract_number AS VARCHAR) AS contract_number, contract_name, room_type,
+             characteristic, board, room_price, board_price, price FROM prices),
+met AS (SELECT *, row_number() OVER (PARTITION BY n ORDER BY {NEAREST}) AS place
+        FROM p JOIN a USING (contract_number, contract_name, room_type, characteristic, board))
+SELECT contract_number, contract_name, room_type, characteristic, board, api_amount, {money('room_price')} AS room_price,
+       {money('board_price')} AS board_price, {money('price')} AS price
+FROM met WHERE place = 1""", "api", "prices"),
     "missing_from_api": _sql("""
 SELECT file_id, CAST(contract_number AS VARCHAR) AS contract_number, contract_name, room_type, characteristic, board
 FROM prices p WHERE NOT EXISTS (

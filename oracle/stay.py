@@ -64,6 +64,13 @@ SELECT file_id, room_type, characteristic, base_board, is_price_per_pax,
 FROM cnct WHERE {TOUCHES}
 GROUP BY file_id, room_type, characteristic, base_board, is_price_per_pax
 HAVING sum({SHARED_NIGHTS}) >= {NIGHTS}"""),
+    "sold": (("cnct",), f"""
+SELECT file_id, room_type, characteristic, base_board, is_price_per_pax, count(*) AS sum_nights,
+       CAST(sum({CENTS}) AS DOUBLE) / 100 AS stay_amount
+FROM cnct JOIN (SELECT CAST(range AS DATE) AS night FROM range({IN}, {OUT}, INTERVAL 1 DAY)) n
+  ON n.night >= initial_date AND n.night < final_date
+GROUP BY file_id, room_type, characteristic, base_board, is_price_per_pax
+HAVING count(DISTINCT night) = {NIGHTS}"""),
     "guests": (("ccon",), """
 SELECT file_id, pax_id, age,
        CASE WHEN kind = 'child' THEN row_number() OVER (PARTITION BY file_id, kind ORDER BY age, pax_id) END AS child_id,
@@ -76,11 +83,11 @@ SELECT file_id, CAST(count(*) - count(infant_id) AS INTEGER) AS paxes,
        CAST(count(*) - count(infant_id) - count(child_id) AS INTEGER) AS adults,
        CAST(count(child_id) AS INTEGER) AS childes, CAST(count(infant_id) AS INTEGER) AS infants
 FROM guests GROUP BY file_id"""),
-    "offers": (("rooms", "cnha", "ccon", "hotel_supplier", "party"), """
+    "offers": (("sold", "cnha", "ccon", "hotel_supplier", "party"), """
 SELECT md5(r.file_id || '.' || r.room_type || '.' || r.characteristic || '.' || r.base_board) AS cnct_id,
        r.*, r.stay_amount / r.sum_nights AS room_amount, c.hotel_code, c.contract_number, c.contract_name,
        h.standard_capacity, h.max_pax, h.max_children, p.paxes, p.adults, p.childes, p.infants
-FROM rooms r JOIN cnha h USING (file_id, room_type, characteristic) JOIN ccon c USING (file_id)
+FROM sold r JOIN cnha h USING (file_id, room_type, characteristic) JOIN ccon c USING (file_id)
 JOIN hotel_supplier s ON s.supplier_hotel_code = c.hotel_code AND s.supplier_id = 5
 JOIN party p USING (file_id)
 WHERE p.paxes > 0 AND h.max_pax >= p.paxes AND h.max_children >= p.childes"""),
@@ -178,35 +185,6 @@ JOIN cnsr r ON {same_room('r', 't')} AND t.initial_date < r.final_date AND r.ini
  AND CASE WHEN t.generic_rate IS NOT NULL THEN CAST(r.rate AS VARCHAR) = t.generic_rate
           WHEN t.specific_rate <> '0' THEN CAST(r.rate AS VARCHAR) = t.specific_rate END
 WHERE r.board_code IS NOT NULL"""),
-    "cached": (("cache",), f"""
-SELECT file_id, rt_id, country_code, city_code, hotel_code, contract_name, contract_number, room_type, characteristic,
-       board, meal_type, currency_code, is_price_per_pax, childe_ages, standard_capacity, min_pax, max_pax,
-       max_adult, max_children, max_infant, min_adult, min_children,
-       child_from, child_to, cnsr_amount, cnsr_percentage, cnsr_is_per_pax, age_from, age_to,
-       CAST(sum(date_diff('day', greatest(lo, {IN}), least(hi, {OUT}))) AS BIGINT) AS sum_nights,
-       CAST(sum(date_diff('day', greatest(lo, {IN}), least(hi, {OUT})) * {CENTS}) AS BIGINT) AS stay_cents
-FROM cache
-WHERE lo < {OUT} AND hi > {IN} AND min_nights <= {NIGHTS}
-  AND 2 BETWEEN min_pax AND max_pax AND 2 BETWEEN min_adult AND max_adult
-GROUP BY ALL
-HAVING sum(date_diff('day', greatest(lo, {IN}), least(hi, {OUT}))) >= {NIGHTS}"""),
-    "terms": (("cached",), """
-SELECT *, CASE WHEN is_price_per_pax = 'Y' THEN nightly * 2 ELSE nightly END AS room
-FROM (SELECT *, stay_cents / 100.0::DOUBLE / sum_nights AS nightly FROM cached)
-WHERE (age_from = 0 AND age_to = 0) OR ((age_from IS NULL OR age_from <= 30) AND (age_to IS NULL OR 30 < age_to))"""),
-    "priced": (("terms",), """
-SELECT file_id, rt_id, country_code, city_code, hotel_code, contract_name, contract_number, room_type, characteristic,
-       board, meal_type, currency_code, is_price_per_pax, childe_ages, standard_capacity, min_pax, max_pax,
-       child_from, child_to, sum_nights, stay_cents, max(room) AS room_price, count(*) AS terms,
-       sum(CASE WHEN cnsr_amount <> 0 AND cnsr_is_per_pax = 'N' THEN cnsr_amount
-                WHEN cnsr_amount <> 0 AND cnsr_is_per_pax = 'Y' THEN cnsr_amount * 2
-                WHEN cnsr_percentage <> 0 AND cnsr_is_per_pax = 'N' AND is_price_per_pax = 'N' THEN room * cnsr_percentage / 100
-                WHEN cnsr_percentage <> 0 AND cnsr_is_per_pax = 'Y' AND is_price_per_pax = 'N'
-                  THEN room * cnsr_percentage / 100 / standard_capacity * 2
-                WHEN cnsr_percentage <> 0 AND is_price_per_pax = 'Y' THEN room * cnsr_percentage / 100 * standard_capacity
-                ELSE 0 END) AS board_price
-FROM terms GROUP BY ALL"""),
-    "prices": (("priced",), f"SELECT *, (room_price + board_price) * {NIGHTS} AS price FROM priced"),
     "api": (("prices",), f"""
 SELECT contract_number AS req_id, city_code AS destination_code, CAST(hotel_code AS INTEGER) AS hotel_id,
        CAST(contract_number AS VARCHAR) AS contract_number, contract_name, '1998-08-20' AS check_in,
@@ -215,3 +193,49 @@ SELECT contract_number AS req_id, city_code AS destination_code, CAST(hotel_code
        round(price + CASE WHEN contract_number % 5 = 0 THEN 1 ELSE 0 END + 1e-7::DOUBLE, 2) AS amount, min_pax, max_pax
 FROM prices CROSS JOIN (VALUES (1), (2)) AS copies(copy) WHERE contract_number % 7 <> 0"""),
 }
+
+
+def _party(kind: str, ages: tuple[int, ...]) -> str:
+    """Number of guests of a kind by the child ages of a contract, one CASE for each guest."""
+    test = {"infant": "{a} < child_from", "child": "{a} BETWEEN child_from AND child_to", "adult": "{a} > child_to"}[kind]
+    return "(" + " + ".join(f"CASE WHEN {test.format(a=a)} THEN 1 ELSE 0 END" for a in ages) + ")"
+
+
+def cached_views(suffix: str, ages: tuple[int, ...]) -> dict[str, tuple[tuple[str, ...], str]]:
+    """Search over the cache for a party: what covers the stay, its board terms, its prices."""
+    someone = " OR ".join(f"((age_from IS NULL OR age_from <= {a}) AND (age_to IS NULL OR {a} < age_to))" for a in sorted(set(ages)))
+    offer = (
+        "file_id, rt_id, country_code, city_code, hotel_code, contract_name, contract_number, room_type, characteristic, rate, "
+        "board, meal_type, currency_code, is_price_per_pax, childe_ages, standard_capacity, min_pax, max_pax, max_adult, "
+        "max_children, max_infant, min_adult, min_children, child_from, child_to, paxes"
+    )
+    return {
+        f"cached{suffix}": (("cache",), f"""
+SELECT {offer}, cnsr_amount, cnsr_percentage, cnsr_is_per_pax, age_from, age_to,
+       CAST(sum(date_diff('day', greatest(lo, {IN}), least(hi, {OUT}))) AS BIGINT) AS sum_nights,
+       CAST(sum(date_diff('day', greatest(lo, {IN}), least(hi, {OUT})) * {CENTS}) AS BIGINT) AS stay_cents
+FROM (SELECT *, {_party('adult', ages)} + {_party('child', ages)} AS paxes, {_party('adult', ages)} AS adults,
+             {_party('child', ages)} AS childes FROM cache) c
+WHERE lo < {OUT} AND hi > {IN} AND min_nights <= {NIGHTS} AND paxes > 0 AND paxes >= min_pax AND paxes <= max_pax
+  AND adults >= min_adult AND adults <= max_adult AND childes <= max_children
+GROUP BY {offer}, cnsr_amount, cnsr_percentage, cnsr_is_per_pax, age_from, age_to
+HAVING sum(date_diff('day', greatest(lo, {IN}), least(hi, {OUT}))) >= {NIGHTS}"""),
+        f"terms{suffix}": ((f"cached{suffix}",), f"""
+SELECT *, CASE WHEN is_price_per_pax = 'Y' THEN nightly * paxes ELSE nightly END AS room
+FROM (SELECT *, stay_cents / 100.0::DOUBLE / sum_nights AS nightly FROM cached{suffix}) n
+WHERE (age_from = 0 AND age_to = 0) OR {someone}"""),
+        f"priced{suffix}": ((f"terms{suffix}",), f"""
+SELECT {offer}, sum_nights, stay_cents, max(room) AS room_price, count(*) AS terms,
+       sum(CASE WHEN cnsr_amount <> 0 AND cnsr_is_per_pax = 'N' THEN cnsr_amount
+                WHEN cnsr_amount <> 0 AND cnsr_is_per_pax = 'Y' THEN cnsr_amount * paxes
+                WHEN cnsr_percentage <> 0 AND cnsr_is_per_pax = 'N' AND is_price_per_pax = 'N' THEN room * cnsr_percentage / 100
+                WHEN cnsr_percentage <> 0 AND cnsr_is_per_pax = 'Y' AND is_price_per_pax = 'N'
+                  THEN room * cnsr_percentage / 100 / standard_capacity * paxes
+                WHEN cnsr_percentage <> 0 AND is_price_per_pax = 'Y' THEN room * cnsr_percentage / 100 * standard_capacity
+                ELSE 0 END) AS board_price
+FROM terms{suffix} GROUP BY {offer}, sum_nights, stay_cents"""),
+        f"prices{suffix}": ((f"priced{suffix}",), f"SELECT *, (room_price + board_price) * {NIGHTS} AS price FROM priced{suffix}"),
+    }
+
+
+STAY_VIEWS |= cached_views("", (30, 30)) | cached_views("_family", (1, 5, 30, 30))

@@ -16,9 +16,11 @@ ROOM = ["file_id", "room_type", "characteristic"]
 
 
 def touching(prices: DataFrame, stay: Stay) -> DataFrame:
-    """Price rows that share a night with the stay; the plain comparison is pushed into the scan."""
-    return prices.filter((F.col("initial_date") < stay.hi) & (F.col("final_date") > stay.lo)).withColumn(
-        "nights", iv.common_nights(F.col("initial_date"), F.col("final_date"), stay.lo, stay.hi)
+    """Price rows that share a night with the stay; the plain comparisons are pushed into the scan. Rows of no night,
+    or with reversed dates, share none."""
+    lo, hi = F.col("initial_date"), F.col("final_date")
+    return prices.filter((lo < stay.hi) & (hi > stay.lo) & (lo < hi)).withColumn(
+        "nights", iv.common_nights(lo, hi, stay.lo, stay.hi)
     )
 
 
@@ -69,6 +71,44 @@ def covered_rooms(prices: DataFrame, stay: Stay, key: tuple[str, ...] = ROOM_KEY
     )
 
 
+NIGHTS_A_WORD = 62
+
+
+def night_words(stay: Stay) -> list[tuple[Column, int]]:
+    """The nights of the stay that a price row covers, as bits: one number for each 62 nights, with its full value."""
+    first = F.greatest(F.datediff(F.col("initial_date"), stay.lo), F.lit(0))
+    last = F.least(F.datediff(F.col("final_date"), stay.lo), F.lit(stay.nights))
+    out = []
+    for base in range(0, stay.nights, NIGHTS_A_WORD):
+        size = min(stay.nights - base, NIGHTS_A_WORD)
+        a, b = F.greatest(first - base, F.lit(0)), F.least(last - base, F.lit(size))
+        one = F.lit(1).cast("long")
+        bits = F.when(b > a, F.call_function("shiftleft", one, b) - F.call_function("shiftleft", one, a)).otherwise(F.lit(0).cast("long"))
+        out.append((bits, (1 << size) - 1))
+    return out
+
+
+def sold_rooms(prices: DataFrame, stay: Stay, key: tuple[str, ...] = ROOM_KEY) -> DataFrame:
+    """Rooms with a price for every night of the stay: the sums of ``available_rooms`` under exact coverage.
+
+    Covered nights are the union of bits, so the rows are neither expanded nor made distinct: one aggregation,
+    combined before its shuffle.
+    """
+    words = night_words(stay)
+    sums = (
+        touching(prices, stay)
+        .groupBy(*key)
+        .agg(
+            F.sum("nights").cast("bigint").alias("sum_nights"),
+            F.sum(F.col("nights") * F.col("amount").cast(MONEY)).alias("stay_amount"),
+            *[F.bit_or(bits).alias(f"covered_{k}") for k, (bits, _) in enumerate(words)],
+        )
+    )
+    for k, (_, full) in enumerate(words):
+        sums = sums.filter(F.col(f"covered_{k}") == F.lit(full).cast("long")).drop(f"covered_{k}")
+    return sums
+
+
 def with_party(contracts: DataFrame, ages: Column) -> DataFrame:
     """Guests of the party per contract, classified by the contract's child-age bounds."""
     return (
@@ -104,11 +144,11 @@ def sold_contracts(tables, hotels: DataFrame) -> DataFrame:
 
 
 def offers(tables, stay: Stay) -> DataFrame:
-    """Available rooms with capacity, contract header, hotel and classified guests.
+    """Rooms with a price for every night, with capacity, contract header, hotel and classified guests.
 
     ``amount`` is the price of one night, averaged over the stay.
     """
-    rooms = available_rooms(tables.table("cnct"), stay)
+    rooms = sold_rooms(tables.table("cnct"), stay)
     hotels = sold_by(tables.table("hotel_supplier"), stay)
     contracts = with_party(sold_contracts(tables, hotels), stay.ages_col)
     return (

@@ -114,16 +114,27 @@ def build_nightly_cache(tables, supplier_id: int = 5) -> DataFrame:
 
 CACHE_OFFER = [
     "file_id", "rt_id", "country_code", "city_code", "hotel_code", "contract_name", "contract_number", "room_type",
-    "characteristic", "board", "meal_type", "currency_code", "is_price_per_pax", "min_nights", "childe_ages",
+    "characteristic", "rate", "board", "meal_type", "currency_code", "is_price_per_pax", "min_nights", "childe_ages",
     *CAPACITY,
 ]
 BOARD_TERM = ["cnsr_amount", "cnsr_percentage", "cnsr_is_per_pax", "cnsr_pax_ages"]
 
 
-def occupancy(n: int) -> Column:
-    """The party, counted as adults, against the occupancy bounds of a room."""
+def party_of(ages: Column) -> dict[str, Column]:
+    """Paying guests, adults and children of the party by the child ages of the contract: infants are younger than
+    they begin, adults older than they end. Without child ages every guest is an adult."""
+    lo, hi = F.col("childe_ages")["lo"], F.col("childe_ages")["hi"]
+    number = lambda test: F.size(F.filter(ages, lambda a: F.coalesce(test(a), F.lit(False))))
+    paxes = F.size(ages) - number(lambda a: a < lo)
+    childes = number(lambda a: (a >= lo) & (a < hi))
+    return {"paxes": paxes, "adults": paxes - childes, "childes": childes}
+
+
+def occupancy() -> Column:
+    """The classified party against the occupancy bounds of a room; infants need no place."""
     return (
-        (F.col("min_pax") <= n) & (F.col("max_pax") >= n) & (F.col("min_adult") <= n) & (F.col("max_adult") >= n)
+        (F.col("paxes") > 0) & F.col("paxes").between(F.col("min_pax"), F.col("max_pax"))
+        & F.col("adults").between(F.col("min_adult"), F.col("max_adult")) & (F.col("childes") <= F.col("max_children"))
     )
 
 
@@ -136,13 +147,14 @@ def cached_offers(cache: DataFrame, stay: Stay) -> DataFrame:
     found = (
         cache.filter((lo < stay.hi) & (hi > stay.lo) & (lo < hi))
         .filter(F.col("min_nights") <= stay.nights)
-        .filter(occupancy(len(stay.ages)))
+        .withColumns(party_of(stay.ages_col))
+        .filter(occupancy())
     )
     if stay.city_prefix:
         found = found.filter(F.col("city_code").startswith(stay.city_prefix))
     nights = iv.common_nights(lo, hi, stay.lo, stay.hi)
     return (
-        found.groupBy(*CACHE_OFFER, *BOARD_TERM)
+        found.groupBy(*CACHE_OFFER, *BOARD_TERM, "paxes")
         .agg(F.sum(nights).cast("bigint").alias("sum_nights"), F.sum(nights * F.col("amount").cast(MONEY)).alias("stay_amount"))
         .filter(F.col("sum_nights") >= stay.nights)
     )
@@ -152,8 +164,9 @@ def priced_offers(cache: DataFrame, stay: Stay) -> DataFrame:
     """Room and board price per offer for one night, and the price of the stay.
 
     A board term counts when it has no age limit or some guest is inside it; the terms of an offer are added up.
+    Prices per guest are for the paying guests. Rates are different offers.
     """
-    guests = F.lit(len(stay.ages))
+    guests = F.col("paxes")
     allowed = iv.is_empty(F.col("cnsr_pax_ages")) | F.exists(
         stay.ages_col, lambda age: iv.in_range(age, F.col("cnsr_pax_ages"))
     )
@@ -166,7 +179,7 @@ def priced_offers(cache: DataFrame, stay: Stay) -> DataFrame:
     return (
         cached_offers(cache, stay)
         .filter(allowed)
-        .groupBy(*CACHE_OFFER, "sum_nights", "stay_amount")
+        .groupBy(*CACHE_OFFER, "paxes", "sum_nights", "stay_amount")
         .agg(F.max(room).alias("room_price"), F.sum(term).alias("board_price"), F.count(F.lit(1)).alias("terms"))
         .withColumn("price", (F.col("room_price") + F.col("board_price")) * stay.nights)
     )

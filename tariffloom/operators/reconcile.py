@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,16 +23,35 @@ def keyed(offers: DataFrame) -> DataFrame:
     return offers.withColumn("contract_number", F.col("contract_number").cast("string"))
 
 
+def nearest_answer(offers: DataFrame, api: DataFrame) -> DataFrame:
+    """Answered offers, each once, with the nearest of the answers under its keys.
+
+    The keys don't tell an offer from its other rates, so several answers may meet it. One that rounds to its price comes
+    first, then the one least away, then the smaller.
+    """
+    ours = keyed(offers)
+    away = F.struct(
+        (F.bround("api_amount") != F.bround("price")).alias("differs"),
+        F.round(F.abs(F.col("api_amount") - F.col("price")), 4).alias("away"), F.col("api_amount").alias("amount"),
+    )
+    met = ours.join(api_side(api).filter(F.col("api_amount").isNotNull()), API_KEY)
+    return met.groupBy(*[f"`{c}`" for c in ours.columns]).agg(F.min(away)["amount"].alias("api_amount"))
+
+
 def reconcile(offers: DataFrame, api: DataFrame) -> DataFrame:
-    """Offers whose rounded price differs from the answer; halves round to even on both sides."""
-    joined = keyed(offers).join(api_side(api), API_KEY, "left")
+    """Answered offers of which no answer has the rounded price; halves round to even on both sides."""
     ours, theirs = F.bround("price"), F.bround("api_amount")
-    return joined.filter(theirs != ours).withColumn("difference", theirs - ours)
+    return nearest_answer(offers, api).filter(theirs != ours).withColumn("difference", theirs - ours)
 
 
 def price_check(offers: DataFrame, api: DataFrame) -> DataFrame:
-    """Offers next to their answer, matched ones only."""
-    return keyed(offers).join(api_side(api), API_KEY)
+    """Offers next to their nearest answer, answered ones only."""
+    return nearest_answer(offers, api)
+
+
+def answers_for(api: DataFrame, check_in: dt.date, check_out: dt.date) -> DataFrame:
+    """Answers about one stay."""
+    return api.filter((F.col("check_in") == F.lit(check_in)) & (F.col("check_out") == F.lit(check_out)))
 
 
 def missing_from_api(offers: DataFrame, api: DataFrame) -> DataFrame:

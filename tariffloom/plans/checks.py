@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from tariffloom import schemas
 from tariffloom.functions.keys import money
 from tariffloom.operators import reconcile as rec
-from tariffloom.plans.common import api_answers, query, searched_prices
+from tariffloom.plans.common import COUPLE, api_answers, query, searched_prices
 from tariffloom.sources.stored import conform, parse_text_dates
 
 KEY = rec.API_KEY
 
 
 def _answers(prices: DataFrame) -> DataFrame:
-    return conform(parse_text_dates(api_answers(prices), schemas.API), "api")
+    typed = conform(parse_text_dates(api_answers(prices), schemas.API), "api")
+    return rec.answers_for(typed, COUPLE.check_in, COUPLE.check_out)
 
 
 @query

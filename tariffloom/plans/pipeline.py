@@ -109,17 +109,27 @@ def running_price(t) -> DataFrame:
     )
 
 
-@query
-def cached_search(t) -> DataFrame:
-    """Priced search over the cache for one city prefix."""
-    found = search_cache(cache_ops.build_cache(t), COUPLE)
+def _cached(t, stay) -> DataFrame:
+    found = search_cache(cache_ops.build_cache(t), stay)
     return found.select(
-        "file_id", "rt_id", "city_code", "room_type", "characteristic", "board", "sum_nights", "terms",
+        "file_id", "rt_id", "city_code", "room_type", "characteristic", F.coalesce("rate", F.lit("")).alias("rate"), "board", "sum_nights", "terms",
         money(F.col("room_price")).alias("room_price"), money(F.col("board_price")).alias("board_price"),
         money(F.col("price")).alias("price"),
     )
 
 
+@query
+def cached_search(t) -> DataFrame:
+    """Priced search over the cache for one city prefix."""
+    return _cached(t, COUPLE)
+
+
+@query
+def cached_search_family(t) -> DataFrame:
+    """The same for two adults, a child and an infant, in any city."""
+    return _cached(t, FAMILY)
+
+
 @query
 def discounts_of_stay(t) -> DataFrame:
     """Price rows of the stay with the board rules that outlast it."""
@@ -145,6 +155,7 @@ QUERIES = {
     "price_fold": price_fold,
     "running_price": running_price,
     "cached_search": cached_search,
+    "cached_search_family": cached_search_family,
     "discounts_for_stay": discounts_of_stay,
     "rule_passthrough": rule_passthrough,
 }

@@ -133,7 +133,8 @@ def room_board_price(t) -> DataFrame:
     """Room and board price of the cached offers; every board term brings its own flag."""
     prices = priced_offers(build_cache(t), ANY_CITY)
     return prices.select(
-        "file_id", "rt_id", "room_type", "characteristic", "board", "sum_nights", "stay_amount", "terms",
+        "file_id", "rt_id", "room_type", "characteristic", F.coalesce("rate", F.lit("")).alias("rate"), "board", "sum_nights",
+        "stay_amount", "terms",
         money(F.col("room_price")).alias("room_price"), money(F.col("board_price")).alias("board_price"),
     )
 

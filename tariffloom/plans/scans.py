@@ -158,13 +158,13 @@ def city_prefix(t) -> DataFrame:
 @query
 def stay_availability(t) -> DataFrame:
     """Rooms of a city that cover the stay and hold the party."""
-    party = len(COUPLE.ages)
     hotels = av.sold_by(t.table("hotel_supplier"), COUPLE)
-    contracts = av.sold_contracts(t, hotels)
+    contracts = av.with_party(av.sold_contracts(t, hotels), COUPLE.ages_col)
     return (
         av.available_rooms(t.table("cnct"), COUPLE)
-        .join(t.table("cnha").filter(occupancy(party)).drop("hotel_id"), av.ROOM)
+        .join(t.table("cnha").drop("hotel_id"), av.ROOM)
         .join(contracts, "file_id")
+        .filter(occupancy())
         .select(
             "country_code", "city_code", "file_id", "contract_name", "room_type", "characteristic", "base_board",
             "is_price_per_pax", "standard_capacity", "sum_nights", "stay_amount",

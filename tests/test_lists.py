@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 import json
 import random
@@ -13,7 +14,8 @@ from tariffloom.functions import pricing as px
 from tariffloom.functions.keys import md5_key, surrogate
 from tariffloom.operators import reconcile as rec
 from tariffloom.operators import rooms, rule_list, terms
-from tariffloom.operators.availability import available_rooms, covered_rooms
+from tariffloom.operators.availability import available_rooms, covered_rooms, sold_rooms
+from tariffloom.params import Stay
 from tariffloom.plans.common import FAMILY
 
 LISTED = "cnct_id string, file_id string, sad_name string, sad_code string"
@@ -109,11 +111,19 @@ def test_availability_counts_nights(spark):
         ("two", "1998-08-01", "1998-08-23"), ("two", "1998-08-23", "1998-09-01"),    # adjacent intervals
         ("gap", "1998-08-01", "1998-08-22"), ("gap", "1998-08-23", "1998-09-01"),    # one night missing
         ("twice", "1998-08-01", "1998-08-24"), ("twice", "1998-08-20", "1998-08-24"),  # overlapping, not covering
+        ("none", "1998-08-21", "1998-08-21"), ("back", "1998-08-30", "1998-08-10"),  # no night, reversed
+        ("more", "1998-08-01", "1998-08-23"), ("more", "1998-08-22", "1998-08-31"),  # overlapping, covering
     ])
     summed = {r.room_type: r.sum_nights for r in available_rooms(df, FAMILY).collect()}
     exact = {r.room_type: r.covered_nights for r in covered_rooms(df, FAMILY).collect()}
-    assert summed == {"two": 6, "twice": 8}
-    assert exact == {"two": 6}
+    sold = {r.room_type: (r.sum_nights, float(r.stay_amount)) for r in sold_rooms(df, FAMILY).collect()}
+    assert summed == {"two": 6, "twice": 8, "more": 7}
+    assert exact == {"two": 6, "more": 6}
+    assert sold == {"two": (6, 60.0), "more": (7, 70.0)}
+    long = Stay(dt.date(1998, 1, 1), dt.date(1998, 7, 20), (30,), dt.date(1998, 1, 1))  # more nights than one number has bits
+    whole = prices([("whole", "1997-12-01", "1998-05-05"), ("whole", "1998-05-05", "1998-08-01"), ("hole", "1997-12-01", "1998-05-05"),
+                    ("hole", "1998-05-06", "1998-08-01")])
+    assert [r.room_type for r in sold_rooms(whole, long).collect()] == ["whole"]
 
 
 def test_reconciliation(spark):
@@ -126,6 +136,10 @@ def test_reconciliation(spark):
     differs = rec.reconcile(ours, api).collect()
     assert [(r.board, r.difference) for r in differs] == [("HB", 1.0)]  # 2.5 rounds to the even 2
     assert rec.price_check(ours, api).count() == 2
+    # several answers under the keys of an offer: it agrees if any of them does, and stands next to the nearest
+    more = api.union(spark.createDataFrame([("1", "c", "R", "A", "HB", 10.4), ("1", "c", "R", "A", "BB", 50.0)], api.schema))
+    assert rec.reconcile(ours, more).count() == 0
+    assert sorted((r.board, r.api_amount) for r in rec.price_check(ours, more).collect()) == [("BB", 2.0), ("HB", 10.4)]
     assert [r.contract_number for r in rec.missing_from_api(ours, api).collect()] == ["2"]
 
 
