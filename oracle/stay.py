@@ -155,36 +155,33 @@ SELECT cnct_id, file_id, room_type, characteristic, base_board, is_price_per_pax
        sum(service_base_board_price) AS sbbp_1, sum(pax_base_board_price) AS pbbp_1,
        max(cnsr_is_per_pax) AS board_flag
 FROM board_left GROUP BY cnct_id, file_id, room_type, characteristic, base_board, is_price_per_pax, paxes, standard_capacity"""),
-    "cache": (("cnct", "ccon", "cnha", "hotel_supplier", "cnsr"), f"""
-SELECT t.file_id, md5(c.contract_name || '.' || c.contract_number || '.' || t.room_type || '.' || t.characteristic || '.' || t.base_board) AS rt_id,
-       s.country_code, s.city_code, c.hotel_code, c.contract_name, c.contract_number,
-       t.room_type || '.' || t.characteristic AS room_type_id, t.base_board || '-' || c.company_code AS meal_type,
-       t.room_type, t.characteristic, CASE WHEN t.generic_rate IS NOT NULL THEN t.generic_rate ELSE t.specific_rate END AS rate,
-       t.base_board AS board, 0.0::DOUBLE AS cnsr_amount, 0.0::DOUBLE AS cnsr_percentage, '' AS cnsr_is_per_pax,
-       t.initial_date AS lo, t.final_date AS hi, c.currency AS currency_code, 0 AS adult_price, 0 AS child_price,
-       t.amount, t.is_price_per_pax, 0 AS min_nights, h.standard_capacity, h.min_pax, h.max_pax, h.max_adult,
-       h.max_children, h.max_infant, h.min_adult, h.min_children,
-       '[' || c.minimum_child_age || ',' || (c.maximum_child_age + 1) || ')' AS childe_ages, '[0,0)' AS cnsr_pax_ages,
-       0 AS age_from, 0 AS age_to, c.minimum_child_age AS child_from, c.maximum_child_age AS child_to
-FROM cnct t JOIN ccon c USING (file_id) JOIN cnha h USING (file_id, room_type, characteristic)
-JOIN hotel_supplier s ON s.supplier_hotel_code = c.hotel_code AND s.supplier_id = 5
+    # what may be served in a contract: the own board of a price row, or a supplementary board under a rule
+    "servings": (("ccon", "cnsr"), """
+SELECT file_id, TRUE AS own, NULL AS board_code, 0.0::DOUBLE AS amount, 0.0::DOUBLE AS percentage, '' AS by_guest, 0 AS age_from,
+       0 AS age_to, '' AS room_type, '' AS characteristic, NULL AS rate, NULL::DATE AS initial_date, NULL::DATE AS final_date
+FROM ccon
 UNION ALL
-SELECT t.file_id, md5(c.contract_name || '.' || c.contract_number || '.' || t.room_type || '.' || t.characteristic || '.' || r.board_code),
-       s.country_code, s.city_code, c.hotel_code, c.contract_name, c.contract_number,
-       t.room_type || '.' || t.characteristic, t.base_board || '-' || c.company_code,
-       t.room_type, t.characteristic, CASE WHEN t.generic_rate IS NOT NULL THEN t.generic_rate ELSE t.specific_rate END,
-       r.board_code, coalesce(r.amount, 0), coalesce(r.percentage, 0), r.is_per_pax, t.initial_date, t.final_date,
-       c.currency, 0, 0, t.amount, t.is_price_per_pax, 0, h.standard_capacity, h.min_pax, h.max_pax, h.max_adult,
-       h.max_children, h.max_infant, h.min_adult, h.min_children,
-       '[' || c.minimum_child_age || ',' || (c.maximum_child_age + 1) || ')',
-       '[' || coalesce(CAST(r.min_age AS VARCHAR), '') || ',' || coalesce(CAST(r.max_age + 1 AS VARCHAR), '') || ')',
-       r.min_age, r.max_age + 1, c.minimum_child_age, c.maximum_child_age
-FROM cnct t JOIN ccon c USING (file_id) JOIN cnha h USING (file_id, room_type, characteristic)
-JOIN hotel_supplier s ON s.supplier_hotel_code = c.hotel_code AND s.supplier_id = 5
-JOIN cnsr r ON {same_room('r', 't')} AND t.initial_date < r.final_date AND r.initial_date < t.final_date
- AND CASE WHEN t.generic_rate IS NOT NULL THEN CAST(r.rate AS VARCHAR) = t.generic_rate
-          WHEN t.specific_rate <> '0' THEN CAST(r.rate AS VARCHAR) = t.specific_rate END
-WHERE r.board_code IS NOT NULL"""),
+SELECT file_id, FALSE, board_code, coalesce(amount, 0), coalesce(percentage, 0), is_per_pax, min_age, max_age + 1, room_type,
+       characteristic, CAST(rate AS VARCHAR), initial_date, final_date
+FROM cnsr WHERE board_code IS NOT NULL"""),
+    # a price row with its own board, and with each board whose rule names the room, shares a night and has its rate
+    "cache": (("cnct", "ccon", "cnha", "hotel_supplier", "servings"), f"""
+SELECT t.file_id, md5(concat_ws('.', c.contract_name, c.contract_number, t.room_type, t.characteristic, coalesce(v.board_code, t.base_board))) AS rt_id,
+       h.country_code, h.city_code, c.hotel_code, c.contract_name, c.contract_number,
+       concat_ws('.', t.room_type, t.characteristic) AS room_type_id, concat_ws('-', t.base_board, c.company_code) AS meal_type,
+       t.room_type, t.characteristic, coalesce(t.generic_rate, t.specific_rate) AS rate, coalesce(v.board_code, t.base_board) AS board,
+       v.amount AS cnsr_amount, v.percentage AS cnsr_percentage, v.by_guest AS cnsr_is_per_pax,
+       t.initial_date AS lo, t.final_date AS hi, c.currency AS currency_code, 0 AS adult_price, 0 AS child_price,
+       t.amount, t.is_price_per_pax, 0 AS min_nights, a.standard_capacity, a.min_pax, a.max_pax, a.max_adult,
+       a.max_children, a.max_infant, a.min_adult, a.min_children,
+       concat('[', c.minimum_child_age, ',', c.maximum_child_age + 1, ')') AS childe_ages,
+       concat('[', coalesce(v.age_from::VARCHAR, ''), ',', coalesce(v.age_to::VARCHAR, ''), ')') AS cnsr_pax_ages,
+       v.age_from AS age_from, v.age_to AS age_to, c.minimum_child_age AS child_from, c.maximum_child_age AS child_to
+FROM cnct t JOIN servings v ON {same_room('v', 't')} AND (v.own OR (
+       v.rate = coalesce(t.generic_rate, nullif(t.specific_rate, '0')) AND t.initial_date < v.final_date AND v.initial_date < t.final_date))
+JOIN ccon c ON c.file_id = t.file_id
+JOIN hotel_supplier h ON h.supplier_hotel_code = c.hotel_code AND h.supplier_id = 5
+JOIN cnha a ON a.file_id = t.file_id AND a.room_type = t.room_type AND a.characteristic = t.characteristic"""),
     "api": (("prices",), f"""
 SELECT contract_number AS req_id, city_code AS destination_code, CAST(hotel_code AS INTEGER) AS hotel_id,
        CAST(contract_number AS VARCHAR) AS contract_number, contract_name, '1998-08-20' AS check_in,

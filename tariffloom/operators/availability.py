@@ -39,10 +39,19 @@ def available_rooms(prices: DataFrame, stay: Stay, key: tuple[str, ...] = ROOM_K
     )
 
 
+def by_night(prices: DataFrame) -> DataFrame:
+    """Price rows by ``night``: the one that ``days`` names inside the contract window, else every night of the row. A row
+    of no night or with reversed dates has none."""
+    first, nights = F.col("initial_date"), F.datediff("final_date", "initial_date")
+    every = F.when(nights > 0, F.sequence(F.lit(0), nights - 1))
+    named = F.when(F.col("days").isNotNull(), F.array(F.col("days"))).otherwise(every)
+    return prices.withColumn("night_no", F.explode(named)).withColumn("night", F.date_add(first, F.col("night_no"))).drop("night_no")
+
+
 def nightly_rows(prices: DataFrame) -> DataFrame:
-    """Price row to its single night: the offset names the day inside the contract window."""
-    night = F.date_add(F.col("initial_date"), F.col("days"))
-    return prices.select(
+    """Price rows to single nights."""
+    night = F.col("night")
+    return by_night(prices).select(
         md5_key("file_id", "room_type", "characteristic", "base_board", sep="").alias("cnct_id"),
         "file_id", "hotel_id",
         night.alias("initial_date"), F.date_add(night, 1).alias("final_date"),

@@ -9,7 +9,7 @@ from tariffloom.functions import intervals as iv
 from tariffloom.functions import predicates as pr
 from tariffloom.functions import pricing as px
 from tariffloom.functions.keys import md5_key
-from tariffloom.operators.availability import ROOM, sold_contracts
+from tariffloom.operators.availability import ROOM, by_night, sold_contracts
 from tariffloom.operators.matching import match_rules
 from tariffloom.params import Stay
 from tariffloom.schemas import MONEY
@@ -97,9 +97,9 @@ def build_nightly_cache(tables, supplier_id: int = 5) -> DataFrame:
     rooms = tables.table("cnha").select(*ROOM).join(contracts, "file_id")
     stays = tables.table("cnem").select(*ROOM, "rule_id", "minimum_days")
     resolved = match_rules(rooms, stays).drop("rule_id")
-    night = F.date_add(F.col("initial_date"), F.col("days"))
+    night = F.col("night")
     minimum = F.coalesce("minimum_days", F.lit(0))
-    return tables.table("cnct").join(resolved, ROOM).select(
+    return by_night(tables.table("cnct")).join(resolved, ROOM).select(
         "file_id", md5_key(*ROOM).alias("rt_id"), "country_code", "city_code",
         F.col("hotel_code").cast("int").alias("hotel_code"),
         F.concat("room_type", F.lit("."), "characteristic").alias("room_type"),

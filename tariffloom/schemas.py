@@ -7,69 +7,87 @@ from pyspark.sql import types as T
 MONEY = T.DecimalType(20, 7)
 
 _TYPES = {
-    "s": T.StringType(), "i": T.IntegerType(), "l": T.LongType(), "d": T.DateType(),
-    "m": MONEY, "f": T.DoubleType(),
+    "string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "date": T.DateType(),
+    "double": T.DoubleType(), "decimal(20,7)": MONEY,
 }
-# fixed values: weekday flag columns
-WEEKDAYS = "on_monday:s on_tuesday:s on_wednesday:s on_thursday:s on_friday:s on_saturday:s on_sunday:s"
 
 
-def _schema(spec: str) -> T.StructType:
-    fields = []
-    for item in spec.split():
-        name, kind = item.split(":")
-        fields.append(T.StructField(name, _TYPES[kind], True))
-    return T.StructType(fields)
+def _struct(ddl: str) -> T.StructType:
+    """``name type, name type``, without a session."""
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in (c.split(" ") for c in ddl.split(", "))])
+
 
+# fixed values: weekday flag columns
+WEEKDAYS = (
+    "on_monday string, on_tuesday string, on_wednesday string, on_thursday string, on_friday string, on_saturday string, "
+    "on_sunday string"
+)
 
 # fixed values: column names and types of the contract tables
-CCON = _schema(
-    "file_id:s external_inventory:s destination_code:s office_code:i contract_number:i contract_name:s "
-    "company_code:s type_of_service:s hotel_code:s giata_hotel_code:i initial_date:d end_date:d no_hotel:s "
-    "currency:s base_board:s classification:s payment_model:s daily_price:s release_days:s minimum_child_age:i "
-    "maximum_child_age:i opaque:s fix_rate:s contract_type:s maximum_rooms:i hotel_content:i selling_price:s "
-    "internal_field:s internal_field_data:s internal_classification:s is_total_price_per_stay:s"
+CCON = _struct(
+    "file_id string, external_inventory string, destination_code string, office_code int, "
+    "contract_number int, contract_name string, company_code string, type_of_service string, "
+    "hotel_code string, giata_hotel_code int, initial_date date, end_date date, no_hotel string, "
+    "currency string, base_board string, classification string, payment_model string, daily_price string, "
+    "release_days string, minimum_child_age int, maximum_child_age int, opaque string, fix_rate string, "
+    "contract_type string, maximum_rooms int, hotel_content int, selling_price string, internal_field string, "
+    "internal_field_data string, internal_classification string, is_total_price_per_stay string"
 )
-CNCT = _schema(
-    "file_id:s hotel_id:i id:l initial_date:d final_date:d room_type:s characteristic:s generic_rate:s "
-    "market_price:s is_price_per_pax:s net_price:s price:s specific_rate:s base_board:s amount:m"
+CNCT = _struct(
+    "file_id string, hotel_id int, id bigint, initial_date date, final_date date, room_type string, "
+    "characteristic string, generic_rate string, market_price string, is_price_per_pax string, "
+    "net_price string, price string, specific_rate string, base_board string, amount decimal(20,7), days int"
 )
-CNIN = _schema(
-    "file_id:s hotel_id:i id:l initial_date:d final_date:d room_type:s characteristic:s rate:i release:i allotment:i"
+CNIN = _struct(
+    "file_id string, hotel_id int, id bigint, initial_date date, final_date date, room_type string, "
+    "characteristic string, rate int, release int, allotment int"
 )
-CNHA = _schema(
-    "file_id:s hotel_id:i room_type:s characteristic:s standard_capacity:i min_pax:i max_pax:i max_adult:i "
-    "max_children:i max_infant:i min_adult:i min_children:i"
+CNHA = _struct(
+    "file_id string, hotel_id int, room_type string, characteristic string, standard_capacity int, "
+    "min_pax int, max_pax int, max_adult int, max_children int, max_infant int, min_adult int, "
+    "min_children int"
 )
-CNSR = _schema(
-    "file_id:s hotel_id:i initial_date:d final_date:d board_code:s is_per_pax:s amount:m percentage:m rate:i "
-    f"room_type:s characteristic:s min_age:i max_age:i {WEEKDAYS} internal_field:s net_price:m price:m"
+CNSR = _struct(
+    "file_id string, hotel_id int, initial_date date, final_date date, board_code string, is_per_pax string, "
+    "amount decimal(20,7), percentage decimal(20,7), rate int, room_type string, characteristic string, "
+    f"min_age int, max_age int, {WEEKDAYS}, internal_field string, net_price decimal(20,7), "
+    "price decimal(20,7)"
 )
-CNSU = _schema(
-    "file_id:s hotel_id:i initial_date:d final_date:d application_initial_date:d application_final_date:d "
-    "supplement_or_discount_code:s type:s is_per_pax:s opaque:s order:i application_type:s amount:m percentage:m "
-    "is_cumulative:s rate:i room_type:s characteristic:s board:s adults:i pax_order:i min_age:i max_age:i "
-    f"number_of_days:i length_of_stay:i limit_date:s {WEEKDAYS} net_price:m price:m"
+CNSU = _struct(
+    "file_id string, hotel_id int, initial_date date, final_date date, application_initial_date date, "
+    "application_final_date date, supplement_or_discount_code string, type string, is_per_pax string, "
+    "opaque string, order int, application_type string, amount decimal(20,7), percentage decimal(20,7), "
+    "is_cumulative string, rate int, room_type string, characteristic string, board string, adults int, "
+    "pax_order int, min_age int, max_age int, number_of_days int, length_of_stay int, limit_date string, "
+    f"{WEEKDAYS}, net_price decimal(20,7), price decimal(20,7)"
 )
-CNGR = _schema(
-    "file_id:s hotel_id:i initial_date:d final_date:d application_initial_date:d application_final_date:d min_days:i "
-    "max_days:i rate:i room_type:s characteristic:s board:s frees:i free_code:s discount:m application_base_type:s "
-    f"application_board_type:s application_discount_type:s application_stay_type:s {WEEKDAYS} "
-    "week_day_validation_type:s"
+CNGR = _struct(
+    "file_id string, hotel_id int, initial_date date, final_date date, application_initial_date date, "
+    "application_final_date date, min_days int, max_days int, rate int, room_type string, "
+    "characteristic string, board string, frees int, free_code string, discount decimal(20,7), "
+    "application_base_type string, application_board_type string, application_discount_type string, "
+    f"application_stay_type string, {WEEKDAYS}, week_day_validation_type string"
 )
-CNOE = _schema("file_id:s hotel_id:i code1:s code2:s is_included:s")
-CNEM = _schema(
-    "file_id:s hotel_id:i application_date:d initial_date:d final_date:d type:s rate:i room_type:s characteristic:s "
-    f"board:s minimum_days:i maximum_days:i {WEEKDAYS}"
+CNOE = _struct(
+    "file_id string, hotel_id int, code1 string, code2 string, is_included string"
 )
-API = _schema(
-    "req_id:i destination_code:s hotel_id:i inc_office:s company_code:s contract_number:s contract_name:s "
-    "classification:s check_in:d check_out:d adults:s children:s room_type:s characteristic:s board:s "
-    "selling_price:s net_price:s price:s currency:s allotment:s expiry_date:s packaging:s direct_payment:s "
-    "internal_fild:s cancelation:s promotions:s fees:s child_age_from:i child_age_to:i internal_fild_2:s amount:f "
-    "internal_fild_3:s min_pax:i max_pax:i min_adult:i max_adult:i max_child:i max_infant:i"
+CNEM = _struct(
+    "file_id string, hotel_id int, application_date date, initial_date date, final_date date, type string, "
+    "rate int, room_type string, characteristic string, board string, minimum_days int, maximum_days int, "
+    f"{WEEKDAYS}"
+)
+API = _struct(
+    "req_id int, destination_code string, hotel_id int, inc_office string, company_code string, "
+    "contract_number string, contract_name string, classification string, check_in date, check_out date, "
+    "adults string, children string, room_type string, characteristic string, board string, "
+    "selling_price string, net_price string, price string, currency string, allotment string, "
+    "expiry_date string, packaging string, direct_payment string, internal_fild string, cancelation string, "
+    "promotions string, fees string, child_age_from int, child_age_to int, internal_fild_2 string, "
+    "amount double, internal_fild_3 string, min_pax int, max_pax int, min_adult int, max_adult int, "
+    "max_child int, max_infant int"
 )
 
+# fixed values: columns of the price cache
 CACHE = (
     "file_id string, rt_id string, hotel_code string, contract_name string, contract_number int, room_type_id string, "
     "meal_type string, room_type string, characteristic string, rate string, board string, cnsr_amount double, "
@@ -78,9 +96,16 @@ CACHE = (
     "standard_capacity int, min_pax int, max_pax int, max_adult int, max_children int, max_infant int, min_adult int, "
     "min_children int, cnsr_pax_ages struct<lo: int, hi: int>, country_code string, city_code string"
 )
-HOTEL_SUPPLIER = _schema("supplier_hotel_code:s supplier_id:i country_code:s city_code:s")
-RT_DIC = _schema("room_type:s characteristic:s title:s rt_title:s")
-ROOM_TYPE_NAMES = _schema("name_en:s")
+# fixed values: dictionaries
+HOTEL_SUPPLIER = _struct(
+    "supplier_hotel_code string, supplier_id int, country_code string, city_code string"
+)
+RT_DIC = _struct(
+    "room_type string, characteristic string, title string, rt_title string"
+)
+ROOM_TYPE_NAMES = _struct(
+    "name_en string"
+)
 
 TABLES = {
     "ccon": CCON, "cnct": CNCT, "cnin": CNIN, "cnha": CNHA, "cnsr": CNSR, "cnsu": CNSU,
