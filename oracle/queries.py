@@ -357,6 +357,24 @@ NEXT = {
   WHEN {PCT} THEN g_board * percentage / 100 ELSE g_board END""",
 }
 
+FOLD = f"""
+WITH RECURSIVE steps AS (
+  SELECT d.cnct_id, type, application_type, amount, percentage, days, times,
+         row_number() OVER (PARTITION BY d.cnct_id ORDER BY {RULE_ORDER}) AS seq
+  FROM discount_match d
+  WHERE days > 0 AND NOT EXISTS (SELECT 1 FROM doomed x WHERE x.cnct_id = d.cnct_id AND x.sad_code = d.sad_code)),
+fold AS (
+  SELECT cnct_id, CAST(0 AS BIGINT) AS seq, sbp_1 * n AS sbp, sbbp_1 * n AS sbbp, pbp_1 * n AS pbp, pbbp_1 * n AS pbbp,
+         0.0::DOUBLE AS g_room, 0.0::DOUBLE AS g_board FROM base
+  UNION ALL
+  SELECT f.cnct_id, s.seq, {NEXT['sbp']}, {NEXT['sbbp']}, {NEXT['pbp']}, {NEXT['pbbp']}, {NEXT['g_room']}, {NEXT['g_board']}
+  FROM fold f JOIN steps s ON s.cnct_id = f.cnct_id AND s.seq = f.seq + 1 JOIN base b ON b.cnct_id = f.cnct_id)
+SELECT b.cnct_id, b.file_id, b.room_type, b.characteristic, b.base_board AS board, {money('sbp')} AS sbprice,
+       {money('sbbp')} AS sbbprice, {money('pbp')} AS pbprice, {money('pbbp')} AS pbbprice,
+       {money('sbp + sbbp + pbp + pbbp')} AS total_price
+FROM base b JOIN fold f ON f.cnct_id = b.cnct_id
+JOIN (SELECT cnct_id, max(seq) AS last FROM fold GROUP BY cnct_id) m ON m.cnct_id = f.cnct_id AND m.last = f.seq"""
+
 PIPELINE = {
     "cache_build": _sql(f"""
 SELECT file_id, rt_id, country_code, city_code, hotel_code, contract_name, contract_number, room_type_id, meal_type, room_type,
@@ -413,24 +431,21 @@ SELECT cnct_id, string_agg(sad_code, ',' ORDER BY sad_code) AS sad_list FROM lis
     "drop_incompatible": _sql("""
 SELECT cnct_id, sad_name, coalesce(sad_code, '') AS sad_code, coalesce(rule_id, -1) AS rule_id FROM listed l
 WHERE NOT EXISTS (SELECT 1 FROM doomed d WHERE d.cnct_id = l.cnct_id AND d.sad_code = l.sad_code)""", "listed", "doomed"),
-    "price_fold": _sql(f"""
-WITH RECURSIVE steps AS (
-  SELECT d.cnct_id, type, application_type, amount, percentage, days, times,
-         row_number() OVER (PARTITION BY d.cnct_id ORDER BY {RULE_ORDER}) AS seq
-  FROM discount_match d
-  WHERE days > 0 AND NOT EXISTS (SELECT 1 FROM doomed x WHERE x.cnct_id = d.cnct_id AND x.sad_code = d.sad_code)),
-fold AS (
-  SELECT cnct_id, CAST(0 AS BIGINT) AS seq, sbp_1 * n AS sbp, sbbp_1 * n AS sbbp, pbp_1 * n AS pbp, pbbp_1 * n AS pbbp,
-         0.0::DOUBLE AS g_room, 0.0::DOUBLE AS g_board FROM base
-  UNION ALL
-  SELECT f.cnct_id, s.seq, {NEXT['sbp']}, {NEXT['sbbp']}, {NEXT['pbp']}, {NEXT['pbbp']}, {NEXT['g_room']}, {NEXT['g_board']}
-  FROM fold f JOIN steps s ON s.cnct_id = f.cnct_id AND s.seq = f.seq + 1 JOIN base b ON b.cnct_id = f.cnct_id)
-SELECT b.cnct_id, b.file_id, b.room_type, b.characteristic, b.base_board AS board, {money('sbp')} AS sbprice,
-       {money('sbbp')} AS sbbprice, {money('pbp')} AS pbprice, {money('pbbp')} AS pbbprice,
-       {money('sbp + sbbp + pbp + pbbp')} AS total_price
-FROM base b JOIN fold f ON f.cnct_id = b.cnct_id
-JOIN (SELECT cnct_id, max(seq) AS last FROM fold GROUP BY cnct_id) m ON m.cnct_id = f.cnct_id AND m.last = f.seq""",
-                       "discount_match", "doomed", "base"),
+    "price_fold": _sql(FOLD, "discount_match", "doomed", "base"),
+    # the same over the own boards of the cache, where rates are offers of their own
+    "cached_price_fold": with_views(FOLD, "discount_match", "doomed", "base", extra={**STAY_VIEWS, "offers": (("cache", "party"), f"""
+SELECT md5(o.file_id || '.' || o.room_type || '.' || o.characteristic || '.' || o.base_board || '.' || coalesce(o.rate, '')) AS cnct_id,
+       o.*, o.stay_amount / o.sum_nights AS room_amount, p.paxes, p.adults, p.childes, p.infants
+FROM (
+  SELECT file_id, room_type, characteristic, board AS base_board, is_price_per_pax, rate, hotel_code, contract_number, contract_name,
+         standard_capacity, max_pax, max_children, count(*) AS sum_nights, CAST(sum({CENTS}) AS DOUBLE) / 100 AS stay_amount
+  FROM cache JOIN (SELECT CAST(range AS DATE) AS night FROM range({IN}, {OUT}, INTERVAL 1 DAY)) n ON n.night >= lo AND n.night < hi
+  WHERE cnsr_is_per_pax = '' AND age_from = 0 AND age_to = 0 AND city_code LIKE 'NATION_1%'
+  GROUP BY file_id, room_type, characteristic, board, is_price_per_pax, rate, hotel_code, contract_number, contract_name,
+           standard_capacity, max_pax, max_children
+  HAVING count(DISTINCT night) = {NIGHTS}) o
+JOIN party p USING (file_id)
+WHERE p.paxes > 0 AND o.max_pax >= p.paxes AND o.max_children >= p.childes""")}),
     "running_price": _sql(f"""
 WITH added AS (
   SELECT d.*, b.room_flag, b.board_flag, b.sbp_1, b.sbbp_1, b.pbp_1, b.pbbp_1, b.p, b.c, b.n,

@@ -9,7 +9,7 @@ from tariffloom.functions import intervals as iv
 from tariffloom.functions import predicates as pr
 from tariffloom.functions import pricing as px
 from tariffloom.functions.keys import md5_key
-from tariffloom.operators.availability import ROOM, by_night, sold_contracts
+from tariffloom.operators.availability import ROOM, ROOM_KEY, by_night, fits, sold_contracts, sold_rooms, with_party
 from tariffloom.operators.matching import match_rules
 from tariffloom.params import Stay
 from tariffloom.schemas import MONEY
@@ -160,6 +160,33 @@ def cached_offers(cache: DataFrame, stay: Stay) -> DataFrame:
     )
 
 
+def cached_rooms(cache: DataFrame, stay: Stay) -> DataFrame:
+    """Offers of the cache in the shape of ``availability.offers``, for the rule list: own boards only, as supplementary
+    boards come with the rules, every night priced, one offer per rate."""
+    own = cache.filter(iv.is_empty(F.col("cnsr_pax_ages")) & (F.col("cnsr_is_per_pax") == ""))
+    if stay.city_prefix:
+        own = own.filter(F.col("city_code").startswith(stay.city_prefix))
+    prices = own.filter(F.col("min_nights") <= stay.nights).withColumnsRenamed(
+        {"lo": "initial_date", "hi": "final_date", "board": "base_board", "currency_code": "currency"})
+    room = (
+        *ROOM_KEY, "rate", "hotel_code", "contract_number", "contract_name", "currency", "country_code", "city_code", "childe_ages",
+        *CAPACITY,
+    )
+    bounds = {
+        "minimum_child_age": F.col("childe_ages")["lo"], "maximum_child_age": F.col("childe_ages")["hi"] - 1,
+    }
+    return (
+        with_party(sold_rooms(prices, stay, room).withColumns(bounds), stay.ages_col)
+        .filter(fits(F.col("paxes"), F.col("childes")))
+        .withColumns({
+            "cnct_id": md5_key("file_id", "room_type", "characteristic", "base_board", F.coalesce("rate", F.lit(""))),
+            "stay_amount": F.col("stay_amount").cast("double"),
+            "amount": F.col("stay_amount").cast("double") / F.col("sum_nights"),
+        })
+        .drop("childe_ages", "minimum_child_age", "maximum_child_age")
+    )
+
+
 def priced_offers(cache: DataFrame, stay: Stay) -> DataFrame:
     """Room and board price per offer for one night, and the price of the stay.
 

@@ -121,6 +121,7 @@ def drop_incompatible(listed: DataFrame, cnoe: DataFrame) -> DataFrame:
     return delete_matching(listed, incompatible(listed, cnoe), ["cnct_id", "sad_code"])
 
 
-def searched_list(tables, stay: Stay) -> DataFrame:
-    """Offers, their rule list, pair rules applied."""
-    return drop_incompatible(rule_list(find_offers(tables, stay), tables, stay), tables.table("cnoe"))
+def searched_list(tables, stay: Stay, offers: DataFrame | None = None) -> DataFrame:
+    """Offers (of the price rows, or those given), their rule list, pair rules applied."""
+    found = find_offers(tables, stay) if offers is None else offers
+    return drop_incompatible(rule_list(found, tables, stay), tables.table("cnoe"))

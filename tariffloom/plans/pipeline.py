@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +13,8 @@ from tariffloom.operators import availability as av
 from tariffloom.operators import cache as cache_ops
 from tariffloom.operators import fold, rule_list, running, terms
 from tariffloom.plans.common import COUPLE, FAMILY, flat_range, ids, query
-from tariffloom.search import discounts_for_stay, search, search_cache
+from tariffloom.search import discounts_for_stay, search, search_cache, search_cache_rules
+from tariffloom.sources.sinks import read_cache, stored_root, write_cache
 
 PRICES = ("sbprice", "sbbprice", "pbprice", "pbbprice", "total_price")
 
@@ -98,6 +102,24 @@ def price_fold(t) -> DataFrame:
     )
 
 
+def _written_cache(t) -> DataFrame:
+    """The cache as it is used: written by country and city, read back with its declared schema."""
+    spark = t.table("cnct").sparkSession
+    path = f"{stored_root(spark)}/cache-{uuid.uuid4().hex}"
+    write_cache(cache_ops.build_cache(t), path)
+    return read_cache(spark, path)
+
+
+@query
+def cached_price_fold(t) -> DataFrame:
+    """Priced search with all rules over a written cache, for one city prefix."""
+    stay = replace(FAMILY, city_prefix="NATION_1")
+    prices = search_cache_rules(_written_cache(t), t, stay)
+    return prices.select(
+        "cnct_id", "file_id", "room_type", "characteristic", "board", *[money(F.col(c)).alias(c) for c in PRICES]
+    )
+
+
 @query
 def running_price(t) -> DataFrame:
     """Prices of an offer after each guest-type rule."""
@@ -153,6 +175,7 @@ QUERIES = {
     "offer_code_list": offer_code_list,
     "drop_incompatible": drop_incompatible,
     "price_fold": price_fold,
+    "cached_price_fold": cached_price_fold,
     "running_price": running_price,
     "cached_search": cached_search,
     "cached_search_family": cached_search_family,

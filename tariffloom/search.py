@@ -25,6 +25,14 @@ def search_cache(cache: DataFrame, stay: Stay) -> DataFrame:
     return cache_ops.priced_offers(cache, stay)
 
 
+def search_cache_rules(cache: DataFrame, tables, stay: Stay) -> DataFrame:
+    """Priced search over a stored price cache with all rules: five prices per offer and rate.
+
+    Headers, capacities and room prices come from the cache; only the rule tables are read besides.
+    """
+    return fold.fold_prices(searched_list(tables, stay, cache_ops.cached_rooms(cache, stay)), stay)
+
+
 def discounts_for_stay(tables, check_in: dt.date, check_out: dt.date, age: int = 5) -> DataFrame:
     """Price rows that touch the stay, with the board rules naming their room that outlast it.
 

@@ -60,13 +60,14 @@ def replace_table(spark: SparkSession, df: DataFrame, name: str) -> None:
     spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
 
 
-def _stored_root(spark: SparkSession) -> str:
+def stored_root(spark: SparkSession) -> str:
+    """Folder of this session's intermediate tables."""
     return f"{checkpoint_dir(spark)}/stored-{spark.sparkContext.applicationId}"
 
 
 def release(spark: SparkSession) -> None:
     """Remove the intermediate tables of this session; frames that read them can't be used afterwards."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(_stored_root(spark))
+    root = spark._jvm.org.apache.hadoop.fs.Path(stored_root(spark))
     root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(root, True)
 
 
@@ -76,6 +77,6 @@ def stored(df: DataFrame) -> DataFrame:
     It survives lost executors, cuts the lineage, and keeps column pruning and filter pushdown for its readers.
     ``release`` removes what a session stored.
     """
-    path = f"{_stored_root(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = f"{stored_root(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
