@@ -12,8 +12,8 @@
 
 Hot passages: a task sends an anchor once, and a stretch's content once with its smallest id, for all documents it has at hand;
 the larger ids among them are settled there and then. So a passage that a third of all documents share costs each shard a
-record per task, not per document. Buckets and shards grow in number with the input. Intervals and copies are joined by
-broadcast only below a measured size, else by shuffle.
+record per task, not per document. Buckets and shards grow in number with the input. Texts are shuffled once, by id, for
+both joins that need them; the list of copies is broadcast only below a measured size, else shuffled.
 
 Windows are judged on the input and never cross documents; overlaps count. Cases: NULL and empty texts have no window; texts
 shorter than a window keep all bytes; a NULL id counts as larger than any other; rows that repeat an id don't affect
@@ -309,7 +309,9 @@ def intervals_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     gone, _ = broadcast_if_small(copies.select("id", "key"), F.lit(16))
     firsts = rows.join(gone, ["id", "key"], "left_anti")
     anchors = repeated_anchors(firsts.select("id", "text"), parts).groupBy("id").agg(F.collect_list("keys").alias("keys"))
-    asked = firsts.select(F.col("id"), "key", "text").join(anchors, "id").select("id", "key", "keys", "text")
+    # copies have no anchors of their own, so all rows may stand here: the shuffle of the texts is the one that
+    # ``deduplicated`` uses again for its join
+    asked = rows.select("id", "key", "text").join(anchors, "id").select("id", "key", "keys", "text")
     marked = marked_windows(candidate_stretches(asked, parts, parts))
     return removed_intervals(marked).unionByName(whole)
 
@@ -326,8 +328,10 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
                 pa.array([hashlib.sha256(c[2]).hexdigest() for c in cuts])],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"])
 
-    intervals = checkpointed(intervals_of(docs, doc_id, text))
-    intervals, _ = broadcast_if_small(intervals, F.octet_length("intervals") + 16, 16 << 20)
-    rows = keyed(docs, doc_id, text).drop("sha").withColumn("doc_id", F.when(F.col("id") != LAST, F.col("id")))
-    joined = rows.join(intervals, ["id", "key"], "left").select("doc_id", "text", "intervals")
+    intervals = intervals_of(docs, doc_id, text).select(F.col("id").alias("of"), F.col("key").alias("of_key"), "intervals")
+    rows = keyed(docs, doc_id, text).select("id", "key", "text")
+    # by id alone, the texts' shuffle of ``intervals_of``; the keys, which tell rows of one id apart, are compared besides
+    same = (F.col("id") == F.col("of")) & (F.col("key").bitwiseXOR(F.col("of_key")) == 0)
+    joined = rows.join(intervals, same, "left").select(
+        F.when(F.col("id") != LAST, F.col("id")).alias("doc_id"), "text", "intervals")
     return map_batches(joined, run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
