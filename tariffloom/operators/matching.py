@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tariffloom.functions.predicates import WILD, rule_key
+from tariffloom.sources.sinks import stored
 
 KEYS = ["file_id", "room_key", "char_key"]
 
@@ -63,6 +64,8 @@ def match_rules(
 
 
 def keep_unmatched(offers: DataFrame, matched: DataFrame, key: str = "cnct_id") -> DataFrame:
-    """Left-join semantics: offers without a rule stay, with the rule columns empty."""
+    """Left-join semantics: offers without a rule stay, with the rule columns empty. The matches are stored, as they are
+    read twice."""
+    matched = stored(matched)
     lonely = offers.join(matched.select(key).distinct(), key, "left_anti")
     return matched.unionByName(lonely, allowMissingColumns=True)

@@ -11,6 +11,7 @@ from tariffloom.functions.pricing import GUEST_TYPES
 from tariffloom.functions.weekdays import weekday_mask
 from tariffloom.operators.matching import keep_unmatched, match_rules
 from tariffloom.params import Stay
+from tariffloom.sources.sinks import stored
 
 
 def dated(rules: DataFrame, stay: Stay) -> DataFrame:
@@ -27,6 +28,11 @@ def bookable(rules: DataFrame, stay: Stay) -> DataFrame:
     )
 
 
+def once(offers: DataFrame, how: str) -> DataFrame:
+    """A left match reads the offers three times: they are stored, so that the price rows behind them are read once."""
+    return stored(offers) if how == "left" else offers
+
+
 def _ids(guests: Column, member) -> Column:
     return F.transform(F.filter(guests, member), lambda g: g["pax_id"])
 
@@ -51,6 +57,7 @@ def board_rules(offers: DataFrame, cnsr: DataFrame, stay: Stay, how: str = "left
 
     ``pax_ids`` are the guests inside the age band (every guest when there is none), ``billed`` how many pay.
     """
+    offers = once(offers, how)
     matched = match_rules(offers, board_candidates(cnsr, stay))
     lo, hi = F.col("cnsr_min_age"), F.col("cnsr_max_age")
     banded = lo.isNotNull() | hi.isNotNull()
@@ -104,6 +111,7 @@ def rule_applies(kind: Column, capacity: Column, paxes: Column, pax_ids: Column)
 def discount_rules(offers: DataFrame, cnsu: DataFrame, stay: Stay, how: str = "left") -> DataFrame:
     """Supplement and discount rules of each offer. ``times`` is how often a rule counts: once per matching guest
     for guest types, once per offer for general types."""
+    offers = once(offers, how)
     matched = match_rules(
         offers,
         discount_candidates(cnsu, stay),
@@ -134,6 +142,7 @@ def free_night_rules(offers: DataFrame, cngr: DataFrame, stay: Stay, how: str =
         "application_base_type", "application_board_type", "application_discount_type", "application_stay_type",
         weekday_mask().alias("week_days"),
     )
+    offers = once(offers, how)
     matched = match_rules(offers, candidates, pr.wildcard_match(F.col("rule_board"), F.col("base_board")))
     return keep_unmatched(offers, matched) if how == "left" else matched
 
@@ -149,6 +158,7 @@ def stay_length_rules(offers: DataFrame, cnem: DataFrame, stay: Stay) -> DataFra
         .select("file_id", "room_type", "characteristic", "rule_id", F.col("board").alias("rule_board"),
                 "minimum_days", "maximum_days")
     )
+    offers = once(offers, "left")
     matched = match_rules(offers, candidates, pr.wildcard_match(F.col("rule_board"), F.col("base_board")))
     return keep_unmatched(offers, matched).filter(
         pr.stay_length_open(F.col("minimum_days"), F.col("maximum_days"), stay.nights)

@@ -190,10 +190,11 @@ def first_value_window(t) -> DataFrame:
 
 @query
 def array_member_join(t) -> DataFrame:
-    """Rooms that are a member of a chosen id list."""
+    """Rooms that are a member of their contract's list of chosen ids."""
     found = _rooms_with_id(t)
-    chosen = _representatives(found).select(F.explode(F.array("representative")).alias("id"))
-    return found.join(chosen, "id", "left_semi").distinct()
+    # a contract's list has one id for each combination of room and board
+    chosen = _representatives(found).groupBy("file_id").agg(F.collect_set("representative").alias("chosen"))
+    return found.join(chosen, "file_id").filter(F.array_contains("chosen", F.col("id"))).drop("chosen").distinct()
 
 
 QUERIES = {

@@ -53,11 +53,14 @@ def delete_matching(table: DataFrame, doomed: DataFrame, key: list[str]) -> Data
 
 
 def replace_table(spark: SparkSession, df: DataFrame, name: str) -> None:
-    """Overwrite a table by a query that reads it."""
-    staged = f"{name}__next"
+    """Overwrite a table by a query that reads it. The old one is dropped when the new one stands in its place."""
+    staged, old = f"{name}__next", f"{name}__old"
     create_table_as(df, staged)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if spark.catalog.tableExists(name):
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
 def stored_root(spark: SparkSession) -> str:

@@ -96,3 +96,8 @@ def test_whole_list_is_one_shuffle_key_away(spark):
 def test_literal_ages_are_checked_without_guest_rows(spark):
     text = plan(av.with_party(DerivedContracts(spark, SF).table("ccon"), F.array(F.lit(30), F.lit(5))))
     assert "Generate" not in text and "Window" not in text
+
+
+def test_left_rule_joins_read_the_offers_once(spark):
+    text = plan(QUERIES["board_rules"](spark, SF)).split("Initial Plan")[-1]
+    assert text.count("FileScan") <= 15 and text.count("Exchange ") <= 25
