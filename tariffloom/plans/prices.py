@@ -148,15 +148,13 @@ def room_board_price_flag(t) -> DataFrame:
         F.col("cnsr_is_per_pax").alias("flag"), F.col("cnsr_amount").alias("amount"),
         F.col("cnsr_percentage").alias("pct"),
     )
-    listed = terms.listed_terms(rows, key, ["amount", "pct"])
-    priced = listed.withColumn("priced", px.room_and_board(
-        F.col("amount_"), F.col("is_price_per_pax"), F.col("terms"), F.col("paxes"), F.col("standard_capacity"),
-        F.col("flag"),
-    ))
+    room_flag, paxes = F.col("is_price_per_pax"), F.col("paxes")
+    room = px.room_total(F.col("amount_"), room_flag, paxes)
+    term = px.board_term(
+        room, room_flag, F.col("standard_capacity"), paxes, F.col("amount"), F.col("pct"), F.col("flag"))
+    priced = rows.groupBy(*key).agg(F.count(F.lit(1)).cast("int").alias("n_terms"), F.sum(term).alias("board"))
     return priced.select(
-        "cnct_id", "flag", F.size("terms").alias("n_terms"), money(F.col("priced.rt_price")).alias("room_price"),
-        money(F.col("priced.board_price")).alias("board_price"),
-    )
+        "cnct_id", "flag", "n_terms", money(room).alias("room_price"), money(F.col("board")).alias("board_price"))
 
 
 QUERIES = {
