@@ -273,6 +273,11 @@ FROM board_left WHERE rule_id IS NOT NULL GROUP BY cnct_id""", "board_left"),
     "board_terms_array": _sql("""
 SELECT cnct_id, '[' || string_agg(CAST(to_json({'amount': cnsr_amount, 'pct': cnsr_percentage, 'flag': cnsr_is_per_pax}) AS VARCHAR), ','
          ORDER BY cnsr_amount NULLS FIRST, cnsr_percentage NULLS FIRST, cnsr_is_per_pax) || ']' AS cnsr_board
+FROM board_match GROUP BY cnct_id""", "board_match"),
+    "json_terms_read": _sql(f"""
+SELECT cnct_id, CAST(count(*) AS INTEGER) AS n_terms,
+       list(cnsr_is_per_pax ORDER BY cnsr_amount NULLS FIRST, cnsr_percentage NULLS FIRST, cnsr_is_per_pax)[1] AS first_flag,
+       {money('sum(coalesce(cnsr_amount, 0.0::DOUBLE))')} AS amount
 FROM board_match GROUP BY cnct_id""", "board_match"),
     "json_rollup": _sql("""
 SELECT file_id, '[' || string_agg(CAST(to_json({'code1': code1, 'code2': code2, 'is_included': is_included}) AS VARCHAR), ','

@@ -25,6 +25,11 @@ def as_json(col: Column) -> Column:
     return F.to_json(col, {"ignoreNullFields": "false"})
 
 
+def from_json_text(col: Column, fields: str) -> Column:
+    """Stored JSON terms back as an array of structs; text that isn't such an array becomes NULL."""
+    return F.from_json(col, f"array<struct<{fields}>>")
+
+
 def counted_codes(df: DataFrame, key: list[str], code: str, name: str) -> DataFrame:
     """All codes of a group in order, as one text."""
     return listed_terms(df.filter(F.col(code).isNotNull()), key, [code], "codes").select(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tariffloom.functions.keys import money
 from tariffloom.operators import availability as av
 from tariffloom.operators import cache as cache_ops
-from tariffloom.operators import fold, rule_list, running, terms
+from tariffloom.operators import rule_list, running, terms
 from tariffloom.plans.common import COUPLE, FAMILY, flat_range, ids, query
 from tariffloom.search import discounts_for_stay, search, search_cache, search_cache_rules
 from tariffloom.sources.sinks import read_cache, stored_root, write_cache

@@ -97,6 +97,17 @@ def board_terms_array(t) -> DataFrame:
     return listed.select("cnct_id", terms.as_json(F.col("terms")).alias("cnsr_board"))
 
 
+@query
+def json_terms_read(t) -> DataFrame:
+    """Board terms read back from their JSON text: how many, the first one's flag, their fixed amounts added up."""
+    listed = terms.listed_terms(_board_terms(t, ["cnct_id"]), ["cnct_id"], ["amount", "pct", "flag"])
+    text = listed.select("cnct_id", terms.as_json(F.col("terms")).alias("text"))
+    read = text.withColumn("terms", terms.from_json_text(F.col("text"), "amount: double, pct: double, flag: string"))
+    total = F.aggregate("terms", F.lit(0.0), lambda acc, x: acc + F.coalesce(x["amount"], F.lit(0.0)))
+    return read.select(
+        "cnct_id", F.size("terms").alias("n_terms"), F.get("terms", F.lit(0))["flag"].alias("first_flag"), money(total).alias("amount"))
+
+
 @query
 def json_rollup(t) -> DataFrame:
     """Pair rules of a contract as one JSON array of rows."""
@@ -162,6 +173,7 @@ QUERIES = {
     "board_price_ladder": board_price_ladder,
     "base_plus_board": base_plus_board,
     "board_terms_array": board_terms_array,
+    "json_terms_read": json_terms_read,
     "json_rollup": json_rollup,
     "json_group_key": json_group_key,
     "board_grouping_sets": board_grouping_sets,
