@@ -26,6 +26,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -297,19 +298,25 @@ def scored_parts(docs: DataFrame, model: Model, vocab: Vocabulary) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         known, denominators = Classes(vocab.own), vocab.denominators()
-        base = {w: float(np.log10(n + BASE)) for w, n in vocab.frequent.items()}
-        within = {w: 0.0 if w in vocab.own else float(np.log10(n + D)) for w, n in vocab.frequent.items()}
+        denominators[:OWN] = denominators[OWN + ENDINGS:] = 0  # an own word is all its class
+        # frequent words by number, so that a word is looked up once; the last place stands for all others
+        number = {w: k for k, w in enumerate(vocab.frequent)}
+        times = np.array([*vocab.frequent.values(), 0], float)
+        base, own = np.log10(times + BASE), np.array([w in vocab.own for w in number] + [True])
+        within, other = np.where(own, 0.0, np.log10(times + D)), len(number)
+        base[other] = 0
+        classes = np.array([*map(known.__getitem__, number), 0], np.uint16)
 
         def part(text: bytes) -> tuple:
             words = words_of(text)
-            coded = coded_text(words, known)
             words.append(END)
-            rare = Counter(w for w in words if w not in base)
-            found = [w for w in words if w in base] if rare else words
+            ids = np.fromiter(map(number.get, words, repeat(other)), np.int64, len(words))
+            coded, at = classes[ids], np.flatnonzero(ids == other)
+            left = [words[k] for k in at]
+            coded[at] = [known[w] for w in left]
             return (
-                coded, len(words), len(found) - (not vocab.frequent[END]), sum(map(base.__getitem__, found)),
-                sum(map(within.__getitem__, found)) - float(denominators[coded[(coded >= OWN) & (coded < OWN + ENDINGS)]].sum()),
-                [{"word": w, "times": n} for w, n in rare.items()],
+                coded, len(words), len(words) - len(left) - (not vocab.frequent[END]), float(base[ids].sum()),
+                float(within[ids].sum() - denominators[coded].sum()), [{"word": w, "times": n} for w, n in Counter(left).items()],
             )
 
         for batch in batches:
