@@ -387,16 +387,17 @@ SELECT file_id, rt_id, country_code, city_code, hotel_code, contract_name, contr
        adult_price, child_price, amount, is_price_per_pax, min_nights, standard_capacity, min_pax, max_pax, max_adult,
        max_children, max_infant, min_adult, min_children, childe_ages, cnsr_pax_ages FROM cache""", "cache"),
     "nightly_cache": _sql(f"""
-SELECT t.file_id, md5(t.file_id || '.' || t.room_type || '.' || t.characteristic) AS rt_id,
-       t.room_type || '.' || t.characteristic AS room_type, t.base_board || '-' || c.company_code AS meal_type,
-       c.currency AS currency_code,
+SELECT t.file_id, md5(t.file_id || '.' || t.room_type || '.' || t.characteristic) AS rt_id, s.country_code, s.city_code,
+       CAST(c.hotel_code AS INTEGER) AS hotel_code, t.room_type || '.' || t.characteristic AS room_type,
+       t.base_board || '-' || c.company_code AS meal_type, {_text('t.initial_date + t.days', 'lo')},
+       {_text('t.initial_date + t.days + 1', 'hi')}, c.currency AS currency_code, 0 AS adult_price, 0 AS child_price, t.amount,
+       t.is_price_per_pax,
        CASE WHEN r.minimum_days IS NULL OR r.minimum_days = 0 THEN 0 ELSE r.minimum_days - 1 END AS min_nights,
-       c.minimum_child_age AS child_from, c.maximum_child_age AS child_to, count(*) AS nights,
-       strftime(min(t.initial_date + t.days), '%Y-%m-%d') AS first_night,
-       strftime(max(t.initial_date + t.days + 1), '%Y-%m-%d') AS last_night
+       c.minimum_child_age AS child_from, c.maximum_child_age AS child_to
 FROM cnct t JOIN ccon c USING (file_id)
 JOIN hotel_supplier s ON s.supplier_hotel_code = c.hotel_code AND s.supplier_id = 5
-JOIN cnem r ON {same_room('r', 't')} GROUP BY ALL""", "cnct", "ccon", "hotel_supplier", "cnem"),
+JOIN cnem r ON r.file_id = t.file_id AND r.room_type = t.room_type AND r.characteristic = t.characteristic""",
+                          "cnct", "ccon", "hotel_supplier", "cnem"),
     "rule_union": _sql(f"""
 WITH flags AS (SELECT cnct_id, max(cnsr_is_per_pax) AS board_flag FROM board_left GROUP BY cnct_id),
 head AS (SELECT cnct_id, file_id, room_type, characteristic, base_board, {NIGHTS} AS rest_nights, paxes, adults, childes,

@@ -110,10 +110,12 @@ SELECT 'S' || (p_partkey % n) AS file_id, 'D' || (p_size % 20) AS code1,
        'D' || ((p_size * 7 + p_partkey // n) % 20) AS code2,
        CASE WHEN (p_partkey // n) % 2 = 0 THEN 'Y' ELSE 'N' END AS is_included
 FROM part CROSS JOIN n_contracts"""),
-    "cnem": (("n_contracts",), """
-SELECT 'S' || (c_custkey % n) AS file_id, c_custkey AS rule_id, CAST(NULL AS DATE) AS application_date,
-       DATE '1998-01-01' AS initial_date, DATE '1998-12-31' AS final_date,
-       '' AS room_type, '' AS characteristic, '' AS board,
+    "cnem": (("n_contracts",), f"""
+SELECT 'S' || (c_custkey % n) AS file_id, c_custkey AS rule_id,
+       CASE c_custkey % 4 WHEN 1 THEN DATE '1998-07-15' WHEN 2 THEN DATE '1998-08-15' END AS application_date,
+       CASE WHEN c_custkey % 5 = 4 THEN DATE '1998-08-22' ELSE DATE '1998-01-01' END AS initial_date,
+       CASE WHEN c_custkey % 11 = 0 THEN DATE '1998-08-24' ELSE DATE '1998-12-31' END AS final_date,
+       {_room('c_custkey')} AS room_type, {_characteristic('c_custkey')} AS characteristic, {_board('c_custkey')} AS board,
        CAST(c_nationkey % 8 AS INTEGER) AS minimum_days, CAST(c_nationkey + 7 AS INTEGER) AS maximum_days
 FROM customer CROSS JOIN n_contracts"""),
     "rt_dic": (("cnct",), """

@@ -91,12 +91,11 @@ def build_cache(tables, supplier_id: int = 5) -> DataFrame:
 
 
 def build_nightly_cache(tables, supplier_id: int = 5) -> DataFrame:
-    """The first cache: single nights, with the minimum stay of the room's stay rules, and no capacity."""
+    """The first cache: single nights, with the minimum stay of the stay rules that name the room, and no capacity."""
     hotels = tables.table("hotel_supplier").filter(F.col("supplier_id") == supplier_id)
     contracts = sold_contracts(tables, hotels)
     rooms = tables.table("cnha").select(*ROOM).join(contracts, "file_id")
-    stays = tables.table("cnem").select(*ROOM, "rule_id", "minimum_days")
-    resolved = match_rules(rooms, stays).drop("rule_id")
+    resolved = rooms.join(tables.table("cnem").select(*ROOM, "minimum_days"), ROOM)
     night = F.col("night")
     minimum = F.coalesce("minimum_days", F.lit(0))
     return by_night(tables.table("cnct")).join(resolved, ROOM).select(

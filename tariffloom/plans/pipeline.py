@@ -33,10 +33,8 @@ def cache_build(t) -> DataFrame:
 
 @query
 def nightly_cache(t) -> DataFrame:
-    """The first cache, single nights with minimum stays, counted per room and minimum."""
-    return cache_ops.build_nightly_cache(t).groupBy(
-        "file_id", "rt_id", "room_type", "meal_type", "currency_code", "min_nights", "child_from", "child_to"
-    ).agg(F.count(F.lit(1)).alias("nights"), F.min("lo").alias("first_night"), F.max("hi").alias("last_night"))
+    """The first cache: single nights with their price and minimum stay."""
+    return cache_ops.build_nightly_cache(t)
 
 
 def _list(t) -> DataFrame:

@@ -216,13 +216,15 @@ class DerivedContracts:
         )
 
     def cnem(self) -> DataFrame:
+        """Stay rules with wildcards and names, some that don't cover the year, some announced after the search."""
+        k = "c_custkey"
         return self._with_contract_count(self.shared("customer")).selectExpr(
             "concat('S', c_custkey % n) as file_id",
             "c_custkey as rule_id",
-            "cast(null as date) as application_date",
-            "date'1998-01-01' as initial_date",
-            "date'1998-12-31' as final_date",
-            "'' as room_type", "'' as characteristic", "'' as board",
+            f"case {k} % 4 when 1 then date'1998-07-15' when 2 then date'1998-08-15' end as application_date",
+            f"if({k} % 5 = 4, date'1998-08-22', date'1998-01-01') as initial_date",
+            f"if({k} % 11 = 0, date'1998-08-24', date'1998-12-31') as final_date",
+            _room_wildcard(k), _characteristic_wildcard(k), _board_wildcard(k),
             "cast(c_nationkey % 8 as int) as minimum_days",
             "cast(c_nationkey + 7 as int) as maximum_days",
         )

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from tariffloom import schemas
 from tariffloom.plans.common import COUPLE, FAMILY
-from tariffloom.search import discounts_for_stay, search, search_cache
-from tariffloom.operators.cache import build_cache
+from tariffloom.search import discounts_for_stay, search, search_cache, search_cache_rules
+from tariffloom.operators.availability import nightly_rows
+from tariffloom.operators.cache import build_cache, build_nightly_cache
 from tariffloom.sources import sinks
 from tariffloom.sources.derived import DerivedContracts
 from tariffloom.sources.stored import StoredContracts, conform, key_violations, parse_text_dates
@@ -81,13 +82,24 @@ def test_stored_respects_the_shared_folder(spark, tmp_path):
     assert used.removeprefix("file:") in df.inputFiles()[0].removeprefix("file://")
 
 
+def test_nights_of_rows_without_a_named_day(spark):
+    rows = [("a", "1998-01-01", "1998-01-04", None), ("b", "1998-01-01", "1998-01-04", 2), ("c", "1998-01-04", "1998-01-04", None),
+            ("d", "1998-01-09", "1998-01-04", None)]
+    df = spark.createDataFrame([(r, lo, hi, d) for r, lo, hi, d in rows], "room_type string, lo string, hi string, days int").selectExpr(
+        "'F' as file_id", "1 as hotel_id", "cast(lo as date) as initial_date", "cast(hi as date) as final_date", "room_type",
+        "'A' as characteristic", "'1' as generic_rate", "'N' as is_price_per_pax", "null as specific_rate", "'BB' as base_board",
+        "1.0 as amount", "days")
+    got = sorted((r.room_type, str(r.initial_date)[-2:]) for r in nightly_rows(df).collect())
+    assert got == [("a", "01"), ("a", "02"), ("a", "03"), ("b", "03")]
+
+
 def test_search_runs_on_stored_contracts(spark, tmp_path):
     """The same operators over tables written with the declared schemas."""
     sf = "/root/testdata/sf0.001"
     if not os.path.isdir(sf):
         return
     made = DerivedContracts(spark, sf)
-    for name in ("ccon", "cnct", "cnha", "cnsr", "cnsu", "cngr", "cnoe", "hotel_supplier"):
+    for name in ("ccon", "cnct", "cnha", "cnsr", "cnsu", "cngr", "cnoe", "cnem", "hotel_supplier"):
         df = made.table(name)
         if name == "cnsu":
             df = df.withColumnRenamed("code", "supplement_or_discount_code")
@@ -103,5 +115,10 @@ def test_search_runs_on_stored_contracts(spark, tmp_path):
     assert price(from_held) == price(from_made)
     sinks.write_cache(from_held, str(tmp_path / "cache"))
     assert price(sinks.read_cache(spark, str(tmp_path / "cache"))) == price(from_made)
+    nights = lambda t: sorted(map(str, build_nightly_cache(t).select("rt_id", "lo", "amount", "min_nights").collect()))
+    assert nights(held) == nights(made)
+    cached = sinks.read_cache(spark, str(tmp_path / "cache"))
+    assert sorted(r.cnct_id for r in search_cache_rules(cached, held, FAMILY).select("cnct_id").collect()) == sorted(
+        r.cnct_id for r in search_cache_rules(from_made, made, FAMILY).select("cnct_id").collect())
     stay = (FAMILY.check_in, FAMILY.check_out)
     assert discounts_for_stay(held, *stay).count() == discounts_for_stay(made, *stay).count()
