@@ -196,8 +196,9 @@ def grouped(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
     # a component has a row for each of its fingerprints
     heads = prints.join(groups, prints.fingerprint == groups.node).groupBy("component").agg(F.min("least").alias("head"))
     linked = groups.join(heads, "component").select("node", "head")
-    every = prints.join(linked, prints.fingerprint == linked.node, "left").select(
-        F.col("fingerprint").alias("fp"), F.coalesce("head", "least").alias("head"))
+    # written, so that the join below has a side of its own to split: one fingerprint may hold a third of the rows
+    every = checkpointed(prints.join(linked, prints.fingerprint == linked.node, "left").select(
+        F.col("fingerprint").alias("fp"), F.coalesce("head", "least").alias("head")))
     return rows.join(every, rows.fingerprint == every.fp).drop("fp")
 
 
