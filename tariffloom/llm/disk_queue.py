@@ -65,11 +65,15 @@ class DiskQueue:
             live = [k for k, h in enumerate(heads) if len(h)]
             if not live:
                 break
-            # what is not above the smallest last key of a run that goes on can't be preceded by anything unread
-            unread = [heads[k]["key"][-1] for k in live if left[k][1]]
+            # what is not above the smallest last key of a run that goes on can't be preceded by anything unread; of records
+            # with that very key, those of later runs wait for the rest of the run that sets it
+            goes_on = [k for k in live if left[k][1]]
+            cut = min((heads[k]["key"][-1] for k in goes_on), default=None)
+            setter = next((k for k in goes_on if heads[k]["key"][-1] == cut), None)
             out = []
             for k in live:
-                n = len(heads[k]) if not unread else int(np.searchsorted(heads[k]["key"], min(unread), side="right"))
+                n = len(heads[k]) if cut is None else int(
+                    np.searchsorted(heads[k]["key"], cut, side="right" if k <= setter else "left"))
                 out.append(heads[k][:n])
                 heads[k] = heads[k][n:]
             rows = np.concatenate(out)
