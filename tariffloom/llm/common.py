@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,7 +49,9 @@ def fold(doc_id: str, folds: int) -> Column:
 
 
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema) -> DataFrame:
-    """``fn`` over the Arrow batches of each partition."""
+    """``fn`` over the Arrow batches of each partition. The subpackage's code travels with the task, so the workers need not
+    have it installed."""
+    cloudpickle.register_pickle_by_value(sys.modules[__package__])
     return df.mapInArrow(fn, schema)
 
 
