@@ -299,7 +299,8 @@ def intervals_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     sizes = checkpointed(rows.select("id", "key", "sha", F.octet_length("text").cast("long").alias("size")))
     total = sizes.agg(F.sum("size")).first()[0] or 0
     parts = min(max(-(-total // (EVERY * BUCKET)), 8), 1 << 15)
-    least = sizes.groupBy("sha").agg(F.min("id").alias("low"))
+    # written, so that the join has a side of its own to split: a third of the rows may be copies of one text
+    least = checkpointed(sizes.groupBy("sha").agg(F.min("id").alias("low")))
     copies = checkpointed(
         sizes.filter(F.col("size") >= WINDOW).join(least, "sha").filter("id > low").select("id", "key", "size").distinct())
     # the interval of a copy is its whole text, written as the array type of the others
