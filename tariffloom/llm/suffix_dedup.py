@@ -264,11 +264,16 @@ def shard_windows(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.
 
 
 def removed_intervals(windows: DataFrame) -> DataFrame:
-    """id, key, intervals (binary: pairs of 64-bit byte offsets, ascending and apart)."""
+    """id, key, intervals (binary: pairs of 64-bit byte offsets, ascending and apart), one row for each id and key. A window
+    without places stands for a whole text, of as many bytes as its mask says, and wins over the others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
             out = []
             for found in batch.column(2).to_pylist():
+                whole = next((w["mask"] for w in found if w["places"] is None), None)
+                if whole is not None:
+                    out.append(np.array([0, whole], np.int64).tobytes())
+                    continue
                 starts = np.concatenate([
                     (np.frombuffer(w["places"], np.int64)[:, None] - np.flatnonzero(np.unpackbits(
                         np.array([w["mask"]], "<u8").view(np.uint8), bitorder="little"))).ravel() for w in found])
@@ -303,18 +308,15 @@ def intervals_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     least = checkpointed(sizes.groupBy("sha").agg(F.min("id").alias("low")))
     copies = checkpointed(
         sizes.filter(F.col("size") >= WINDOW).join(least, "sha").filter("id > low").select("id", "key", "size").distinct())
-    # the interval of a copy is its whole text, written as the array type of the others
-    whole = map_batches(copies, lambda batches: (pa.RecordBatch.from_arrays(
-        [b.column(0), b.column(1), pa.array([np.array([0, n], np.int64).tobytes() for n in b.column(2).to_pylist()], pa.binary())],
-        names=["id", "key", "intervals"]) for b in batches), "id long, key long, intervals binary")
+    whole = copies.select("id", "key", F.lit(None).cast("binary").alias("places"), F.col("size").alias("mask"))
     gone, _ = broadcast_if_small(copies.select("id", "key"), F.lit(16))
     firsts = rows.join(gone, ["id", "key"], "left_anti")
     anchors = repeated_anchors(firsts.select("id", "text"), parts).groupBy("id").agg(F.collect_list("keys").alias("keys"))
-    # copies have no anchors of their own, so all rows may stand here: the shuffle of the texts is the one that
-    # ``deduplicated`` uses again for its join
+    # all rows stand here, as the shuffle of the texts is the one that ``deduplicated`` uses again for its join; a copy that
+    # takes the anchors of another text with its id is a whole text all the same
     asked = rows.select("id", "key", "text").join(anchors, "id").select("id", "key", "keys", "text")
     marked = marked_windows(candidate_stretches(asked, parts, parts))
-    return removed_intervals(marked).unionByName(whole)
+    return removed_intervals(marked.unionByName(whole))
 
 
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

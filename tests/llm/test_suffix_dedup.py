@@ -49,6 +49,16 @@ def test_shared_passages_in_small_parts(spark, monkeypatch):
     assert answer(docs) == sorted(map(str, brute(rows)))
 
 
+def test_copies_beside_other_texts_of_their_id(spark):
+    """A copy stays one row, wholly removed, whatever else has its id."""
+    rng = random.Random(5)
+    p, x, y, z, w = ("".join(rng.choice("abcdefgh ") for _ in range(n)) for n in (90, 70, 70, 70, 70))
+    rows = [(1, p + x), (2, p + y), (7, p + x), (7, z + p), (None, p + x), (None, w + p), (None, p + x), (9, p + y), (9, p + y), (9, z + p + w)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for parts in (1, 6):
+        assert answer(docs.repartition(parts)) == sorted(map(str, brute(rows)))
+
+
 def test_queue_orders_records_with_and_without_disk():
     rng = np.random.default_rng(1)
     kind = np.dtype([("key", "u8"), ("came", "i8")])
