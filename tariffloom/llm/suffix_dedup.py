@@ -12,8 +12,10 @@
 
 Hot passages: a task sends an anchor once, and a stretch's content once with its smallest id, for all documents it has at hand;
 the larger ids among them are settled there and then. So a passage that a third of all documents share costs each shard a
-record per task, not per document. Buckets and shards grow in number with the input. Texts are shuffled once, by id, for
-both joins that need them; the list of copies is broadcast only below a measured size, else shuffled.
+record per task, not per document. Buckets and shards grow in number with the input. Texts are shuffled once, by their spot
+(32 bits of a hash of id and text), for both joins that need them; the list of copies is broadcast only below a measured
+size, else shuffled. Lists are gathered by spot, so each is one document's, however many rows share an id or have none.
+Documents that share a spot by chance get each other's anchors, which are more windows to judge and no other result.
 
 Windows are judged on the input and never cross documents; overlaps count. Cases: NULL and empty texts have no window; texts
 shorter than a window keep all bytes; a NULL id counts as larger than any other; rows that repeat an id don't affect
@@ -30,7 +32,7 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tariffloom.llm.common import broadcast_if_small, checkpointed, map_batches, texts_of
@@ -43,11 +45,15 @@ LAST = (1 << 63) - 1
 
 
 def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """id (NULL last), key (of the text), sha, text."""
+    """id (NULL last), key (of the text), spot (of both), sha, text."""
     value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    return docs.select(
-        F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(value).alias("key"),
-        F.sha2(value, 256).alias("sha"), value.alias("text"))
+    rows = docs.select(
+        F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(value).alias("key"), value.alias("text"))
+    return rows.select("id", "key", spot_of("id", "key").alias("spot"), F.sha2("text", 256).alias("sha"), "text")
+
+
+def spot_of(*cols: str) -> Column:
+    return F.xxhash64(*cols).bitwiseAND(F.lit((1 << 32) - 1))
 
 
 def together(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
@@ -76,40 +82,52 @@ def bucket_keys(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return (hashes % n) << np.uint64(32) | (hashes // n) & np.uint64(0xFFFFFFFF)
 
 
+def planes(values: np.ndarray) -> bytes:
+    """Ascending 32-bit numbers as four rows of bytes: that of the highest ones is runs, which compression takes away."""
+    return values.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
+
+
 def repeated_anchors(texts: DataFrame, buckets: int) -> DataFrame:
-    """id, keys (binary: 64-bit bucket keys of anchors that are in another document too). ``texts``: id, text."""
+    """spot, keys (binary: 64-bit bucket keys of anchors that are in another document too). ``texts``: id, key, spot, text."""
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for rows, values in together(batches):
-            ids, found = rows.column(0).to_numpy(), stretches(values)
-            pairs = np.unique(np.rec.fromarrays([bucket_keys(found.hash, buckets), ids[found.doc]], names="key,id"))
+            found = stretches(values)
+            # rows of one id and text are one document; those that only share a spot are not
+            _, first, doc = np.unique(
+                np.rec.fromarrays([rows.column(0).to_numpy(), rows.column(1).to_numpy()], names="id,key"),
+                return_index=True, return_inverse=True)
+            spots = rows.column(2).to_numpy()[first]
+            pairs = np.unique(np.rec.fromarrays([bucket_keys(found.hash, buckets), doc[found.doc]], names="key,doc"))
             if not len(pairs):
                 continue
-            keys, owners = pairs["key"], pairs["id"]
+            keys, owners = pairs["key"], spots[pairs["doc"]]
             starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
             here = np.repeat(np.diff(np.r_[starts, len(keys)]) > 1, np.diff(np.r_[starts, len(keys)]))
-            yield from packed(keys[starts], owners[starts])  # one of each goes to its bucket
+            yield packed(keys[starts], owners[starts])  # one of each goes to its bucket
             yield settled(keys[here], owners[here], buckets)  # what repeats here is known already
 
-    def packed(keys: np.ndarray, owners: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def packed(keys: np.ndarray, owners: np.ndarray) -> pa.RecordBatch:
         bucket = (keys >> np.uint64(32)).astype(np.int32)
         cuts = np.r_[np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]), len(bucket)]
-        small, base = keys.astype(np.uint32), owners.min()
-        near = owners - base
-        near = near.astype(np.uint32) if near.max() < 1 << 32 else near
-        yield pa.RecordBatch.from_arrays([
-            pa.array(bucket[cuts[:-1]]), pa.array(np.full(len(cuts) - 1, base)),
-            pa.array([small[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
-            pa.array([near[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())], names=["bucket", "id", "keys", "owners"])
+        small, owners = keys.astype(np.uint32), owners.astype(np.uint32)
+        return pa.RecordBatch.from_arrays([
+            pa.array(bucket[cuts[:-1]]), pa.nulls(len(cuts) - 1, pa.int64()),
+            pa.array([planes(small[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary()),
+            pa.array([owners[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())], names=["bucket", "spot", "keys", "owners"])
 
     def settled(keys: np.ndarray, owners: np.ndarray, spread: int) -> pa.RecordBatch:
         order = np.argsort(owners, kind="stable")
         keys, owners = keys[order], owners[order]
         cuts = np.r_[np.flatnonzero(np.r_[True, owners[1:] != owners[:-1]][:len(owners)]), len(owners)]
-        ids = owners[cuts[:-1]]
+        spots = owners[cuts[:-1]]
         return pa.RecordBatch.from_arrays([
-            pa.array((ids % spread).astype(np.int32)), pa.array(ids, pa.int64()),
+            pa.array((spots % spread).astype(np.int32)), pa.array(spots, pa.int64()),
             pa.array([keys[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
-            pa.nulls(len(ids), pa.binary())], names=["bucket", "id", "keys", "owners"])
+            pa.nulls(len(spots), pa.binary())], names=["bucket", "spot", "keys", "owners"])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -119,28 +137,28 @@ def repeated_anchors(texts: DataFrame, buckets: int) -> DataFrame:
             keys, owners = (np.concatenate(x) for x in zip(*held)) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
             order = np.lexsort((owners, keys))
             keys, owners = keys[order], owners[order]
-            starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][:len(keys)])
-            ends = np.r_[starts[1:], len(keys)] - 1
-            several = np.repeat(owners[starts] != owners[ends], ends - starts + 1) if len(keys) else np.zeros(0, bool)
+            new = np.r_[True, keys[1:] != keys[:-1]][:len(keys)]
+            # sent twice is enough: equal spots may be two documents
+            several = ~(new & np.r_[new[1:], True][:len(keys)])
+            several &= new | np.r_[True, owners[1:] != owners[:-1]][:len(keys)]
             if several.any():
-                yield settled(keys[several], owners[several], 1).select(["id", "keys"])
+                yield settled(keys[several], owners[several], 1).select(["spot", "keys"])
             held.clear()
 
         for batch in batches:
             known = batch.column(3).is_null()
-            yield batch.filter(known).select(["id", "keys"])
-            asked = batch.filter(pc.invert(known))
-            for bucket, base, keys, owners in zip(*(c.to_pylist() for c in asked.columns)):
+            yield batch.filter(known).select(["spot", "keys"])
+            asked = batch.filter(pc.invert(known)).select(["bucket", "keys", "owners"])
+            for bucket, keys, owners in zip(*(c.to_pylist() for c in asked.columns)):
                 if bucket != current:
                     yield from close()
                     current = bucket
-                small = np.frombuffer(keys, np.uint32)
-                near = np.frombuffer(owners, np.uint32 if len(owners) == len(keys) else np.int64).astype(np.int64)
-                held.append((small.astype(np.uint64) | np.uint64(bucket) << np.uint64(32), near + base))
+                held.append((from_planes(keys).astype(np.uint64) | np.uint64(bucket) << np.uint64(32),
+                             np.frombuffer(owners, np.uint32).astype(np.int64)))
         yield from close()
 
-    asks = map_batches(texts, ask, "bucket int, id long, keys binary, owners binary")
-    return map_batches(asks.repartition("bucket").sortWithinPartitions("bucket"), answer, "id long, keys binary")
+    asks = map_batches(texts, ask, "bucket int, spot long, keys binary, owners binary")
+    return map_batches(asks.repartition("bucket").sortWithinPartitions("bucket"), answer, "spot long, keys binary")
 
 
 def candidate_stretches(texts: DataFrame, buckets: int, shards: int) -> DataFrame:
@@ -311,10 +329,11 @@ def intervals_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     whole = copies.select("id", "key", F.lit(None).cast("binary").alias("places"), F.col("size").alias("mask"))
     gone, _ = broadcast_if_small(copies.select("id", "key"), F.lit(16))
     firsts = rows.join(gone, ["id", "key"], "left_anti")
-    anchors = repeated_anchors(firsts.select("id", "text"), parts).groupBy("id").agg(F.collect_list("keys").alias("keys"))
-    # all rows stand here, as the shuffle of the texts is the one that ``deduplicated`` uses again for its join; a copy that
-    # takes the anchors of another text with its id is a whole text all the same
-    asked = rows.select("id", "key", "text").join(anchors, "id").select("id", "key", "keys", "text")
+    # a set, as tasks that meet rows of one id and text send the same
+    anchors = repeated_anchors(firsts.select("id", "key", "spot", "text"), parts).groupBy("spot").agg(F.collect_set("keys").alias("keys"))
+    # all rows stand here, as the shuffle of the texts is the one that ``deduplicated`` uses again for its join; a copy has no
+    # anchors, and is a whole text all the same if it shares the spot of another document
+    asked = rows.select("id", "key", "spot", "text").join(anchors, "spot").select("id", "key", "keys", "text")
     marked = marked_windows(candidate_stretches(asked, parts, parts))
     return removed_intervals(marked.unionByName(whole))
 
@@ -331,10 +350,12 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
                 pa.array([hashlib.sha256(c[2]).hexdigest() for c in cuts])],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"])
 
-    intervals = intervals_of(docs, doc_id, text).select(F.col("id").alias("of"), F.col("key").alias("of_key"), "intervals")
-    rows = keyed(docs, doc_id, text).select("id", "key", "text")
-    # by id alone, the texts' shuffle of ``intervals_of``; the keys, which tell rows of one id apart, are compared besides
-    same = (F.col("id") == F.col("of")) & (F.col("key").bitwiseXOR(F.col("of_key")) == 0)
+    intervals = intervals_of(docs, doc_id, text).select(
+        F.col("id").alias("of"), F.col("key").alias("of_key"), spot_of("id", "key").alias("of_spot"), "intervals")
+    rows = keyed(docs, doc_id, text).select("id", "key", "spot", "text")
+    # by spot alone, the texts' shuffle of ``intervals_of``; ids and keys tell apart the few documents of a spot
+    same = (F.col("spot") == F.col("of_spot")) & (
+        F.col("id").bitwiseXOR(F.col("of")).bitwiseOR(F.col("key").bitwiseXOR(F.col("of_key"))) == 0)
     joined = rows.join(intervals, same, "left").select(
         F.when(F.col("id") != LAST, F.col("id")).alias("doc_id"), "text", "intervals")
     return map_batches(joined, run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")

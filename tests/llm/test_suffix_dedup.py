@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tariffloom.llm import induced_sort, suffix_dedup
 from tariffloom.llm.disk_queue import DiskQueue
@@ -59,6 +60,32 @@ def test_copies_beside_other_texts_of_their_id(spark):
         assert answer(docs.repartition(parts)) == sorted(map(str, brute(rows)))
 
 
+def test_lists_of_rows_without_an_id_are_one_document_s(spark):
+    """Rows that share an id, or have none, get the anchors of their own text only."""
+    rng = random.Random(6)
+    p = ["".join(rng.choice("abcdefgh ") for _ in range(120)) for _ in range(40)]
+    rows = [(k, t) for k, t in enumerate(p)] + [(None, "x" + t) for t in p] + [(77, "y" + t) for t in p] + [(-(1 << 63), p[3] + "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    texts = suffix_dedup.keyed(docs, "doc_id", "text").select("id", "key", "spot", "text")
+    lists = suffix_dedup.repeated_anchors(texts, 4).groupBy("spot").agg(F.collect_list("keys").alias("keys")).collect()
+    assert len(lists) == len(rows)
+    for r in lists:
+        assert len(set(np.frombuffer(b"".join(r["keys"]), np.uint64))) <= 240 - WINDOW
+    assert answer(docs) == sorted(map(str, brute(rows)))
+
+
+def test_documents_that_share_a_spot(spark, monkeypatch):
+    rng = random.Random(8)
+    piece = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    common = [piece(rng.randint(60, 150)) for _ in range(4)]
+    rows = [(rng.choice([None, *range(12)]), "".join(rng.choice(common) if rng.random() < 0.6 else piece(40) for _ in range(rng.randint(0, 4))))
+            for _ in range(60)]
+    monkeypatch.setattr(suffix_dedup, "spot_of", lambda *cols: F.xxhash64(*cols).bitwiseAND(F.lit(3)))
+    monkeypatch.setattr(suffix_dedup, "TOGETHER", 400)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert answer(docs) == sorted(map(str, brute(rows)))
+
+
 def test_queue_orders_records_with_and_without_disk():
     rng = np.random.default_rng(1)
     kind = np.dtype([("key", "u8"), ("came", "i8")])
