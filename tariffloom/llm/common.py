@@ -48,6 +48,13 @@ def fold(doc_id: str, folds: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % folds
 
 
+def row_of_each(rows: DataFrame, *cols: str) -> DataFrame:
+    """``cols`` and text: of the rows that agree in ``cols``, the one with the least hash of its text. Partial minima, so an id
+    with very many rows is a row per task."""
+    least = rows.groupBy(*cols).agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"))
+    return least.select(*cols, F.col("least.text").alias("text"))
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema) -> DataFrame:
     """``fn`` over the Arrow batches of each partition. The subpackage's code travels with the task, so the workers need not
     have it installed."""

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tariffloom.llm.common import map_batches, texts_of
+from tariffloom.llm.common import map_batches, row_of_each, texts_of
 
 SAMPLE = 20_000
 RULES, CONDITIONS, CUTS = 24, 4, 64
@@ -193,7 +193,7 @@ def cover(x: np.ndarray, bad: np.ndarray) -> list[Rule]:
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[Rule]:
     known = labels.filter("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # bounded: the hint below is safe
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
+    rows = row_of_each(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "doc_id", "quality").select(
         "text", (F.col("quality") <= 0).alias("bad"), F.xxhash64("doc_id").alias("place"))
     # the list judges what the base rules leave, so it learns from such rows; at most ``sample`` rows of numbers
     table = measured(rows, ("bad", "place")).filter(~base_failed()).toPandas()

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tariffloom.llm.boosting import Trees, calibrated, fit_isotonic, fit_trees
-from tariffloom.llm.common import checkpointed, fold, ids_of, map_batches, texts_of
+from tariffloom.llm.common import checkpointed, fold, ids_of, map_batches, row_of_each, texts_of
 
 SAMPLE, LEXICON = 20_000, 5_000
 FOLDS = 5
@@ -122,12 +122,12 @@ class Model:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, held_out: bool = True) -> DataFrame:
-    """text, toxic, half: at most ``sample`` labelled rows; fold 0 is left out if ``held_out``."""
+    """text, toxic, half: at most ``sample`` labelled rows, one of each id; fold 0 is left out if ``held_out``."""
     known = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     if held_out:
         known = known.filter(fold("doc_id", FOLDS) != 0)
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # bounded: the hint below is safe
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
+    return row_of_each(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "doc_id", "toxic").select(
         "text", (F.col("toxic") > 0).cast("int").alias("toxic"),
         F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).cast("int").alias("half"))
 
