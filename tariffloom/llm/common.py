@@ -43,6 +43,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this session wrote."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def fold(doc_id: str, folds: int) -> Column:
     """Fold of a row: crc32 of the id as text. A NULL id counts as empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % folds

@@ -7,10 +7,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffloom.llm import hidden_markov, quality, suffix_dedup, toxicity
+from tariffloom.llm import hidden_markov, importance, quality, suffix_dedup, toxicity, warc
 from tariffloom.llm.common import fold, table
 from tariffloom.llm.decontam import contaminated, contamination
 from tariffloom.llm.packing import pack, word_count
+from tariffloom.llm.prefix_trie import trie
 from tariffloom.llm.secrets import scan
 from tariffloom.llm.simhash import near_duplicates
 from tariffloom.llm.token_count import token_counts
@@ -66,4 +67,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fold("doc_id", toxicity.FOLDS) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_url_filter, op2_token_counts, op3_packing, op4_quality_rules, op5_simhash, op6_hidden_markov, op7_suffix_dedup, op8_secrets, op9_decontamination, op10_toxicity)}
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages")).drop("record_id")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie(table(spark, sf_dir, "conversations"))
+
+
+OPERATORS = (
+    op1_url_filter, op2_token_counts, op3_packing, op4_quality_rules, op5_simhash, op6_hidden_markov, op7_suffix_dedup, op8_secrets,
+    op9_decontamination, op10_toxicity, op11_importance, op12_warc, op13_prefix_trie,
+)
+QUERIES = {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in OPERATORS}

@@ -19,7 +19,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="shared tables are
 
 def test_all_are_registered():
     names = {n.split("_")[0] for n in QUERIES}
-    assert names == {"pipeline", *(f"op{k}" for k in range(1, 11))}
+    assert names == {"pipeline", *(f"op{k}" for k in range(1, 14))}
     assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
 
 
