@@ -2,7 +2,7 @@
 
 ``placed`` range-partitions rows by bounded sort columns and numbers them where they lie. A piece is a partition; a key with a
 third of all rows spans many pieces, nearly every other key lies in one. Running values are taken inside (key, piece) and
-carried over the cuts. Only keys that span a cut need that, and there are fewer of them than pieces.
+carried over the cuts, a row a (key, piece) of which at most one a piece has anything to carry.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PIECE = "_piece"
+PIECE, KEY = "_piece", "_key"
 
 
 class Running(NamedTuple):
@@ -46,45 +46,25 @@ def placed(rows: DataFrame, order: Sequence[Column], keep: Sequence[str] | None
     return dealt.select(*(keep or rows.columns), F.monotonically_increasing_id().alias("_at"))
 
 
-def _same(key: Sequence[str], names: Sequence[str]) -> Column:
-    out = F.lit(True)
-    for a, b in zip(key, names, strict=True):
-        out = out & F.col(f"`{a}`").eqNullSafe(F.col(b))
-    return out
-
-
-def spanning(rows: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The keys, as ``_k0``, ``_k1`` .., that lie in several pieces: less than one a piece. ``rows``: placed by ``key`` first."""
-    k = F.struct(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(key)])
-    ends = rows.groupBy(PIECE).agg(F.min_by(k, "_at").alias("a"), F.max_by(k, "_at").alias("z"))
-    each = ends.select(F.explode(F.array_distinct(F.array("a", "z"))).alias("k"))
-    return each.groupBy("k").agg(F.count("*").alias("n")).filter("n > 1").select("k.*")
-
-
 def running(rows: DataFrame, key: Sequence[str], values: dict[str, Running], past: bool = False) -> DataFrame:
     """``rows`` (placed by ``key`` and what orders it, and written) with the running ``values`` of each key, a row included or, with
-    ``past``, up to the row before it. No window holds more than one piece."""
-    rows = rows.withColumn(PIECE, F.shiftright("_at", 33))
-    names = [f"_k{i}" for i in range(len(key))]
-    hot = rows.join(F.broadcast(spanning(rows, key)), _same(key, names), "inner")
-    totals = hot.groupBy(*names, F.col(PIECE).alias("_p")).agg(*[v.rows.alias(f"_v{i}") for i, v in enumerate(values.values())])
-    earlier = Window.partitionBy(*names).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(*names, "_p", *[v.totals(f"_v{i}").over(earlier).alias(f"_c{i}") for i, v in enumerate(values.values())])
-    within = Window.partitionBy(*key, PIECE).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1 if past else Window.currentRow)
-    local = rows.select("*", *[v.rows.over(within).alias(f"_l{i}") for i, v in enumerate(values.values())])
-    met = local.join(F.broadcast(carry), _same([*key, PIECE], [*names, "_p"]), "left")
-    return met.select(*[c for c in rows.columns if c != PIECE], *[
-        v.joined(F.col(f"_c{i}"), F.col(f"_l{i}")).alias(name) for i, (name, v) in enumerate(values.items())])
-
-
-def numbered(rows: DataFrame, name: str) -> DataFrame:
-    """``rows`` (placed, and written) with their place, from 1, in the whole order as ``name``. No window: the place in a piece stands
-    in ``_at`` already, and pieces are counted."""
-    piece, within = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
-    sizes = sorted(rows.groupBy(piece.alias("p")).agg(F.count("*").alias("n")).collect())  # a row a piece
-    starts, total = [], 0
-    for p, n in sizes:
-        starts.append((p, total))
-        total += n
-    offsets = rows.sparkSession.createDataFrame(starts, "_p long, _start long")
-    return rows.join(F.broadcast(offsets), piece == F.col("_p")).withColumn(name, F.col("_start") + within + 1).drop("_p", "_start", "_at")
+    ``past``, up to the row before it.
+
+    Rows are dealt by (key, piece), once: totals of a piece come from the same windows, and what earlier pieces carry is joined where
+    the rows lie. Keys are compared as structs, in which NULLs are equal. No join is forced to be a broadcast.
+    """
+    rows = rows.withColumns({PIECE: F.shiftright("_at", 33), KEY: F.struct(*[f"`{c}`" for c in key])})
+    group = Window.partitionBy(KEY, PIECE)
+    upto = group.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1 if past else Window.currentRow)
+    whole = group.orderBy("_at").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    held = list(values.items())
+    # the first row of a piece's key sees the whole piece
+    firsts = rows.select(KEY, PIECE, F.row_number().over(group.orderBy("_at")).alias("_n"), *[
+        v.rows.over(whole).alias(f"_v{i}") for i, (_, v) in enumerate(held)]).filter("_n = 1")
+    earlier = Window.partitionBy(KEY).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
+    carry = firsts.select(KEY, PIECE, F.lag(PIECE).over(Window.partitionBy(KEY).orderBy(PIECE)).alias("_from"), *[
+        v.totals(f"_v{i}").over(earlier).alias(f"_c{i}") for i, (_, v) in enumerate(held)]).filter("_from IS NOT NULL").drop("_from")
+    local = rows.select("*", *[v.rows.over(upto).alias(f"_l{i}") for i, (_, v) in enumerate(held)])
+    met = local.join(carry, [KEY, PIECE], "left")
+    return met.select(*[f"`{c}`" for c in rows.columns if c not in (PIECE, KEY)], *[
+        v.joined(F.col(f"_c{i}"), F.col(f"_l{i}")).alias(name) for i, (name, v) in enumerate(held)])
