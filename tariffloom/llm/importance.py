@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tariffloom.llm.common import checkpointed, ids_of, map_batches, remove, shared_folder, texts_of
-from tariffloom.operators.pieces import numbered, placed
+from tariffloom.operators.pieces import placed
 
 LONGEST, BUCKETS, LEAST_WORDS, SHARE, SEED = 2, 10_000, 20, (25, 100), 7
 SEPARATORS = regex.compile(rb"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -133,6 +133,18 @@ def noise(seed: int = SEED) -> Column:
     return F.floor(F.lit(-1000.0) * F.log(-F.log((h + 0.5) / 4294967296.0))).cast("long")
 
 
+def numbered(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` (placed, and written) with their place, from 1, in the whole order. The place in a piece stands in ``_at`` already, and the
+    driver adds up the sizes of the pieces."""
+    piece, within = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    starts, total = [], 0
+    for p, n in sorted(rows.groupBy(piece.alias("p")).agg(F.count("*").alias("n")).collect()):
+        starts.append((p, total))
+        total += n
+    offsets = rows.sparkSession.createDataFrame(starts, "_p long, _start long")  # a row a piece
+    return rows.join(F.broadcast(offsets), piece == F.col("_p")).withColumn(name, F.col("_start") + within + 1).drop("_p", "_start", "_at")
+
+
 def ranked(docs: DataFrame, target: DataFrame, doc_id: str = "doc_id", text: str = "text", target_text: str = "text",
            longest: int = LONGEST, buckets: int = BUCKETS, least_words: int = LEAST_WORDS, share: tuple[int, int] = SHARE,
            seed: int = SEED) -> DataFrame:
