@@ -380,6 +380,21 @@ SELECT b.cnct_id, b.file_id, b.room_type, b.characteristic, b.base_board AS boar
 FROM base b JOIN fold f ON f.cnct_id = b.cnct_id
 JOIN (SELECT cnct_id, max(seq) AS last FROM fold GROUP BY cnct_id) m ON m.cnct_id = f.cnct_id AND m.last = f.seq"""
 
+# the state after every step of the fold, behind the base rows, whose board prices add up
+RUNNING = FOLD[:FOLD.index("SELECT b.cnct_id")].replace("percentage, days, times,", "percentage, days, times, sad_code, rule_id, d.\"order\",") + f"""
+SELECT cnct_id, 'cnsr' AS sad_name, -100000 AS "order", '' AS sad_code, coalesce(rule_id, -1) AS rule_id, '' AS type, '' AS application_type,
+       {money(f'service_base_price * {NIGHTS}')} AS service_base_price,
+       {money(f'sum(service_base_board_price) OVER w * {NIGHTS}')} AS service_base_board_price,
+       {money(f'pax_base_price * paxes * {NIGHTS}')} AS pax_base_price,
+       {money(f'sum(pax_base_board_price) OVER w * {NIGHTS}')} AS pax_base_board_price
+FROM board_left
+WINDOW w AS (PARTITION BY cnct_id ORDER BY rule_id NULLS LAST, service_base_board_price, pax_base_board_price
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+UNION ALL
+SELECT s.cnct_id, 'cnsu', coalesce(s."order", -1), s.sad_code, s.rule_id, s.type, s.application_type,
+       {money('f.sbp')}, {money('f.sbbp')}, {money('f.pbp')}, {money('f.pbbp')}
+FROM steps s JOIN fold f ON f.cnct_id = s.cnct_id AND f.seq = s.seq"""
+
 PIPELINE = {
     "cache_build": _sql(f"""
 SELECT file_id, rt_id, country_code, city_code, hotel_code, contract_name, contract_number, room_type_id, meal_type, room_type,
@@ -452,21 +467,7 @@ FROM (
   HAVING count(DISTINCT night) = {NIGHTS}) o
 JOIN party p USING (file_id)
 WHERE p.paxes > 0 AND o.max_pax >= p.paxes AND o.max_children >= p.childes""")}),
-    "running_price": _sql(f"""
-WITH added AS (
-  SELECT d.*, b.room_flag, b.board_flag, b.sbp_1, b.sbbp_1, b.pbp_1, b.pbbp_1, b.p, b.c, b.n,
-         0.0::DOUBLE AS sbp, 0.0::DOUBLE AS sbbp, 0.0::DOUBLE AS pbp, 0.0::DOUBLE AS pbbp, 0.0::DOUBLE AS g_room, 0.0::DOUBLE AS g_board
-  FROM discount_match d JOIN base b ON b.cnct_id = d.cnct_id WHERE d.days > 0 AND {GUEST}),
-deltas AS (SELECT *, {NEXT['sbp']} AS d_sbp, {NEXT['sbbp']} AS d_sbbp, {NEXT['pbp']} AS d_pbp, {NEXT['pbbp']} AS d_pbbp FROM added)
-SELECT cnct_id, coalesce("order", -1) AS "order", sad_code, rule_id, type, application_type,
-       {money('sbp_1 * n + sum(d_sbp) OVER w')} AS service_base_price,
-       {money('sbbp_1 * n + sum(d_sbbp) OVER w')} AS service_base_board_price,
-       {money('pbp_1 * n + sum(d_pbp) OVER w')} AS pax_base_price,
-       {money('pbbp_1 * n + sum(d_pbbp) OVER w')} AS pax_base_board_price
-FROM deltas
-WINDOW w AS (PARTITION BY cnct_id ORDER BY deltas."order" NULLS LAST, sad_code, rule_id, type, application_type,
-             amount NULLS LAST, percentage NULLS LAST, days ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
-                          "discount_match", "base"),
+    "running_price": _sql(RUNNING, "discount_match", "doomed", "base", "board_left"),
     "cached_search": _sql(f"""
 SELECT file_id, rt_id, city_code, room_type, characteristic, coalesce(rate, '') AS rate, board, sum_nights, terms,
        {money('room_price')} AS room_price, {money('board_price')} AS board_price, {money('price')} AS price

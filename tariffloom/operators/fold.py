@@ -178,6 +178,22 @@ _THEN = {
 }
 
 
+def then(first: Column, second: Column) -> Column:
+    """The step that does what ``first`` does and ``second`` after it."""
+    def value(text: str) -> Column:
+        total = None
+        for product in text.split(" + "):
+            term = None
+            for factor in product.split(" * "):
+                side, name = factor.split(".")
+                part = (first if side == "a" else second)[name]
+                term = part if term is None else term * part
+            total = term if total is None else total + term
+        return total
+
+    return F.struct(*[value(_THEN[n]).alias(n) for n in COEFFICIENTS])
+
+
 def _compose(ordered: str) -> Column:
     """The steps of a sorted array as one step."""
     start = ", ".join(f"{IDENTITY[n]}D as {n}" for n in COEFFICIENTS)

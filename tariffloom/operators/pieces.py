@@ -68,3 +68,48 @@ def running(rows: DataFrame, key: Sequence[str], values: dict[str, Running], pas
     met = local.join(carry, [KEY, PIECE], "left")
     return met.select(*[f"`{c}`" for c in rows.columns if c not in (PIECE, KEY)], *[
         v.joined(F.col(f"_c{i}"), F.col(f"_l{i}")).alias(name) for i, (name, v) in enumerate(held)])
+
+
+def neighbours(rows: DataFrame, key: Sequence[str], value: Column) -> DataFrame:
+    """``rows`` (placed by ``key`` and what orders it, and written) with ``prev`` and ``next``: ``value`` of the rows before and after, NULL at a
+    key's ends. Inside a piece by its windows; over the cuts the last and the first value of each (key, piece) are exchanged."""
+    rows = rows.withColumns({PIECE: F.shiftright("_at", 33), KEY: F.struct(*[f"`{c}`" for c in key]), "_v": value})
+    group = Window.partitionBy(KEY, PIECE).orderBy("_at")
+    ends = rows.select(KEY, PIECE, F.row_number().over(group).alias("_n"), F.col("_v").alias("_first"), F.last("_v").over(
+        group.rowsBetween(Window.currentRow, Window.unboundedFollowing)).alias("_last")).filter("_n = 1")
+    across = Window.partitionBy(KEY).orderBy(PIECE)
+    edges = ends.select(KEY, PIECE, F.lag("_last").over(across).alias("_before"), F.lead("_first").over(across).alias("_after"))
+    local = rows.select("*", F.lag("_v").over(group).alias("_lag"), F.lead("_v").over(group).alias("_lead"))
+    met = local.join(edges, [KEY, PIECE])
+    return met.select(*[f"`{c}`" for c in rows.columns if c not in (PIECE, KEY, "_v")], F.coalesce("_lag", "_before").alias("prev"), F.coalesce(
+        "_lead", "_after").alias("next"))
+
+
+def prefix_scan(rows: DataFrame, key: Sequence[str], value: str, joined: Callable[[Column, Column], Column]) -> DataFrame:
+    """``rows`` (placed by ``key`` and what orders it, and written), ``value`` replaced by its prefix: the values of the key up to the row, put together
+    by ``joined(earlier, later)``, which must be associative and need not commute.
+
+    By doubling: after k rounds a row holds its last 2^k values, each round a lag in one and the same window, so that rows are dealt and
+    sorted once. Pieces are scanned first; their totals, a row a (key, piece), are scanned in the same way and joined back.
+    """
+    rows = rows.withColumns({PIECE: F.shiftright("_at", 33), KEY: F.struct(*[f"`{c}`" for c in key])})
+    sizes = rows.groupBy(KEY, PIECE).agg(F.count(F.lit(1)).alias("n")).groupBy(KEY).agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("p"))
+    longest, most = sizes.agg(F.max("n"), F.max("p")).first()
+
+    def scanned(df: DataFrame, group: list[str], order: str, size: int) -> DataFrame:
+        window, step = Window.partitionBy(*group).orderBy(order), 1
+        while step < size:
+            df = df.withColumn("_earlier", F.lag(value, step).over(window))
+            df = df.withColumn(value, F.when(F.col("_earlier").isNull(), F.col(value)).otherwise(joined(F.col("_earlier"), F.col(value))))
+            step *= 2
+        return df.drop("_earlier")
+
+    local = scanned(rows, [KEY, PIECE], "_at", longest or 0)
+    if (most or 0) < 2:
+        return local.drop(PIECE, KEY)
+    ends = local.groupBy(KEY, PIECE).agg(F.max_by(value, "_at").alias(value))
+    across = scanned(ends, [KEY], PIECE, most)
+    before = across.select(KEY, PIECE, F.lag(value).over(Window.partitionBy(KEY).orderBy(PIECE)).alias("_before"))
+    met = local.join(before, [KEY, PIECE])
+    both = F.when(F.col("_before").isNull(), F.col(value)).otherwise(joined(F.col("_before"), F.col(value)))
+    return met.withColumn(value, both).drop(PIECE, KEY, "_before")

@@ -1,93 +1,67 @@
-"""Running prices and neighbour tests inside one offer, without holding a whole offer in one task.
+"""Running prices and neighbour tests inside one offer, without holding an offer in one task.
 
-A window over an offer would pull all its rules into one task. Both operators cut an offer into slices by the
-leading sort columns, work inside the slices, and carry only one summary row per slice across them.
+A window over an offer would pull all its rules into one task. Here the rules of all offers are put in one order over range
+partitions; windows hold one piece of an offer, and what earlier pieces leave is carried over the cuts (``operators.pieces``).
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tariffloom.functions import pricing as px
 from tariffloom.operators import fold
+from tariffloom.operators.pieces import neighbours, placed, prefix_scan
+from tariffloom.sources.sinks import stored
 
-# slice columns lead the order of the rules; the rest orders rules inside a slice
-SLICE = ("order", "sad_code")
-INSIDE = ("rule_id", "type", "application_type", "amount", "percentage", "days")
+PRICES = ("service_base_price", "service_base_board_price", "pax_base_price", "pax_base_board_price")
 
 
-def _last(name: str) -> Column:
-    return F.col(name).asc_nulls_last()
+def _last(names: Sequence[str]) -> list[Column]:
+    return [F.col(n).asc_nulls_last() for n in names]
 
 
-def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[f"{n}_"]) for n in names])
+def _rows(listed: DataFrame, stay, base: DataFrame) -> DataFrame:
+    """Base rows and rules to price in one shape: what a base row adds to the board prices, what step a rule takes."""
+    rules = fold.steps(fold.rules_to_price(listed, stay), base).select(
+        "cnct_id", F.lit("cnsu").alias("sad_name"), *fold.RULE_ORDER, _state(*fold.COEFFICIENTS))
+    boards = listed.filter(F.col("sad_name") == "cnsr").select(
+        "cnct_id", "sad_name", F.lit(px.BASE_RANK).alias("order"), "rule_id",
+        _state(*[F.lit(fold.IDENTITY[n]).alias(n) for n in fold.COEFFICIENTS], sbb=F.col("service_base_board_price"), pbb=F.col("pax_base_board_price")))
+    return boards.unionByName(rules, allowMissingColumns=True)
 
 
-def running_sums(df: DataFrame, group: list[str], slice_by: list[str], inside: list[str], values: list[str]) -> DataFrame:
-    """Prefix sums of ``values`` in the order (slice_by, inside), per group, as ``running_<value>``."""
-    sums = df.groupBy(*group, *slice_by).agg(*[F.sum(v).alias(f"sum_{v}") for v in values])
-    earlier = Window.partitionBy(*group).orderBy(*[_last(c) for c in slice_by]).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    before = sums.select(
-        *[F.col(c).alias(f"{c}_") for c in [*group, *slice_by]],
-        *[F.coalesce(F.sum(f"sum_{v}").over(earlier), F.lit(0.0)).alias(f"before_{v}") for v in values],
-    )
-    within = Window.partitionBy(*group, *slice_by).orderBy(*[_last(c) for c in inside]).rowsBetween(
-        Window.unboundedPreceding, 0
-    )
-    joined = df.join(before, _same(df, before, [*group, *slice_by]))
-    return joined.select(
-        *df.columns,
-        *[(F.sum(v).over(within) + F.col(f"before_{v}")).alias(f"running_{v}") for v in values],
-    )
+def _state(*step: Column | str, sbb: Column | None = None, pbb: Column | None = None) -> Column:
+    none = F.lit(0.0)
+    return F.struct(F.struct(*step).alias("step"), (none if sbb is None else sbb).alias("sbb"), (none if pbb is None else pbb).alias("pbb")).alias("state")
 
 
-def running_price(listed: DataFrame, stay) -> DataFrame:
-    """Prices of an offer after each of its guest-type rules, in rule order."""
-    base = fold.base_prices(listed)
-    rules = fold.rules_to_price(listed, stay).filter(F.col("type").isin(*px.GUEST_TYPES))
-    added = fold.with_base(rules, base).selectExpr(
-        "cnct_id", *fold.RULE_ORDER, f"{fold.GUEST_ADDS_ROOM} as room", f"{fold.GUEST_ADDS_BOARD} as board",
-        "room_flag", "board_flag", "sbp_1 * rest_nights as sbp", "sbbp_1 * rest_nights as sbbp",
-        "pbp_1 * rest_nights as pbp", "pbbp_1 * rest_nights as pbbp",
-    )
-    run = running_sums(added, ["cnct_id"], list(SLICE), list(INSIDE), ["room", "board"])
-    return run.selectExpr(
-        "cnct_id", "order", "sad_code", "rule_id", "type", "application_type",
-        "sbp + if(room_flag = 'Y', 0, running_room) as service_base_price",
-        "sbbp + if(board_flag = 'Y', 0, running_board) as service_base_board_price",
-        "pbp + if(room_flag = 'Y', running_room, 0) as pax_base_price",
-        "pbbp + if(board_flag = 'Y', running_board, 0) as pax_base_board_price",
-    )
+def _after(first: Column, second: Column) -> Column:
+    return F.struct(fold.then(first["step"], second["step"]).alias("step"), (first["sbb"] + second["sbb"]).alias("sbb"), (
+        first["pbb"] + second["pbb"]).alias("pbb"))
 
 
-def with_neighbours(df: DataFrame, group: list[str], slice_by: list[str], inside: list[str], values: list[str]) -> DataFrame:
-    """``prev`` and ``next`` structs of ``values`` in the order (slice_by, inside) per group."""
-    def nulls_last(name: str) -> list[Column]:
-        return [F.col(name).isNull().alias(f"{name}_is_null"), F.col(name)]
+def running_price(listed: DataFrame, stay) -> DataFrame:
+    """Four prices of an offer after each row of its list: after every base row, which add up the board prices, then after every
+    rule with a night to act on, in rule order. The last row of an offer has the prices of ``fold.fold_prices``.
 
-    value = F.struct(*[F.col(v) for v in values])
-    rank = F.struct(*[c for name in inside for c in nulls_last(name)])
-    ends = df.groupBy(*group, *slice_by).agg(
-        F.min_by(value, rank).alias("first"), F.max_by(value, rank).alias("last")
-    )
-    across = Window.partitionBy(*group).orderBy(*[_last(c) for c in slice_by])
-    edges = ends.select(
-        *[F.col(c).alias(f"{c}_") for c in [*group, *slice_by]],
-        F.lag("last").over(across).alias("before"), F.lead("first").over(across).alias("after"),
-    )
-    within = Window.partitionBy(*group, *slice_by).orderBy(*[_last(c) for c in inside])
-    joined = df.join(edges, _same(df, edges, [*group, *slice_by]))
-    return joined.select(
-        *df.columns,
-        F.coalesce(F.lag(value).over(within), F.col("before")).alias("prev"),
-        F.coalesce(F.lead(value).over(within), F.col("after")).alias("next"),
+    A rule is an affine step (see ``fold``), so the price after it is a prefix of composed steps: a prefix scan.
+    """
+    base = fold.base_prices(listed)
+    order = [F.col("cnct_id"), F.col("sad_name"), *_last(fold.RULE_ORDER), F.col("state.sbb"), F.col("state.pbb")]
+    scanned = prefix_scan(stored(placed(_rows(listed, stay, base), order)), ["cnct_id"], "state", _after)
+    return scanned.join(base, "cnct_id").selectExpr(
+        "*", "state.step as step", "if(room_flag = 'Y', pbp_1, sbp_1) * rest_nights as room_0", "if(board_flag = 'Y', pbbp_1, sbbp_1) * rest_nights as board_0",
+    ).selectExpr(
+        "*", "step.keep * room_0 + step.from_b * board_0 + step.add_r as room", "board_0 + step.add_b as board",
+    ).selectExpr(
+        "cnct_id", "sad_name", "order", "sad_code", "rule_id", "type", "application_type", "_at",
+        "if(room_flag = 'Y', 0D, room) as service_base_price",
+        "if(sad_name = 'cnsr', state.sbb * rest_nights, if(board_flag = 'Y', sbbp_1 * rest_nights, board)) as service_base_board_price",
+        "if(room_flag = 'Y', room, 0D) as pax_base_price",
+        "if(sad_name = 'cnsr', state.pbb * rest_nights, if(board_flag = 'Y', board, pbbp_1 * rest_nights)) as pax_base_board_price",
     )
 
 
@@ -96,12 +70,10 @@ def superseded_rules(discounts: DataFrame) -> DataFrame:
 
     ``discounts`` are matched rules; the neighbours are those of the same guest.
     """
-    rows = discounts.withColumn("pax_id", F.explode("pax_ids"))
-    inside = ["rule_id", "type", "application_type", "application_initial_date", "sad_amount", "sad_percentage"]
-    near = with_neighbours(
-        rows.select("cnct_id", "pax_id", "order", "sad_code", *inside),
-        ["cnct_id", "pax_id"], list(SLICE), inside, ["type", "application_type", "application_initial_date"],
-    )
+    key = ["cnct_id", "pax_id"]
+    terms = ["order", "sad_code", "rule_id", "type", "application_type", "application_initial_date", "sad_amount", "sad_percentage"]
+    rows = discounts.withColumn("pax_id", F.explode("pax_ids")).select(*key, *terms)
+    near = neighbours(stored(placed(rows, [*map(F.col, key), *_last(terms)])), key, F.struct("type", "application_type", "application_initial_date"))
 
     def supersedes(other: str) -> Column:
         o = F.col(other)

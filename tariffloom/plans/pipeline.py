@@ -120,12 +120,12 @@ def cached_price_fold(t) -> DataFrame:
 
 @query
 def running_price(t) -> DataFrame:
-    """Prices of an offer after each guest-type rule."""
-    run = running.running_price(_list(t), FAMILY)
-    cols = ("service_base_price", "service_base_board_price", "pax_base_price", "pax_base_board_price")
+    """Prices of an offer after each row of its list: base rows, then every priced rule in order."""
+    run = running.running_price(rule_list.searched_list(t, FAMILY), FAMILY)
     return run.select(
-        "cnct_id", F.coalesce("order", F.lit(-1)).alias("order"), "sad_code", "rule_id", "type", "application_type",
-        *[money(F.col(c)).alias(c) for c in cols],
+        "cnct_id", "sad_name", F.coalesce("order", F.lit(-1)).alias("order"), F.coalesce("sad_code", F.lit("")).alias("sad_code"),
+        F.coalesce("rule_id", F.lit(-1)).alias("rule_id"), F.coalesce("type", F.lit("")).alias("type"),
+        F.coalesce("application_type", F.lit("")).alias("application_type"), *[money(F.col(c)).alias(c) for c in running.PRICES],
     )
 
 

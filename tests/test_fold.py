@@ -181,38 +181,62 @@ def test_guest_rules_do_not_depend_on_order(spark):
     assert got["a"].total_price == pytest.approx(got["b"].total_price)
 
 
-def test_running_price_ends_where_the_fold_ends(spark):
-    offers = [offer("a", "N", "Y"), offer("b", "Y", "N")]
-    rules = [rule(o["cnct_id"], "I", "N", amount=float(i), order=i % 3, code=f"D{i % 2}", rule_id=i)
-             for o in offers for i in range(1, 9)]
+def states_by_hand(o, rules):
+    """The four prices after the base row and after each rule, by folding every beginning of the list."""
+    priced = sorted([r for r in rules if days_of(r)], key=lambda r: (r["order"] is None, r["order"] or 0, r["code"], r["rule_id"]))
+    return [by_hand(o, priced[:k]) for k in range(len(priced) + 1)]
+
+
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_running_price_is_every_beginning_of_the_fold(spark, coalesce):
+    """General and guest rules; one offer holds most of them, so that it spans pieces where Spark doesn't put them together."""
+    rnd = random.Random(8)
+    offers = [offer("a", "N", "Y"), offer("b", "Y", "N"), offer("hot", "Y", "Y"), offer("bare", "N", None)]
+    rules = [rule(rnd.choice(["a", "b", "hot", "hot", "hot"]), rnd.choice(GUEST + GENERAL), rnd.choice("BNTURAM"), order=rnd.choice([None, 1, 2, 3]),
+                  code=f"D{i % 3}", rule_id=i, times=rnd.randint(1, 2), mask=rnd.choice(list(MASKS)),
+                  **({"amount": round(rnd.uniform(-5, 5), 2)} if i % 2 else {"pct": rnd.choice([-5.0, 10.0])})) for i in range(150)]
     listed = as_list(spark, offers, rules)
-    run = running.running_price(listed, STAY)
-    total = F.expr("service_base_price + service_base_board_price + pax_base_price + pax_base_board_price")
-    last = {
-        r.cnct_id: r.last for r in
-        run.groupBy("cnct_id").agg(F.max_by(total, F.struct("order", "sad_code", "rule_id")).alias("last")).collect()
-    }
-    for r in fold.fold_prices(listed, STAY).collect():
-        assert last[r.cnct_id] == pytest.approx(r.total_price)
-    assert run.count() == len(rules)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    try:
+        rows = running.running_price(listed, STAY).orderBy("_at").collect()
+        ends = {r.cnct_id: r for r in fold.fold_prices(listed, STAY).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    for o in offers:
+        mine = [(r.service_base_price, r.service_base_board_price, r.pax_base_price, r.pax_base_board_price) for r in rows if r.cnct_id == o["cnct_id"]]
+        want = states_by_hand(o, [r for r in rules if r["cnct_id"] == o["cnct_id"]])
+        assert len(mine) == len(want)
+        for have, should in zip(mine, want):
+            assert have == pytest.approx(should, abs=1e-9)
+        end = ends[o["cnct_id"]]
+        assert mine[-1] == pytest.approx((end.sbprice, end.sbbprice, end.pbprice, end.pbbprice), abs=1e-9)
+
 
+def test_base_rows_add_up_board_prices(spark):
+    listed = as_list(spark, [offer("a", "N", "Y"), offer("a", "N", "Y", board=5.0)], [])
+    got = [r.pax_base_board_price for r in running.running_price(listed, STAY).orderBy("_at").collect()]
+    assert got == pytest.approx([5.0 * 4, 17.0 * 4])
 
-def test_running_sums_and_neighbours(spark):
+
+def test_superseded_rules_of_one_hot_offer(spark):
+    """Neighbours are the next rows of the same guest, also over the cuts between pieces."""
     rnd = random.Random(11)
-    rows = [(g, rnd.choice([None, 1, 2, 3]), f"c{rnd.randint(0, 2)}", i, float(rnd.randint(-5, 5)))
-            for i, g in enumerate(rnd.choices(["hot", "hot", "hot", "cold"], k=200))]
-    df = spark.createDataFrame(rows, "g string, `order` int, code string, id bigint, v double")
-    key = lambda r: (r[1] is None, r[1] or 0, r[2], r[3])
-    sums, near = {}, {}
-    for g in ("hot", "cold"):
-        acc, mine = 0.0, sorted([r for r in rows if r[0] == g], key=key)
-        for i, r in enumerate(mine):
-            acc += r[4]
-            sums[r[3]] = acc
-            near[r[3]] = (mine[i - 1][3] if i else None, mine[i + 1][3] if i + 1 < len(mine) else None)
-    got = running.running_sums(df, ["g"], ["order", "code"], ["id"], ["v"]).collect()
-    assert {r.id: r.running_v for r in got} == pytest.approx(sums)
-    got = running.with_neighbours(df, ["g"], ["order", "code"], ["id"], ["id"]).collect()
-    assert {r.id: (r.prev and r.prev.id, r.next and r.next.id) for r in got} == {
-        k: (a, b) for k, (a, b) in near.items()
-    }
+    day = dt.date(2018, 1, 1)
+    rows = [(rnd.choice(["hot", "hot", "hot", "cold"]), [1, 2][: 1 + i % 2], None, "D1", i, rnd.choice("NK"), "B", day + dt.timedelta(days=rnd.randint(0, 5)), 1.0, None)
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "cnct_id string, pax_ids array<int>, `order` int, sad_code string, rule_id long, type string, application_type string, "
+                               "application_initial_date date, sad_amount double, sad_percentage double").repartition(5)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {(r.cnct_id, r.pax_id, r.rule_id): r.sad_status for r in running.superseded_rules(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    for oid in ("hot", "cold"):
+        for pax in (1, 2):
+            mine = [r for r in rows if r[0] == oid and pax in r[1]]
+            for i, r in enumerate(mine):
+                near = ([mine[i - 1]] if i else []) + mine[i + 1:i + 2]
+                assert got.pop((oid, pax, r[4])) == int(not any(n[5] == r[5] and n[7] > r[7] for n in near))
+    assert not got
