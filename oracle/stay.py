@@ -209,14 +209,14 @@ def cached_views(suffix: str, ages: tuple[int, ...]) -> dict[str, tuple[tuple[st
     return {
         f"cached{suffix}": (("cache",), f"""
 SELECT {offer}, cnsr_amount, cnsr_percentage, cnsr_is_per_pax, age_from, age_to,
-       CAST(sum(date_diff('day', greatest(lo, {IN}), least(hi, {OUT}))) AS BIGINT) AS sum_nights,
-       CAST(sum(date_diff('day', greatest(lo, {IN}), least(hi, {OUT})) * {CENTS}) AS BIGINT) AS stay_cents
+       count(*) AS sum_nights, CAST(sum({CENTS}) AS BIGINT) AS stay_cents
 FROM (SELECT *, {_party('adult', ages)} + {_party('child', ages)} AS paxes, {_party('adult', ages)} AS adults,
              {_party('child', ages)} AS childes FROM cache) c
-WHERE lo < {OUT} AND hi > {IN} AND min_nights <= {NIGHTS} AND paxes > 0 AND paxes >= min_pax AND paxes <= max_pax
+JOIN (SELECT CAST(range AS DATE) AS night FROM range({IN}, {OUT}, INTERVAL 1 DAY)) n ON n.night >= lo AND n.night < hi
+WHERE min_nights <= {NIGHTS} AND paxes > 0 AND paxes >= min_pax AND paxes <= max_pax
   AND adults >= min_adult AND adults <= max_adult AND childes <= max_children
 GROUP BY {offer}, cnsr_amount, cnsr_percentage, cnsr_is_per_pax, age_from, age_to
-HAVING sum(date_diff('day', greatest(lo, {IN}), least(hi, {OUT}))) >= {NIGHTS}"""),
+HAVING count(DISTINCT night) = {NIGHTS}"""),
         f"terms{suffix}": ((f"cached{suffix}",), f"""
 SELECT *, CASE WHEN is_price_per_pax = 'Y' THEN nightly * paxes ELSE nightly END AS room
 FROM (SELECT *, stay_cents / 100.0::DOUBLE / sum_nights AS nightly FROM cached{suffix}) n

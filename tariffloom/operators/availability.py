@@ -83,10 +83,10 @@ def covered_rooms(prices: DataFrame, stay: Stay, key: tuple[str, ...] = ROOM_KEY
 NIGHTS_A_WORD = 62
 
 
-def night_words(stay: Stay) -> list[tuple[Column, int]]:
+def night_words(stay: Stay, lo: str = "initial_date", hi: str = "final_date") -> list[tuple[Column, int]]:
     """The nights of the stay that a price row covers, as bits: one number for each 62 nights, with its full value."""
-    first = F.greatest(F.datediff(F.col("initial_date"), stay.lo), F.lit(0))
-    last = F.least(F.datediff(F.col("final_date"), stay.lo), F.lit(stay.nights))
+    first = F.greatest(F.datediff(F.col(lo), stay.lo), F.lit(0))
+    last = F.least(F.datediff(F.col(hi), stay.lo), F.lit(stay.nights))
     out = []
     for base in range(0, stay.nights, NIGHTS_A_WORD):
         size = min(stay.nights - base, NIGHTS_A_WORD)
@@ -103,15 +103,15 @@ def sold_rooms(prices: DataFrame, stay: Stay, key: tuple[str, ...] = ROOM_KEY) -
     Covered nights are the union of bits, so the rows are neither expanded nor made distinct: one aggregation,
     combined before its shuffle.
     """
-    words = night_words(stay)
-    sums = (
-        touching(prices, stay)
-        .groupBy(*key)
-        .agg(
-            F.sum("nights").cast("bigint").alias("sum_nights"),
-            F.sum(F.col("nights") * F.col("amount").cast(MONEY)).alias("stay_amount"),
-            *[F.bit_or(bits).alias(f"covered_{k}") for k, (bits, _) in enumerate(words)],
-        )
+    return fully_covered(touching(prices, stay), key, night_words(stay))
+
+
+def fully_covered(rows: DataFrame, key: tuple[str, ...] | list[str], words: list[tuple[Column, int]]) -> DataFrame:
+    """Groups of ``rows`` (nights, amount) that cover every night, with their summed nights and amounts."""
+    sums = rows.groupBy(*key).agg(
+        F.sum("nights").cast("bigint").alias("sum_nights"),
+        F.sum(F.col("nights") * F.col("amount").cast(MONEY)).alias("stay_amount"),
+        *[F.bit_or(bits).alias(f"covered_{k}") for k, (bits, _) in enumerate(words)],
     )
     for k, (_, full) in enumerate(words):
         sums = sums.filter(F.col(f"covered_{k}") == F.lit(full).cast("long")).drop(f"covered_{k}")

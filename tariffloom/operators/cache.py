@@ -9,10 +9,10 @@ from tariffloom.functions import intervals as iv
 from tariffloom.functions import predicates as pr
 from tariffloom.functions import pricing as px
 from tariffloom.functions.keys import md5_key
-from tariffloom.operators.availability import ROOM, ROOM_KEY, by_night, fits, sold_contracts, sold_rooms, with_party
+from tariffloom.operators import interval_join as bins
+from tariffloom.operators.availability import ROOM, ROOM_KEY, by_night, fits, fully_covered, night_words, sold_contracts, sold_rooms, with_party
 from tariffloom.operators.matching import match_rules
 from tariffloom.params import Stay
-from tariffloom.schemas import MONEY
 
 CAPACITY = [
     "standard_capacity", "min_pax", "max_pax", "max_adult", "max_children", "max_infant", "min_adult", "min_children",
@@ -30,45 +30,89 @@ def rooms_of_supplier(tables, supplier_id: int) -> DataFrame:
     )
 
 
-def board_choices(rooms: DataFrame, cnsr: DataFrame) -> DataFrame:
-    """Every room once with its base board (no rule), and once per board rule it may take.
+# slots that are no bin of the calendar: a room's own board, which has neither rate nor dates, and rules that are few enough
+OWN_BOARD, PLAIN = -(1 << 60), -(1 << 59)
+CROWDED, BUCKETS = 512, 4096
+
+
+def crowded_buckets(cnsr: DataFrame, most: int = CROWDED) -> list[int]:
+    """Hash buckets of the (contract, rate) pairs with more than ``most`` board rules: at most ``BUCKETS`` numbers at any size. Both sides of
+    the join look their bucket up, so that they agree, and a pair that shares a crowded one's bucket is binned as well."""
+    counts = cnsr.groupBy("file_id", F.col("rate").cast("string").alias("rate")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most)
+    return [r.bucket for r in counts.select(_bucket("file_id", "rate").alias("bucket")).distinct().collect()]
+
+
+def _bucket(file_id: str, rate: str) -> Column:
+    return F.pmod(F.xxhash64(file_id, rate), F.lit(BUCKETS)).cast("int")
+
+
+def _in_bins(rate: str, crowded: list[int]) -> Column:
+    return _bucket("file_id", rate).isin(crowded) if crowded else F.lit(False)
+
+
+def board_choices(rooms: DataFrame, cnsr: DataFrame, crowded: list[int]) -> DataFrame:
+    """Every room once with its base board (no rule), and once per board rule it may take and slot of the rule.
 
     Wildcards are resolved here, on the room dimension, so the price facts are joined once and on exact keys. A rule
-    without a rate matches no price row of the cache and is left out.
+    without a rate matches no price row of the cache and is left out, as is one of no day.
     """
-    supplements = cnsr.filter(F.col("board_code").isNotNull() & F.col("rate").isNotNull()).select(
+    lo, hi = F.col("initial_date"), F.col("final_date")
+    supplements = cnsr.filter(F.col("board_code").isNotNull() & F.col("rate").isNotNull() & (lo < hi)).select(
         *ROOM, "rule_id", F.col("board_code").alias("rule_board"),
         F.coalesce(F.col("amount").cast("double"), F.lit(0.0)).alias("cnsr_amount"),
         F.coalesce(F.col("percentage").cast("double"), F.lit(0.0)).alias("cnsr_percentage"),
         F.col("is_per_pax").alias("cnsr_is_per_pax"), F.col("rate").cast("string").alias("rule_rate"),
-        F.col("initial_date").alias("rule_lo"), F.col("final_date").alias("rule_hi"),
+        lo.alias("rule_lo"), hi.alias("rule_hi"),
         iv.closed_int_range(F.col("min_age"), F.col("max_age")).alias("cnsr_pax_ages"),
     )
     base = rooms.withColumns({
         "cnsr_amount": F.lit(0.0), "cnsr_percentage": F.lit(0.0), "cnsr_is_per_pax": F.lit(""),
-        "cnsr_pax_ages": iv.empty_int_range(),
+        "cnsr_pax_ages": iv.empty_int_range(), "rule_rate": F.lit(""), "slot": F.lit(OWN_BOARD),
     })
-    return base.unionByName(match_rules(rooms, supplements).drop("rule_id"), allowMissingColumns=True)
+    plain = F.array(F.lit(PLAIN))
+    slots = F.when(_in_bins("rule_rate", crowded), bins.right_slots(F.col("rule_lo"), F.col("rule_hi"))).otherwise(plain) if crowded else plain
+    taken = match_rules(rooms, supplements).drop("rule_id").withColumn("slot", F.explode(slots))
+    return base.unionByName(taken, allowMissingColumns=True)
 
 
-def build_cache(tables, supplier_id: int = 5) -> DataFrame:
+def boarded_prices(prices: DataFrame, choices: DataFrame, crowded: list[int]) -> DataFrame:
+    """Price rows next to the boards they can be served with, before the dates of a pair are compared.
+
+    The rate is in the key, and where a contract has very many rules of a rate, bins of dates are too: a room with many dated
+    prices and many rules doesn't build their product.
+    """
+    own = F.array(F.lit(OWN_BOARD))
+    dated = F.array(F.lit(PLAIN))
+    if crowded:
+        dated = F.when(_in_bins("price_rate", crowded), bins.left_slots(F.col("initial_date"), F.col("final_date"))).otherwise(dated)
+    slots = F.when(F.col("price_rate").isNull(), own).otherwise(F.concat(own, dated))
+    binned = prices.withColumn("price_rate", pr.rule_rate(F.col("generic_rate"), F.col("specific_rate"))).withColumn("slot", F.explode(slots))
+    keyed = binned.withColumn("rule_rate", F.when(F.col("slot") == OWN_BOARD, F.lit("")).otherwise(F.col("price_rate")))
+    return keyed.drop("price_rate").join(choices, [*ROOM, "rule_rate", "slot"])
+
+
+def takes_board() -> Column:
+    """The own board, or a rule that shares a night with the price row: each pair passes in one slot only."""
+    a, b, c, d = map(F.col, ("initial_date", "final_date", "rule_lo", "rule_hi"))
+    plain = (F.col("slot") == PLAIN) & iv.intersects(a, b, c, d)
+    return (F.col("slot") == OWN_BOARD) | plain | ((F.col("slot") > PLAIN) & bins.overlapping(F.col("slot"), a, b, c, d))
+
+
+def build_cache(tables, supplier_id: int = 5, crowded_over: int = CROWDED) -> DataFrame:
     """Base boards and supplementary boards in one pass over the price facts.
 
-    The union is on the side of the rooms, so the facts are shuffled once; rate and dates are tested in the join.
+    The union is on the side of the rooms, so the facts are read once; dates of crowded contracts meet in bins (``interval_join``).
     """
-    choices = board_choices(rooms_of_supplier(tables, supplier_id), tables.table("cnsr"))
+    crowded = crowded_buckets(tables.table("cnsr"), crowded_over)
+    choices = board_choices(rooms_of_supplier(tables, supplier_id), tables.table("cnsr"), crowded)
     prices = tables.table("cnct").select(
         *ROOM, "id", "initial_date", "final_date", "generic_rate", "specific_rate", "base_board", "amount",
         "is_price_per_pax",
     )
-    is_base = F.col("rule_board").isNull()
-    takes_rule = (
-        F.col("rule_rate") == pr.rule_rate(F.col("generic_rate"), F.col("specific_rate"))
-    ) & iv.intersects(F.col("initial_date"), F.col("final_date"), F.col("rule_lo"), F.col("rule_hi"))
     board = F.coalesce(F.col("rule_board"), F.col("base_board"))
     return (
-        prices.join(choices, ROOM)
-        .filter(is_base | takes_rule)
+        boarded_prices(prices, choices, crowded)
+        .filter(takes_board())
         .select(
             "file_id",
             md5_key(F.col("contract_name"), F.col("contract_number").cast("string"), F.col("room_type"),
@@ -138,9 +182,10 @@ def occupancy() -> Column:
 
 
 def cached_offers(cache: DataFrame, stay: Stay) -> DataFrame:
-    """Offers of the cache that cover the stay, one row per offer and board term.
+    """Offers of the cache with a price for every night of the stay, one row per offer and board term.
 
-    Nights times amount are summed, so a stay that spans two prices is kept.
+    Nights times amount are summed, so a stay that spans two prices is kept; coverage is by distinct nights, so a night with two
+    prices doesn't stand in for one without.
     """
     lo, hi = F.col("lo"), F.col("hi")
     found = (
@@ -151,12 +196,8 @@ def cached_offers(cache: DataFrame, stay: Stay) -> DataFrame:
     )
     if stay.city_prefix:
         found = found.filter(F.col("city_code").startswith(stay.city_prefix))
-    nights = iv.common_nights(lo, hi, stay.lo, stay.hi)
-    return (
-        found.groupBy(*CACHE_OFFER, *BOARD_TERM, "paxes")
-        .agg(F.sum(nights).cast("bigint").alias("sum_nights"), F.sum(nights * F.col("amount").cast(MONEY)).alias("stay_amount"))
-        .filter(F.col("sum_nights") >= stay.nights)
-    )
+    found = found.withColumn("nights", iv.common_nights(lo, hi, stay.lo, stay.hi))
+    return fully_covered(found, [*CACHE_OFFER, *BOARD_TERM, "paxes"], night_words(stay, "lo", "hi"))
 
 
 def cached_rooms(cache: DataFrame, stay: Stay) -> DataFrame:
