@@ -41,6 +41,11 @@ SELECT file_id, hotel_id, id, {_text('initial_date')}, {_text('final_date')}, ro
        coalesce(generic_rate, '') AS generic_rate, is_price_per_pax, coalesce(specific_rate, '') AS specific_rate,
        base_board, amount FROM cnct""", "cnct"),
     "scan_api_answers": _sql("SELECT * FROM api", "api"),
+    "rejected_answers": _sql("""
+SELECT CASE WHEN cut THEN substr(line, 1, len(line) // 2) ELSE line END AS line FROM (
+SELECT *, k || ',' || n_name || '_' || (suppkey % 4) || ',' || k || ',,,' || k || ',' || s_name || ',,19980820,19980826,2,' || children || ',' || p_type
+       || ',' || flag || ',' || board || repeat(',', 16) || CASE WHEN no_number THEN 'on request' ELSE (total // 100) || '.' || lpad(CAST(total % 100 AS VARCHAR), 2, '0') END
+       || ',,1' || repeat(',', 5) AS line FROM export) WHERE cut OR no_number""", "export"),
     "key_violations": _sql("""
 SELECT 'ccon' AS table_name, file_id AS key, count(*) AS n FROM ccon GROUP BY file_id HAVING count(*) > 1 OR file_id IS NULL
 UNION ALL
@@ -495,15 +500,15 @@ NEAREST = (
 
 CHECKS = {
     "api_dedup": _sql("""
-SELECT DISTINCT req_id, check_in, check_out, contract_number, contract_name, room_type, characteristic, board, currency, amount
-FROM api""", "api"),
+SELECT DISTINCT req_id, check_in, check_out, contract_number, contract_name, room_type, characteristic, board, amount
+FROM api WHERE children = ''""", "api"),
     "duplicate_offers": _sql("""
 SELECT file_id, hotel_id, room_type, characteristic, is_price_per_pax, coalesce(specific_rate, '') AS specific_rate, base_board,
        amount, count(*) AS n
 FROM cnct GROUP BY file_id, hotel_id, room_type, characteristic, is_price_per_pax, specific_rate, base_board, amount
 HAVING count(*) > 1""", "cnct"),
     "reconcile_prices": _sql(f"""
-WITH a AS (SELECT DISTINCT contract_number, contract_name, room_type, characteristic, board, amount AS api_amount FROM api),
+WITH a AS (SELECT DISTINCT contract_number, contract_name, room_type, characteristic, board, amount AS api_amount FROM api WHERE children = ''),
 p AS (SELECT row_number() OVER () AS n, CAST(contract_number AS VARCHAR) AS contract_number, contract_name, room_type,
              characteristic, board, price FROM prices),
 met AS (SELECT *, row_number() OVER (PARTITION BY n ORDER BY {NEAREST}) AS place
@@ -512,7 +517,7 @@ SELECT contract_number, contract_name, room_type, characteristic, board, {money(
        round_even(api_amount, 0) - round_even(price, 0) AS difference
 FROM met WHERE place = 1 AND round_even(api_amount, 0) <> round_even(price, 0)""", "api", "prices"),
     "price_check": _sql(f"""
-WITH a AS (SELECT DISTINCT contract_number, contract_name, room_type, characteristic, board, amount AS api_amount FROM api),
+WITH a AS (SELECT DISTINCT contract_number, contract_name, room_type, characteristic, board, amount AS api_amount FROM api WHERE children = ''),
 p AS (SELECT row_number() OVER () AS n, CAST(contract_number AS VARCHAR) AS contract_number, contract_name, room_type,
              characteristic, board, room_price, board_price, price FROM prices),
 met AS (SELECT *, row_number() OVER (PARTITION BY n ORDER BY {NEAREST}) AS place
@@ -523,8 +528,59 @@ FROM met WHERE place = 1""", "api", "prices"),
     "missing_from_api": _sql("""
 SELECT file_id, CAST(contract_number AS VARCHAR) AS contract_number, contract_name, room_type, characteristic, board
 FROM prices p WHERE NOT EXISTS (
-  SELECT 1 FROM api a WHERE a.contract_number = CAST(p.contract_number AS VARCHAR) AND a.contract_name = p.contract_name
+  SELECT 1 FROM api a WHERE a.children = '' AND a.contract_number = CAST(p.contract_number AS VARCHAR) AND a.contract_name = p.contract_name
    AND a.room_type = p.room_type AND a.characteristic = p.characteristic AND a.board = p.board)""", "api", "prices"),
+    # the joins build the product of the four families; what is distinct in it is counted
+    "reconcile_chain": _sql(f"""
+WITH stay_match AS (
+  SELECT o.cnct_id, r.minimum_days, r.maximum_days
+  FROM offers o JOIN cnem r ON {same_room('r', 'o')} AND {wild('r.board', 'o.base_board')}
+   AND r.initial_date <= {IN} AND r.final_date >= {OUT} AND (r.application_date IS NULL OR r.application_date < {NOW})),
+free_rows AS (SELECT *, row_number() OVER () AS free_id FROM free_match),
+board_rows AS (SELECT *, row_number() OVER () AS board_id FROM board_match),
+product AS (
+  SELECT o.*, b.board_id, b.board_code, b.cnsr_is_per_pax, b.cnsr_amount, b.cnsr_percentage, d.uid, d.type, d.application_type, d.amount AS sad_amount,
+         d.percentage AS sad_percentage, f.free_id, s.minimum_days, s.maximum_days
+  FROM offers o LEFT JOIN board_rows b ON b.cnct_id = o.cnct_id LEFT JOIN discount_match d ON d.cnct_id = o.cnct_id
+  LEFT JOIN free_rows f ON f.cnct_id = o.cnct_id LEFT JOIN stay_match s ON s.cnct_id = o.cnct_id
+  WHERE (s.minimum_days IS NULL OR s.minimum_days <= {NIGHTS}) AND (s.maximum_days IS NULL OR s.maximum_days >= {NIGHTS})),
+served AS (
+  SELECT *, base_board AS board, NULL AS flag, NULL AS term_id FROM product
+  UNION ALL SELECT *, board_code, cnsr_is_per_pax, board_id FROM product WHERE board_id IS NOT NULL),
+heads AS (
+  SELECT cnct_id, CAST(contract_number AS VARCHAR) AS contract_number, contract_name, room_type, characteristic, board, flag, minimum_days, maximum_days,
+         CAST(count(DISTINCT uid) AS INTEGER) AS n_discounts, CAST(count(DISTINCT free_id) AS INTEGER) AS n_frees,
+         CAST(count(DISTINCT term_id) AS INTEGER) AS n_terms,
+         max(CASE WHEN is_price_per_pax = 'Y' THEN room_amount * paxes ELSE room_amount END) AS room_price
+  FROM served GROUP BY ALL),
+discounts AS (
+  SELECT cnct_id, '[' || string_agg(CAST(to_json({{'type': type, 'application_type': application_type, 'amount': sad_amount, 'percentage': sad_percentage}}) AS VARCHAR),
+         ',' ORDER BY type, application_type, sad_amount NULLS FIRST, sad_percentage NULLS FIRST) || ']' AS cnsu_sad
+  FROM (SELECT DISTINCT cnct_id, type, application_type, sad_amount, sad_percentage FROM product WHERE uid IS NOT NULL) GROUP BY cnct_id),
+boards AS (
+  SELECT cnct_id, board, flag, '[' || string_agg(CAST(to_json({{'amount': cnsr_amount, 'pct': cnsr_percentage}}) AS VARCHAR), ','
+           ORDER BY cnsr_amount NULLS FIRST, cnsr_percentage NULLS FIRST) || ']' AS cnsr_sad,
+         sum(CASE WHEN coalesce(cnsr_amount, 0) <> 0 AND flag = 'N' THEN cnsr_amount
+                  WHEN coalesce(cnsr_amount, 0) <> 0 THEN cnsr_amount * paxes
+                  WHEN coalesce(cnsr_percentage, 0) = 0 THEN 0
+                  WHEN is_price_per_pax = 'Y' THEN room * cnsr_percentage / 100 * standard_capacity
+                  WHEN flag = 'N' THEN room * cnsr_percentage / 100
+                  ELSE room * cnsr_percentage / 100 / standard_capacity * paxes END) AS board_price
+  FROM (SELECT DISTINCT cnct_id, board, flag, term_id, cnsr_amount, cnsr_percentage, is_price_per_pax, standard_capacity, paxes,
+               CASE WHEN is_price_per_pax = 'Y' THEN room_amount * paxes ELSE room_amount END AS room FROM served WHERE term_id IS NOT NULL)
+  GROUP BY cnct_id, board, flag),
+p AS (
+  SELECT h.*, row_number() OVER () AS n, coalesce(b.board_price, 0.0::DOUBLE) AS board_price, b.cnsr_sad, d.cnsu_sad,
+         (room_price + coalesce(b.board_price, 0.0::DOUBLE)) * {NIGHTS} AS price
+  FROM heads h LEFT JOIN boards b ON b.cnct_id = h.cnct_id AND b.board = h.board AND b.flag = h.flag LEFT JOIN discounts d ON d.cnct_id = h.cnct_id),
+a AS (SELECT DISTINCT contract_number, contract_name, room_type, characteristic, board, amount AS api_amount FROM api WHERE children = '5 1'),
+met AS (SELECT *, row_number() OVER (PARTITION BY n ORDER BY {NEAREST}) AS place
+        FROM p JOIN a USING (contract_number, contract_name, room_type, characteristic, board))
+SELECT cnct_id, contract_number, contract_name, room_type, characteristic, board, coalesce(flag, '') AS cnsr_is_per_pax, coalesce(cnsr_sad, '') AS cnsr_sad,
+       coalesce(cnsu_sad, '') AS cnsu_sad, coalesce(minimum_days, -1) AS minimum_days, coalesce(maximum_days, -1) AS maximum_days, n_terms, n_discounts,
+       n_frees, {money('room_price')} AS room_price, {money('board_price')} AS board_price, {money('price')} AS price, api_amount,
+       round_even(api_amount, 0) - round_even(price, 0) AS difference
+FROM met WHERE place = 1 AND round_even(api_amount, 0) <> round_even(price, 0)""", "offers", "board_match", "discount_match", "free_match", "cnem", "api"),
 }
 
 ORACLES = {**SCANS, **GUESTS, **RULES, **PRICES, **PIPELINE, **CHECKS}

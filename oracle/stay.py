@@ -182,13 +182,25 @@ FROM cnct t JOIN servings v ON {same_room('v', 't')} AND (v.own OR (
 JOIN ccon c ON c.file_id = t.file_id
 JOIN hotel_supplier h ON h.supplier_hotel_code = c.hotel_code AND h.supplier_id = 5
 JOIN cnha a ON a.file_id = t.file_id AND a.room_type = t.room_type AND a.characteristic = t.characteristic"""),
-    "api": (("prices",), f"""
-SELECT contract_number AS req_id, city_code AS destination_code, CAST(hotel_code AS INTEGER) AS hotel_id,
-       CAST(contract_number AS VARCHAR) AS contract_number, contract_name, '1998-08-20' AS check_in,
-       '1998-08-26' AS check_out, '2' AS adults, room_type, characteristic, board, currency_code AS currency,
-       child_from AS child_age_from, child_to AS child_age_to,
-       round(price + CASE WHEN contract_number % 5 = 0 THEN 1 ELSE 0 END + 1e-7::DOUBLE, 2) AS amount, min_pax, max_pax
-FROM prices CROSS JOIN (VALUES (1), (2)) AS copies(copy) WHERE contract_number % 7 <> 0"""),
+    # the supplier's export: the price of the first night for every night, two parties, two boards, every line twice
+    "export": (("cnct",), f"""
+SELECT k, suppkey, s_name, n_name, p_type, flag, children, board, copy, (suppkey + cents) % 17 = 0 AS no_number,
+       copy = 2 AND (suppkey + cents) % 11 = 0 AS cut, (cents * CASE WHEN flag = 'A' THEN guests ELSE 1 END + extra) * {NIGHTS} AS total
+FROM (SELECT CAST(l_suppkey AS VARCHAR) AS k, l_suppkey AS suppkey, p_type, l_returnflag AS flag,
+             CAST(min(floor(round(l_extendedprice * 100) / (l_quantity * 10))) AS BIGINT) AS cents
+      FROM lineitem JOIN part ON p_partkey = l_partkey
+      WHERE l_suppkey % 7 <> 0 AND CAST(l_shipdate AS DATE) <= {IN} AND CAST(l_shipdate AS DATE) + (30 + CAST(l_quantity AS INTEGER)) > {IN}
+      GROUP BY l_suppkey, p_type, l_returnflag) p
+JOIN supplier ON s_suppkey = suppkey JOIN nation ON n_nationkey = s_nationkey
+CROSS JOIN (VALUES ('', 2), ('5 1', 3)) AS party(children, guests)
+CROSS JOIN (VALUES (TRUE, 0), (FALSE, 500)) AS served(own, extra)
+CROSS JOIN (VALUES (1), (2)) AS copies(copy)
+CROSS JOIN LATERAL (SELECT CASE WHEN own THEN CASE WHEN flag = 'N' THEN 'BB' ELSE 'RO' END ELSE 'HB' END AS board) b"""),
+    "api": (("export",), """
+SELECT CAST(suppkey AS INTEGER) AS req_id, n_name || '_' || (suppkey % 4) AS destination_code, CAST(suppkey AS INTEGER) AS hotel_id,
+       k AS contract_number, s_name AS contract_name, '1998-08-20' AS check_in, '1998-08-26' AS check_out, '2' AS adults, children,
+       p_type AS room_type, flag AS characteristic, board, total / 100.0::DOUBLE AS amount, 1 AS min_pax
+FROM export WHERE NOT no_number AND NOT cut"""),
 }
 
 

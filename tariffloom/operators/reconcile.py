@@ -34,8 +34,11 @@ def nearest_answer(offers: DataFrame, api: DataFrame) -> DataFrame:
         (F.bround("api_amount") != F.bround("price")).alias("differs"),
         F.round(F.abs(F.col("api_amount") - F.col("price")), 4).alias("away"), F.col("api_amount").alias("amount"),
     )
-    met = ours.join(api_side(api).filter(F.col("api_amount").isNotNull()), API_KEY)
-    return met.groupBy(*[f"`{c}`" for c in ours.columns]).agg(F.min(away)["amount"].alias("api_amount"))
+    # grouped by a number of the row, not by all its columns; prices are stored, so a task that runs again numbers them alike
+    numbered = ours.withColumn("_row", F.monotonically_increasing_id())
+    met = numbered.join(api_side(api).filter(F.col("api_amount").isNotNull()), API_KEY)
+    nearest = met.groupBy("_row").agg(F.any_value(F.struct(*[f"`{c}`" for c in ours.columns])).alias("_offer"), F.min(away)["amount"].alias("api_amount"))
+    return nearest.select("_offer.*", "api_amount")
 
 
 def reconcile(offers: DataFrame, api: DataFrame) -> DataFrame:
@@ -49,9 +52,10 @@ def price_check(offers: DataFrame, api: DataFrame) -> DataFrame:
     return nearest_answer(offers, api)
 
 
-def answers_for(api: DataFrame, check_in: dt.date, check_out: dt.date) -> DataFrame:
-    """Answers about one stay."""
-    return api.filter((F.col("check_in") == F.lit(check_in)) & (F.col("check_out") == F.lit(check_out)))
+def answers_for(api: DataFrame, check_in: dt.date, check_out: dt.date, children: str = "") -> DataFrame:
+    """Answers about one stay of one party."""
+    return api.filter((F.col("check_in") == F.lit(check_in)) & (F.col("check_out") == F.lit(check_out)) & (
+        F.coalesce("children", F.lit("")) == children))
 
 
 def missing_from_api(offers: DataFrame, api: DataFrame) -> DataFrame:

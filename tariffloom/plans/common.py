@@ -9,10 +9,11 @@ from tariffloom.functions.keys import portable
 from tariffloom.operators.cache import build_cache, priced_offers
 from tariffloom.params import COUPLE, FAMILY, Stay
 from tariffloom.session import tune
+from tariffloom.sources.answers import read_answers, write_lines
 from tariffloom.sources.derived import DerivedContracts
 from tariffloom.sources.sinks import stored
 
-__all__ = ["COUPLE", "FAMILY", "api_answers", "contracts", "flat_range", "ids", "query", "searched_prices"]
+__all__ = ["COUPLE", "FAMILY", "contracts", "flat_range", "ids", "query", "searched_prices", "supplier_answers"]
 
 
 def contracts(spark: SparkSession, sf_dir: str) -> DerivedContracts:
@@ -44,28 +45,11 @@ ANY_CITY = Stay(COUPLE.check_in, COUPLE.check_out, COUPLE.ages, COUPLE.as_of)
 
 
 def searched_prices(tables) -> DataFrame:
-    """Priced offers of the couple's stay, stored once: the answers below are derived from the same prices."""
+    """Priced offers of the couple's stay, stored once."""
     return stored(priced_offers(build_cache(tables), ANY_CITY))
 
 
-def api_answers(prices: DataFrame) -> DataFrame:
-    """Supplier answers as they arrive: text columns, one contract in seven unanswered, one in five off by one,
-    every answer twice."""
-    k = F.col("contract_number")
-    amount = F.round(F.col("price") + F.when(k % 5 == 0, F.lit(1.0)).otherwise(F.lit(0.0)) + 1e-7, 2)
-    return (
-        prices.filter(k % 7 != 0)
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(2))))
-        .select(
-            k.cast("string").alias("req_id"), F.col("city_code").alias("destination_code"),
-            F.col("hotel_code").alias("hotel_id"), k.cast("string").alias("contract_number"), "contract_name",
-            F.date_format(F.lit(COUPLE.check_in), "yyyyMMdd").alias("check_in"),
-            F.date_format(F.lit(COUPLE.check_out), "yyyyMMdd").alias("check_out"),
-            F.lit("2").alias("adults"), "room_type", "characteristic", "board",
-            F.col("currency_code").alias("currency"),
-            F.col("childe_ages")["lo"].cast("string").alias("child_age_from"),
-            (F.col("childe_ages")["hi"] - 1).cast("string").alias("child_age_to"),
-            amount.cast("string").alias("amount"),
-            F.col("min_pax").cast("string").alias("min_pax"), F.col("max_pax").cast("string").alias("max_pax"),
-        )
-    )
+def supplier_answers(tables, stay: Stay = COUPLE) -> tuple[DataFrame, DataFrame]:
+    """The supplier's answers about a stay, read from a written export, and its broken lines."""
+    lines = tables.answer_lines(stay.check_in.isoformat(), stay.check_out.isoformat())
+    return read_answers(lines.sparkSession, write_lines(lines))

@@ -10,7 +10,7 @@ from tariffloom.functions import intervals as iv
 from tariffloom.functions.keys import md5_key, money, surrogate
 from tariffloom.operators import availability as av
 from tariffloom.operators.cache import occupancy
-from tariffloom.plans.common import COUPLE, FAMILY, api_answers, query, searched_prices
+from tariffloom.plans.common import COUPLE, FAMILY, query, supplier_answers
 from tariffloom.sources.stored import conform, key_violations, parse_text_dates
 
 
@@ -26,16 +26,20 @@ def scan_contracts(t) -> DataFrame:
 
 @query
 def scan_api_answers(t) -> DataFrame:
-    """Supplier answers: text in, typed columns out."""
-    raw = api_answers(searched_prices(t))
-    typed = conform(parse_text_dates(raw, schemas.API), "api")
+    """Supplier answers: text files in, typed columns out."""
+    typed, _ = supplier_answers(t)
     return typed.select(
         "req_id", "destination_code", "hotel_id", "contract_number", "contract_name", "check_in", "check_out", "adults",
-        "room_type", "characteristic", "board", "currency", "child_age_from", "child_age_to", "amount", "min_pax",
-        "max_pax",
+        F.coalesce("children", F.lit("")).alias("children"), "room_type", "characteristic", "board", "amount", "min_pax",
     )
 
 
+@query
+def rejected_answers(t) -> DataFrame:
+    """Lines of the supplier's files that are no answers, as they came."""
+    return supplier_answers(t)[1].select("line")
+
+
 @query
 def key_violation_report(t) -> DataFrame:
     """Declared keys that are missing or repeated."""
@@ -185,6 +189,7 @@ QUERIES = {
     "stay_availability": stay_availability,
     "scan_contracts": scan_contracts,
     "scan_api_answers": scan_api_answers,
+    "rejected_answers": rejected_answers,
     "key_violations": key_violation_report,
     "parse_dates": parse_dates,
     "interval_column": interval_column,

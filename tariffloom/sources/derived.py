@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tariffloom.functions.pricing import GENERAL_TYPES, GUEST_TYPES
 from tariffloom.functions.weekdays import DAY_FLAGS
+from tariffloom.sources.answers import answer_line
 
 # fixed values of the derivation
 ROOM_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
@@ -229,6 +230,32 @@ class DerivedContracts:
             "cast(c_nationkey + 7 as int) as maximum_days",
         )
 
+    # --- supplier answers -------------------------------------------------------------------------------------------
+
+    def answer_lines(self, check_in: str, check_out: str) -> DataFrame:
+        """Lines of the supplier's export about one stay of two parties, two adults and a family: the price of the first night, for
+        every night, with the own board and with half board. Nothing of it comes from this library's prices. One supplier in seven
+        doesn't answer; every answer comes twice; some of the second copies are cut, and some amounts are no numbers."""
+        nights = f"datediff(date'{check_out}', date'{check_in}')"
+        first = self.shared("lineitem").filter(
+            f"l_suppkey % 7 <> 0 and l_shipdate < date'{check_in}' + interval 1 day "
+            f"and date_add(cast(l_shipdate as date), cast(l_quantity as int) + 30) > date'{check_in}'")
+        part, s, nation = self.shared("part"), self.shared("supplier"), self.shared("nation")
+        priced = first.join(part, first.l_partkey == part.p_partkey).groupBy("l_suppkey", "p_type", "l_returnflag").agg(
+            F.min(F.expr("cast(floor(round(l_extendedprice * 100) / (l_quantity * 10)) as bigint)")).alias("cents"))
+        located = priced.join(s, priced.l_suppkey == s.s_suppkey).join(nation, s.s_nationkey == nation.n_nationkey)
+        asked = located.selectExpr("*", "inline(array(struct('' as children, 2 as guests), struct('5 1' as children, 3 as guests)))").selectExpr(
+            "*", "inline(array(struct(if(l_returnflag = 'N', 'BB', 'RO') as board, 0 as extra), struct('HB' as board, 500 as extra)))").selectExpr(
+            "*", f"(cents * if(l_returnflag = 'A', guests, 1) + extra) * {nights} as total", "explode(array(1, 2)) as copy")
+        values = {
+            "req_id": "l_suppkey", "destination_code": "concat(n_name, '_', l_suppkey % 4)", "hotel_id": "l_suppkey",
+            "contract_number": "l_suppkey", "contract_name": "s_name", "check_in": f"'{check_in.replace('-', '')}'",
+            "check_out": f"'{check_out.replace('-', '')}'", "adults": "'2'", "children": "children", "room_type": "p_type",
+            "characteristic": "l_returnflag", "board": "board", "min_pax": "1",
+            "amount": "if((l_suppkey + cents) % 17 = 0, 'on request', concat(total div 100, '.', lpad(total % 100, 2, '0')))",
+        }
+        return asked.selectExpr(f"{answer_line(values, 'copy = 2 and (l_suppkey + cents) % 11 = 0')} as value")
+
     # --- room dictionary --------------------------------------------------------------------------------------
 
     def rt_dic(self) -> DataFrame:
