@@ -26,6 +26,7 @@ def _overlaps(a: str, b: str, c: str, d: str) -> str:
 
 
 ROOM_MD5 = "md5(file_id || room_type || characteristic || base_board)"
+ROOM_KEY_MD5 = "md5(file_id || '.' || room_type || '.' || characteristic || '.' || base_board)"
 ID = "CAST('0x' || substr(md5(file_id || '.' || room_type || '.' || characteristic || '.' || base_board), 1, 15) AS BIGINT)"
 
 SCANS = {
@@ -238,11 +239,11 @@ SELECT cnct_id, sum_nights, standard_capacity, max_pax FROM r JOIN h USING (cnct
 SELECT file_id, room_type, characteristic, sum_nights, standard_capacity, min_pax, max_pax, max_adult, max_children
 FROM rooms JOIN cnha USING (file_id, room_type, characteristic)""", "rooms", "cnha"),
     "first_value_window": _sql(f"""
-WITH r AS (SELECT {ID} AS id, file_id, least(room_type, base_board) || ',' || greatest(room_type, base_board) AS combination FROM rooms)
+WITH r AS (SELECT {ROOM_KEY_MD5} AS id, file_id, least(room_type, base_board) || ',' || greatest(room_type, base_board) AS combination FROM rooms)
 SELECT DISTINCT file_id, combination, first_value(id) OVER (PARTITION BY file_id, combination ORDER BY id) AS representative
 FROM r""", "rooms"),
     "array_member_join": _sql(f"""
-WITH r AS (SELECT {ID} AS id, file_id, room_type, characteristic, base_board,
+WITH r AS (SELECT {ROOM_KEY_MD5} AS id, file_id, room_type, characteristic, base_board,
                   least(room_type, base_board) || ',' || greatest(room_type, base_board) AS combination FROM rooms),
 chosen AS (SELECT DISTINCT [first_value(id) OVER (PARTITION BY file_id, combination ORDER BY id)] AS ids FROM r)
 SELECT DISTINCT r.* FROM r JOIN (SELECT unnest(ids) AS id FROM chosen) c ON c.id = r.id""", "rooms"),
@@ -481,6 +482,24 @@ FROM prices WHERE city_code LIKE 'NATION_1%'""", "prices"),
 SELECT file_id, rt_id, city_code, room_type, characteristic, coalesce(rate, '') AS rate, board, sum_nights, terms,
        {money('room_price')} AS room_price, {money('board_price')} AS board_price, {money('price')} AS price
 FROM prices_family""", "prices_family"),
+    "search_requests": _sql(f"""
+WITH asked AS (
+  SELECT q.*, c.contract_name, s.city_code, c.minimum_child_age AS lo, c.maximum_child_age AS hi, date_diff('day', check_in, check_out) AS nights
+  FROM requests q JOIN ccon c USING (file_id) JOIN hotel_supplier s ON s.supplier_hotel_code = c.hotel_code AND s.supplier_id = 5),
+party AS (
+  SELECT request_id, CAST(count(*) FILTER (age >= lo) AS INTEGER) AS paxes, CAST(count(*) FILTER (age > hi) AS INTEGER) AS adults,
+         CAST(count(*) FILTER (age BETWEEN lo AND hi) AS INTEGER) AS childes
+  FROM (SELECT request_id, lo, hi, unnest([30, 30, child_a, child_b]) AS age FROM asked) GROUP BY request_id),
+night AS (SELECT request_id, file_id, nights, CAST(unnest(range(check_in, check_out, INTERVAL 1 DAY)) AS DATE) AS night FROM asked),
+sold AS (
+  SELECT request_id, n.file_id, room_type, characteristic, base_board, is_price_per_pax, nights, count(*) AS sum_nights,
+         CAST(sum({CENTS}) AS DOUBLE) / 100 AS stay_amount
+  FROM night n JOIN cnct t ON t.file_id = n.file_id AND n.night >= t.initial_date AND n.night < t.final_date
+  GROUP BY ALL HAVING count(DISTINCT night) = nights)
+SELECT request_id, file_id, city_code, room_type, characteristic, base_board, is_price_per_pax, sum_nights, stay_amount, paxes, adults, childes,
+       {money("stay_amount / sum_nights * CASE WHEN is_price_per_pax = 'Y' THEN paxes ELSE 1 END * s.nights")} AS price
+FROM sold s JOIN party USING (request_id) JOIN asked USING (request_id, file_id) JOIN cnha h USING (file_id, room_type, characteristic)
+WHERE paxes > 0 AND max_pax >= paxes AND max_children >= childes""", "requests", "ccon", "hotel_supplier", "cnct", "cnha"),
     "discounts_for_stay": _sql(f"""
 SELECT t.file_id, t.hotel_id, {_text('t.initial_date')}, {_text('t.final_date')}, t.room_type, t.characteristic,
        t.is_price_per_pax, coalesce(r.is_per_pax, '') AS cnsr_is_per_pax, t.base_board, t.amount, 5 AS age

@@ -17,7 +17,8 @@ def md5_key(*parts: Column | str, sep: str = ".") -> Column:
 
 
 def surrogate(*parts: Column | str) -> Column:
-    """Stable 60-bit id from the key columns; no global numbering, so no single-partition sort."""
+    """Stable 60-bit number from the key columns, to show; no global numbering, so no single-partition sort. Joins use the whole
+    ``md5_key``."""
     return F.conv(F.substring(md5_key(*parts), 1, 15), 16, 10).cast("bigint")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tariffloom.functions import intervals as iv
 from tariffloom.functions import party
 from tariffloom.functions.keys import md5_key
+from tariffloom.operators.interval_join import overlap_join
 from tariffloom.params import Stay
 from tariffloom.schemas import MONEY
 
@@ -118,6 +119,38 @@ def fully_covered(rows: DataFrame, key: tuple[str, ...] | list[str], words: list
     return sums
 
 
+def rooms_for_requests(prices: DataFrame, requests: DataFrame, key: tuple[str, ...] = ROOM_KEY) -> DataFrame:
+    """``sold_rooms`` for a whole table of stays in one plan: per request (request_id, file_id, check_in, check_out, nights) the rooms of its
+    contract with a price for every night, their summed nights and amounts.
+
+    Stays meet price rows of their contract where the two overlap, by bins of dates, so a contract with many prices and many
+    requests doesn't build their product. Covered nights are bits counted from a request's own check-in.
+    """
+    wanted = requests.filter("check_in < check_out").withColumn("nights", F.datediff("check_out", "check_in"))
+    longest = wanted.agg(F.max("nights")).first()[0] or 0
+    met = overlap_join(
+        wanted.select("request_id", "file_id", "check_in", "check_out", F.col("nights").alias("stay_nights")),
+        prices.select(*key, "initial_date", "final_date", "amount"), ["file_id"], ("check_in", "check_out", "initial_date", "final_date"))
+    shared = met.withColumn("nights", iv.common_nights(F.col("initial_date"), F.col("final_date"), F.col("check_in"), F.col("check_out")))
+    first = F.greatest(F.datediff("initial_date", "check_in"), F.lit(0))
+    last = F.least(F.datediff("final_date", "check_in"), F.col("stay_nights"))
+    sums = shared.groupBy("request_id", *key, "stay_nights").agg(
+        F.sum("nights").cast("bigint").alias("sum_nights"), F.sum(F.col("nights") * F.col("amount").cast(MONEY)).alias("stay_amount"),
+        *[F.bit_or(_bits(first, last, base)).alias(f"covered_{base}") for base in range(0, longest, NIGHTS_A_WORD)])
+    for base in range(0, longest, NIGHTS_A_WORD):
+        full = _bits(F.lit(0), F.col("stay_nights"), base)
+        sums = sums.filter(F.col(f"covered_{base}") == full).drop(f"covered_{base}")
+    return sums
+
+
+def _bits(first: Column, last: Column, base: int) -> Column:
+    """Nights first .. last - 1 as bits of the word that begins at night ``base``."""
+    a = F.least(F.greatest(first - base, F.lit(0)), F.lit(NIGHTS_A_WORD))
+    b = F.least(F.greatest(last - base, F.lit(0)), F.lit(NIGHTS_A_WORD))
+    one = F.lit(1).cast("long")
+    return F.when(b > a, F.call_function("shiftleft", one, b) - F.call_function("shiftleft", one, a)).otherwise(F.lit(0).cast("long"))
+
+
 def with_party(contracts: DataFrame, ages: Column) -> DataFrame:
     """Guests of the party per contract, classified by the contract's child-age bounds."""
     return (

@@ -37,6 +37,14 @@ def counted_codes(df: DataFrame, key: list[str], code: str, name: str) -> DataFr
     )
 
 
+def as_dictionary(listed: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """``listed`` with ``<name>_id`` in place of the text ``name``, and the dictionary (``<name>_id``, ``name``) that has each distinct text once.
+    What refers to a list then carries its 32 characters of id, however long the list is."""
+    key = f"{name}_id"
+    coded = listed.withColumn(key, F.md5(name))
+    return coded.drop(name), coded.filter(F.col(name).isNotNull()).groupBy(key).agg(F.any_value(name).alias(name))
+
+
 def board_grouping_sets(offers: DataFrame, boards: DataFrame) -> DataFrame:
     """Per offer: one row for the room itself with the board columns empty, and one row per board term.
 

@@ -13,7 +13,7 @@ from tariffloom.operators import availability as av
 from tariffloom.operators import cache as cache_ops
 from tariffloom.operators import rule_list, running, terms
 from tariffloom.plans.common import COUPLE, FAMILY, flat_range, ids, query
-from tariffloom.search import discounts_for_stay, search, search_cache, search_cache_rules
+from tariffloom.search import discounts_for_stay, search, search_cache, search_cache_rules, search_requests
 from tariffloom.sources.sinks import read_cache, stored_root, write_cache
 
 PRICES = ("sbprice", "sbbprice", "pbprice", "pbbprice", "total_price")
@@ -150,6 +150,16 @@ def cached_search_family(t) -> DataFrame:
     return _cached(t, FAMILY)
 
 
+@query
+def requested_rooms(t) -> DataFrame:
+    """Rooms and prices for every booking request, in one plan."""
+    found = search_requests(t, t.requests())
+    return found.select(
+        "request_id", "file_id", "city_code", "room_type", "characteristic", "base_board", "is_price_per_pax", "sum_nights",
+        F.col("stay_amount").cast("double").alias("stay_amount"), "paxes", "adults", "childes", money(F.col("price")).alias("price"),
+    )
+
+
 @query
 def discounts_of_stay(t) -> DataFrame:
     """Price rows of the stay with the board rules that outlast it."""
@@ -177,6 +187,7 @@ QUERIES = {
     "running_price": running_price,
     "cached_search": cached_search,
     "cached_search_family": cached_search_family,
+    "search_requests": requested_rooms,
     "discounts_for_stay": discounts_of_stay,
     "rule_passthrough": rule_passthrough,
 }

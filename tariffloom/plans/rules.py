@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tariffloom.functions import predicates as pr
-from tariffloom.functions.keys import md5_key, money, surrogate
+from tariffloom.functions.keys import md5_key, money
 from tariffloom.operators import availability as av
 from tariffloom.operators import rooms, rules, running, terms
 from tariffloom.operators.matching import match_rules
@@ -145,9 +145,10 @@ def room_types(t) -> DataFrame:
 @query
 def pair_rule_lookup(t) -> DataFrame:
     """First codes of the pair rules, looked up per available room."""
-    codes = terms.counted_codes(t.table("cnoe"), ["file_id"], "code1", "cnoe_code1")
-    found = av.available_rooms(t.table("cnct"), FAMILY)
-    return found.join(codes, "file_id", "left").select(
+    coded, lists = terms.as_dictionary(terms.counted_codes(t.table("cnoe"), ["file_id"], "code1", "cnoe_code1"), "cnoe_code1")
+    # rooms carry the id of their contract's list; texts are met last, one row a list
+    found = av.available_rooms(t.table("cnct"), FAMILY).select(*av.ROOM).join(coded, "file_id", "left")
+    return found.join(lists, "cnoe_code1_id", "left").select(
         "file_id", "room_type", "characteristic", F.coalesce("cnoe_code1", F.lit("")).alias("cnoe_code1")
     )
 
@@ -171,7 +172,7 @@ def offer_capacity(t) -> DataFrame:
 
 def _rooms_with_id(t) -> DataFrame:
     return av.available_rooms(t.table("cnct"), FAMILY).select(
-        surrogate("file_id", "room_type", "characteristic", "base_board").alias("id"),
+        md5_key("file_id", "room_type", "characteristic", "base_board").alias("id"),
         "file_id", "room_type", "characteristic", "base_board",
         F.concat_ws(",", F.sort_array(F.array("room_type", "base_board"))).alias("combination"),
     )
@@ -190,11 +191,13 @@ def first_value_window(t) -> DataFrame:
 
 @query
 def array_member_join(t) -> DataFrame:
-    """Rooms that are a member of their contract's list of chosen ids."""
+    """Rooms that are a member of their contract's list of chosen ids.
+
+    The lists are inverted: one row a member, met on contract and id, so no list stands on any row and a contract of any size is spread.
+    """
     found = _rooms_with_id(t)
-    # a contract's list has one id for each combination of room and board
-    chosen = _representatives(found).groupBy("file_id").agg(F.collect_set("representative").alias("chosen"))
-    return found.join(chosen, "file_id").filter(F.array_contains("chosen", F.col("id"))).drop("chosen").distinct()
+    members = _representatives(found).select("file_id", F.col("representative").alias("id")).distinct()
+    return found.join(members, ["file_id", "id"], "left_semi").distinct()
 
 
 QUERIES = {

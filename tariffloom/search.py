@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tariffloom.functions import intervals as iv
+from tariffloom.functions import pricing as px
+from tariffloom.operators import availability
 from tariffloom.operators import cache as cache_ops
 from tariffloom.operators import fold
 from tariffloom.operators.availability import ROOM
@@ -33,6 +35,30 @@ def search_cache_rules(cache: DataFrame, tables, stay: Stay) -> DataFrame:
     return fold.fold_prices(searched_list(tables, stay, cache_ops.cached_rooms(cache, stay)), stay)
 
 
+def search_requests(tables, requests: DataFrame, supplier_id: int = 5) -> DataFrame:
+    """Room search for a table of requests (request_id, file_id, check_in, check_out, ages): one plan for all of them.
+
+    Per request the rooms of its contract that are priced for every night and hold its party, with the price of the stay. Requests
+    equal in all columns are searched once, others that share an id each by itself.
+    """
+    columns = ["request_id", "file_id", "check_in", "check_out", "ages"]
+    asked = requests.select(*columns).distinct().withColumnRenamed("request_id", "asked_id").withColumn(
+        "request_id", F.md5(F.to_json(F.struct("asked_id", *columns[1:]))))
+    hotels = tables.table("hotel_supplier").filter(F.col("supplier_id") == supplier_id)
+    rooms = availability.rooms_for_requests(tables.table("cnct"), asked)
+    parties = asked.select("request_id", "asked_id", "file_id", "ages").join(availability.sold_contracts(tables, hotels), "file_id")
+    classified = availability.with_party(parties, F.col("ages")).select("request_id", "asked_id", "contract_name", "city_code", "paxes", "adults", "childes")
+    nightly = F.col("stay_amount").cast("double") / F.col("sum_nights")
+    return (
+        rooms.join(tables.table("cnha").select(*ROOM, "max_pax", "max_children"), ROOM)
+        .join(classified, "request_id")
+        .filter(availability.fits(F.col("paxes"), F.col("childes")))
+        .withColumn("price", px.room_total(nightly, F.col("is_price_per_pax"), F.col("paxes")) * F.col("stay_nights"))
+        .withColumn("request_id", F.col("asked_id"))
+        .drop("asked_id")
+    )
+
+
 def discounts_for_stay(tables, check_in: dt.date, check_out: dt.date, age: int = 5) -> DataFrame:
     """Price rows that touch the stay, with the board rules naming their room that outlast it.
 

@@ -28,6 +28,38 @@ def write_cache(df: DataFrame, path: str) -> None:
     )
 
 
+def refresh_cache(spark: SparkSession, df: DataFrame, path: str, contracts: DataFrame) -> None:
+    """Bring the cached rows of some contracts (``file_id``) up to date: ``df`` holds their new rows.
+
+    Only the cities that the contracts are sold in, or were, are rewritten; all other folders stay as they are. The new cities are
+    written beside the cache first and then put in place by dynamic partition overwrite, so nothing is read while it is
+    replaced. A city that loses its last row has nothing to overwrite it with, and its folder is removed.
+    """
+    city = ["country_code", "city_code"]
+    old, changed = read_cache(spark, path), contracts.select("file_id").distinct()
+    before = old.join(changed, "file_id", "left_semi").select(*city).distinct()
+    touched = stored(before.union(df.select(*city).distinct()).distinct())
+    kept = old.join(touched, city, "left_semi").join(changed, "file_id", "left_anti")
+    staged = stored(kept.unionByName(df.select(*old.columns)))
+    staged.hint("rebalance", *city).sortWithinPartitions(*city, "file_id", "lo").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(*city).parquet(path)
+    emptied = touched.join(staged.select(*city).distinct(), city, "left_anti")
+    for row in emptied.toLocalIterator():  # folders, not rows: at most the cities of the changed contracts
+        _delete(spark, f"{path}/country_code={_folder(row.country_code)}/city_code={_folder(row.city_code)}")
+
+
+def _folder(value: str | None) -> str:
+    """A partition value as Spark names its folder."""
+    if value in (None, ""):
+        return "__HIVE_DEFAULT_PARTITION__"
+    return "".join(f"%{ord(c):02X}" if ord(c) < 32 or c in "\"#%'*/:=?\\{[]^\x7f" else c for c in value)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def read_cache(spark: SparkSession, path: str) -> DataFrame:
     """Declared schema: codes that look like numbers stay text, also as directory names."""
     return spark.read.schema(CACHE).parquet(path)
@@ -70,8 +102,7 @@ def stored_root(spark: SparkSession) -> str:
 
 def release(spark: SparkSession) -> None:
     """Remove the intermediate tables of this session; frames that read them can't be used afterwards."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(stored_root(spark))
-    root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(root, True)
+    _delete(spark, stored_root(spark))
 
 
 def stored(df: DataFrame) -> DataFrame:
