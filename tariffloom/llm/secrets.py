@@ -4,11 +4,13 @@ Patterns (leftmost, non-overlapping per kind, code-point spans, end exclusive):
 ``assign`` a credential word, an equals sign or colon and a value of 8 or more characters; ``access`` AKIA and 16 or more
 characters in all; ``hex`` 32 or more hexadecimal digits.
 
-Novelty: a candidate is a run of ``[A-Za-z0-9+/_=-]`` of at least ``LEAST`` characters that mixes letters and digits,
-overlaps no pattern's span, and has a sensitive word within ``CONTEXT`` characters on either side. Its novelty is the
-number of compressed bytes it adds to its surroundings: zstandard, primed with a dictionary of code and
-identifier words, compresses the surroundings with and without it. A candidate that adds at least ``NOVEL`` bytes a
-character can't be said from its context or from known identifiers; it is reported as ``novel``.
+Novelty: a candidate is a run of ``[A-Za-z0-9+/_=-]``, or what the patterns' spans leave of one, of at least ``SHORT``
+characters, with a sensitive word within ``CONTEXT`` characters on either side. Its novelty is the number of compressed bytes it
+adds to its surroundings: zstandard, primed with a dictionary of code and identifier words, compresses the
+surroundings with and without it. A candidate that adds at least ``NOVEL`` bytes a character can't be said from its
+context or from known identifiers; it is reported as ``novel``. A few characters always look new, so a candidate below ``LEAST``
+characters must add ``NOVEL_SHORT`` bytes a character and change its class (digits, small and capital letters) at least ``TURNS`` times, a
+first capital aside: words of any language and plain numbers don't.
 
 A map over whole texts without a shuffle. Cases: NULL and empty texts have no span; very long texts are scanned whole;
 rows that repeat are reported one by one; an empty table gives an empty result; extra columns are ignored by
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -35,8 +38,9 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 ASSIGN_WORDS = ("passw", "secret", "token", "api")
 
-LEAST, CONTEXT, NOVEL = 20, 64, 0.6
-CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
+SHORT, LEAST, CONTEXT, NOVEL, NOVEL_SHORT, TURNS = 8, 20, 64, 0.6, 0.8, 3
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{SHORT},}}")
+TURN = re.compile(r"[0-9](?=[A-Za-z])|[A-Za-z](?=[0-9])|[a-z](?=[A-Z])|(?<=.)[A-Z](?=[a-z])")
 SENSITIVE = re.compile(
     r"passw|passphrase|secret|token|api[ _-]?key|credential|bearer|authorization|private[ _-]?key|access[ _-]?key|client[ _-]?id|"
     r"signature|akia|ssh-|\bauth\b", re.IGNORECASE | re.ASCII)
@@ -86,22 +90,42 @@ class Novelty:
         return len(self.compressor.compress((before + candidate + after).encode())) - around
 
     def spans(self, text: str, known: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+        """(start, kind, end) of what no pattern names; ``known``: the patterns' spans, by start."""
+        words = [m.span() for m in SENSITIVE.finditer(text)]
+        if not words:
+            return []
+        starts, ends = [s for s, _ in words], [e for _, e in words]
         out = []
-        for m in CANDIDATE.finditer(text):
-            start, end = m.span()
-            word = m.group()
-            if not (any(c.isdigit() for c in word) and any(c.isalpha() for c in word)):
+        for start, end in unnamed(text, known):
+            if not (bisect_left(starts, start - CONTEXT) < bisect_right(ends, start) or bisect_left(starts, end) < bisect_right(ends, end + CONTEXT)):
                 continue
-            if any(s < end and start < e for s, _, e in known):
+            word = text[start:end]
+            short = len(word) < LEAST
+            if short and len(TURN.findall(word)) < TURNS:
                 continue
             before, after = text[max(start - CONTEXT, 0):start], text[end:end + CONTEXT]
-            if not SENSITIVE.search(before + " " + after):
-                continue
-            if self.added(before, word, after) >= NOVEL * len(word):
+            if self.added(before, word, after) >= (NOVEL_SHORT if short else NOVEL) * len(word):
                 out.append((start, 3, end))
         return out
 
 
+def unnamed(text: str, known: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """Runs of candidate characters, without what ``known`` spans cover; both walk forward together."""
+    at = 0
+    for m in CANDIDATE.finditer(text):
+        start, end = m.span()
+        while at < len(known) and known[at][2] <= start:
+            at += 1
+        k = at
+        while k < len(known) and known[k][0] < end:
+            if known[k][0] - start >= SHORT:
+                yield start, known[k][0]
+            start = max(start, known[k][2])
+            k += 1
+        if end - start >= SHORT:
+            yield start, end
+
+
 def joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
