@@ -12,7 +12,9 @@
 
 Hot passages: a task sends an anchor once, and a stretch's content once with its smallest id, for all documents it has at hand;
 the larger ids among them are settled there and then. So a passage that a third of all documents share costs each shard a
-record per task, not per document. Buckets and shards grow in number with the input. Texts are shuffled once, by their spot
+record per task, not per document. Rows that repeat an id and a text are one document: a task looks at one of them, and what
+several tasks find about it is the same and put together in partial sets, so its lists are as long as those of a single row.
+Buckets and shards grow in number with the input up to ``MOST``; a bucket beyond memory is sorted on disk. Texts are shuffled once, by their spot
 (32 bits of a hash of id and text), for both joins that need them; the list of copies is broadcast only below a measured
 size, else shuffled. Lists are gathered by spot, so each is one document's, however many rows share an id or have none.
 Documents that share a spot by chance get each other's anchors, which are more windows to judge and no other result.
@@ -36,11 +38,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tariffloom.llm.common import broadcast_if_small, checkpointed, map_batches, texts_of
+from tariffloom.llm.disk_queue import DiskQueue
 from tariffloom.llm.induced_sort import LIMIT, SAMPLED, repeated_windows
 from tariffloom.llm.windows import SPAN, WINDOW, Stretches, stretches
 
 #: Text bytes a task looks at together; anchors of a bucket that are aimed at (a shard gets fewer); bytes an anchor stands for.
 TOGETHER, BUCKET, EVERY = 16 << 20, 1 << 17, 17
+#: Buckets and shards: more would leave a task's message to each of them too small. Anchors of a bucket that are sorted in memory.
+MOST, IN_MEMORY = 1 << 15, 1 << 22
+ANCHOR = np.dtype([("key", "u8"), ("owner", "i8")])
 LAST = (1 << 63) - 1
 
 
@@ -91,7 +97,26 @@ def from_planes(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
 
 
-def repeated_anchors(texts: DataFrame, buckets: int) -> DataFrame:
+def sent_twice(blocks: Iterator[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys and owners of the ``ANCHOR`` records, ascending by key, whose key comes twice or more, each pair once a block. Twice from one spot
+    is enough: equal spots may be two documents. The last record of a block waits for the next one."""
+    waiting, going_on = np.empty(0, ANCHOR), None
+    for block in blocks:
+        rows = np.concatenate([waiting, block])
+        rows = rows[np.lexsort((rows["owner"], rows["key"]))]
+        keys, owners = rows["key"], rows["owner"]
+        new = np.r_[True, keys[1:] != keys[:-1]]
+        several = ~(new & np.r_[new[1:], True])
+        if going_on is not None:
+            several |= keys == going_on
+        single = not several[-1]
+        several &= new | np.r_[True, owners[1:] != owners[:-1]]
+        if several.any():
+            yield keys[several], owners[several]
+        waiting, going_on = (rows[-1:], None) if single else (rows[:0], keys[-1])
+
+
+def repeated_anchors(texts: DataFrame, buckets: int, in_memory: int = IN_MEMORY) -> DataFrame:
     """spot, keys (binary: 64-bit bucket keys of anchors that are in another document too). ``texts``: id, key, spot, text."""
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for rows, values in together(batches):
@@ -130,20 +155,12 @@ def repeated_anchors(texts: DataFrame, buckets: int) -> DataFrame:
             pa.nulls(len(spots), pa.binary())], names=["bucket", "spot", "keys", "owners"])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        bucket_anchors = DiskQueue(ANCHOR, in_memory)
         current = None
 
         def close() -> Iterator[pa.RecordBatch]:
-            keys, owners = (np.concatenate(x) for x in zip(*held)) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            order = np.lexsort((owners, keys))
-            keys, owners = keys[order], owners[order]
-            new = np.r_[True, keys[1:] != keys[:-1]][:len(keys)]
-            # sent twice is enough: equal spots may be two documents
-            several = ~(new & np.r_[new[1:], True][:len(keys)])
-            several &= new | np.r_[True, owners[1:] != owners[:-1]][:len(keys)]
-            if several.any():
-                yield settled(keys[several], owners[several], 1).select(["spot", "keys"])
-            held.clear()
+            for keys, owners in sent_twice(bucket_anchors.drain()):
+                yield settled(keys, owners, 1).select(["spot", "keys"])
 
         for batch in batches:
             known = batch.column(3).is_null()
@@ -153,8 +170,10 @@ def repeated_anchors(texts: DataFrame, buckets: int) -> DataFrame:
                 if bucket != current:
                     yield from close()
                     current = bucket
-                held.append((from_planes(keys).astype(np.uint64) | np.uint64(bucket) << np.uint64(32),
-                             np.frombuffer(owners, np.uint32).astype(np.int64)))
+                part = np.empty(len(owners) // 4, ANCHOR)
+                part["key"] = from_planes(keys).astype(np.uint64) | np.uint64(bucket) << np.uint64(32)
+                part["owner"] = np.frombuffer(owners, np.uint32)
+                bucket_anchors.push(part)
         yield from close()
 
     asks = map_batches(texts, ask, "bucket int, spot long, keys binary, owners binary")
@@ -168,6 +187,10 @@ def candidate_stretches(texts: DataFrame, buckets: int, shards: int) -> DataFram
     ``left``: bytes of the content before its anchor; ``more``: its windows after the first; ``places``: its anchors."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for rows, values in together(batches):
+            _, first = np.unique(np.rec.fromarrays([rows.column(0).to_numpy(), rows.column(1).to_numpy()], names="id,key"), return_index=True)
+            if len(first) < len(values):  # rows of one id and text are one document
+                first.sort()
+                rows, values = rows.take(pa.array(first)), [values[k] for k in first]
             ids, keys = rows.column(0).to_pylist(), rows.column(1).to_pylist()
             wanted = np.unique(np.frombuffer(b"".join(x for row in rows.column(2).to_pylist() for x in row), np.uint64))
             found = stretches(values)
@@ -302,7 +325,8 @@ def removed_intervals(windows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["id", "key", "intervals"])
 
-    each = windows.groupBy("id", "key").agg(F.collect_list(F.struct("places", "mask")).alias("found"))  # a document's own windows
+    # a document's own windows; rows that repeat it, seen by several tasks, give the same ones
+    each = windows.groupBy("id", "key").agg(F.collect_set(F.struct("places", "mask")).alias("found"))
     return map_batches(each, run, "id long, key long, intervals binary")
 
 
@@ -321,7 +345,7 @@ def intervals_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     rows = keyed(docs, doc_id, text)
     sizes = checkpointed(rows.select("id", "key", "sha", F.octet_length("text").cast("long").alias("size")))
     total = sizes.agg(F.sum("size")).first()[0] or 0
-    parts = min(max(-(-total // (EVERY * BUCKET)), 8), 1 << 15)
+    parts = min(max(-(-total // (EVERY * BUCKET)), 8), MOST)
     # written, so that the join has a side of its own to split: a third of the rows may be copies of one text
     least = checkpointed(sizes.groupBy("sha").agg(F.min("id").alias("low")))
     copies = checkpointed(

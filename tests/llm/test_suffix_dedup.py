@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tariffloom.llm import induced_sort, suffix_dedup
@@ -127,3 +128,48 @@ def test_sort_beyond_memory_marks_the_same_windows():
         want = {(int(found.doc[r]), s) for r in range(len(rows)) for s in range(int(found.first[r]), int(found.last[r]) + 1)
                 if least[texts[found.doc[r]][s:s + WINDOW]] < ids[found.doc[r]]}
         assert {(int(found.doc[r]), int(found.anchor[r]) - j) for r, m in results[0] for j in range(64) if m >> j & 1} == want
+
+
+@pytest.mark.parametrize("copies", [1, 3000])
+def test_rows_that_repeat_one_document_are_one(spark, monkeypatch, copies):
+    """The lists of a document are as long with 3,000 equal rows as with one."""
+    rng = random.Random(2)
+    p = "".join(rng.choice("abcdefgh ") for _ in range(1500))
+    rows = [(7, p)] * copies + [(None, p + "x")] * copies + [(1, p + " tail"), (2, "head " + p)]
+    monkeypatch.setattr(suffix_dedup, "TOGETHER", 200_000)  # so that many tasks and blocks meet the copies
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    lists, real = [], suffix_dedup.removed_intervals
+
+    def seen(windows):
+        found = windows.groupBy("id", "key").agg(F.size(F.collect_set(F.struct("places", "mask"))).alias("n")).agg(F.max("n")).first()[0]
+        lists.append(found)
+        return real(windows)
+
+    monkeypatch.setattr(suffix_dedup, "removed_intervals", seen)
+    assert answer(docs) == sorted(map(str, brute(rows)))
+    assert lists[0] <= 1500 // 10
+
+
+def test_a_bucket_beyond_memory_finds_the_same_anchors(spark):
+    rng = random.Random(9)
+    p = ["".join(rng.choice("abcdefgh ") for _ in range(200)) for _ in range(10)]
+    rows = [(k, rng.choice(p) + rng.choice(p)) for k in range(40)]
+    texts = suffix_dedup.keyed(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), "doc_id", "text").select("id", "key", "spot", "text")
+    found = []
+    for in_memory in (suffix_dedup.IN_MEMORY, 16):
+        out = {}
+        for r in suffix_dedup.repeated_anchors(texts, 4, in_memory).collect():
+            out.setdefault(r.spot, set()).update(np.frombuffer(r["keys"], np.uint64).tolist())
+        found.append(out)
+    assert found[0] == found[1] and len(found[0]) == len(rows)
+
+
+def test_keys_sent_twice_in_blocks():
+    rng = np.random.default_rng(4)
+    rows = np.zeros(500, suffix_dedup.ANCHOR)
+    rows["key"], rows["owner"] = np.sort(rng.integers(0, 250, 500)), rng.integers(0, 6, 500)
+    many = {int(k) for k in rows["key"] if (rows["key"] == k).sum() > 1}
+    want = {(int(k), int(o)) for k, o in zip(rows["key"], rows["owner"]) if int(k) in many}
+    for size in (500, 1, 2, 3, 64):
+        got = [(int(k), int(o)) for ks, os in suffix_dedup.sent_twice(rows[a:a + size] for a in range(0, 500, size)) for k, o in zip(ks, os)]
+        assert set(got) == want
