@@ -9,6 +9,8 @@ consecutive words; an item of fewer words, but not none, is one window.
 3. At each of these places the other terms' postings are intersected: the document's terms at the window's offsets
    must be the window's terms. What is left are exact phrase matches.
 4. Matches become hit words (union of their intervals) and items per document.
+5. Proximity: the postings of an item's ``TERMS`` rarest terms are brought together per document and item; a place where all of them lie
+   within ``SPAN`` words, in any order, is near. Documents get the number of items that are near somewhere.
 
 The probes (one row per window) are broadcast only if their measured size is within a bound. Beyond it the postings
 are shuffled by term, and the surviving places meet their documents again in a second join; skewed terms are split by
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from tariffloom.llm.common import ascii_lower, broadcast_if_small, checkpointed
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WINDOW = 13
+WINDOW, TERMS, SPAN = 13, 4, 30
 
 
 def split_words(text: Column) -> Column:
@@ -81,10 +83,11 @@ def probes(windows: DataFrame, counts: DataFrame) -> DataFrame:
     return each.join(rarest, "phrase").select("rarest.term", "rarest.offset", "phrase", "terms")
 
 
-def phrase_matches(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """doc_id, text_key, start, size, phrase: every occurrence of a window. ``docs`` as of ``keyed``."""
+def phrase_matches(docs: DataFrame, windows: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """doc_id, text_key, start, size, phrase: every occurrence of a window. ``docs`` as of ``keyed``; ``counts``: of all terms of the windows,
+    where they are known."""
     terms = windows.select(F.explode("terms").alias("term")).distinct()
-    known = checkpointed(probes(windows, term_counts(docs, terms)))
+    known = checkpointed(probes(windows, term_counts(docs, terms) if counts is None else counts))
     known, small = broadcast_if_small(known, F.octet_length("phrase") * 3)
     same = F.slice("words", F.col("start") + 1, F.size("terms")) == F.col("terms")
     out = ["doc_id", "text_key", "start", F.size("terms").alias("size"), "phrase"]
@@ -100,14 +103,23 @@ def phrase_matches(docs: DataFrame, windows: DataFrame) -> DataFrame:
     return met.filter(same).select(*out).distinct()
 
 
-def proximity_matches(docs: DataFrame, bench: DataFrame, terms: int = 4, span: int = 30, doc_id: str = "doc_id",
+def item_words(bench: DataFrame, text: str = "text", item_id: str = "item_id") -> DataFrame:
+    """item_id, term: the distinct words of each item."""
+    return bench.select(F.col(f"`{item_id}`").alias("item_id"), F.explode(F.array_distinct(F.filter(
+        split_words(F.col(f"`{text}`")), lambda w: w != ""))).alias("term")).distinct()
+
+
+def proximity_matches(docs: DataFrame, bench: DataFrame, terms: int = TERMS, span: int = SPAN, doc_id: str = "doc_id",
                       text: str = "text", item_id: str = "item_id") -> DataFrame:
     """doc_id, text_key, item_id, pos: places whose last ``span`` words hold all of an item's ``terms`` rarest terms, in any
-    order. Items with fewer distinct terms need all they have."""
-    docs = keyed(docs, doc_id, text)
-    words = bench.select(F.col(f"`{item_id}`").alias("item_id"), F.explode(F.array_distinct(F.filter(
-        split_words(F.col(f"`{text}`")), lambda w: w != ""))).alias("term")).distinct()
-    counts = term_counts(docs, words.select("term").distinct())
+    order. Items with fewer distinct terms need all they have; items of a NULL id aren't looked for."""
+    docs, words = keyed(docs, doc_id, text), item_words(bench, text, item_id)
+    return near_items(docs, words, term_counts(docs, words.select("term").distinct()), terms, span)
+
+
+def near_items(docs: DataFrame, words: DataFrame, counts: DataFrame, terms: int = TERMS, span: int = SPAN) -> DataFrame:
+    """``proximity_matches`` of ``keyed`` documents, the items' words and their counts."""
+    words = words.filter("item_id IS NOT NULL")
     order = Window.partitionBy("item_id").orderBy(F.coalesce("n", F.lit(0)), "term")
     rare = words.join(counts, "term", "left").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= terms)
     needed = rare.groupBy("item_id").agg(F.count("*").alias("needed"))
@@ -123,11 +135,14 @@ def proximity_matches(docs: DataFrame, bench: DataFrame, terms: int = 4, span: i
 
 
 def contamination(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-                  size: int = WINDOW) -> DataFrame:
-    """Per row of ``docs``: doc_id, text_key, n_words, n_hit, n_items, items (ids as text, sorted, comma-joined)."""
+                  size: int = WINDOW, near: bool = False) -> DataFrame:
+    """Per row of ``docs``: doc_id, text_key, n_words, n_hit, n_items, items (ids as text, sorted, comma-joined); with ``near``, n_near: the items
+    of which all rarest terms lie within some ``SPAN`` words."""
     docs = keyed(docs, doc_id, text)
     windows = checkpointed(bench_windows(bench, item_id, "text", size))
-    matches = checkpointed(phrase_matches(docs, windows))
+    words = item_words(bench, "text", item_id)
+    counts = checkpointed(term_counts(docs, words.select("term").distinct())) if near else None
+    matches = checkpointed(phrase_matches(docs, windows, counts))
     # union of the intervals: what each start adds beyond the furthest end before it
     before = Window.partitionBy("doc_id", "text_key").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     hits = (
@@ -143,10 +158,16 @@ def contamination(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", tex
     found = hits.join(items, hits.doc_id.eqNullSafe(items.doc_id) & (hits.text_key == items.text_key)).select(
         hits.doc_id.alias("id"), hits.text_key.alias("key"), "n_hit", "items")
     rows = docs.select("doc_id", "text_key", n_words(F.col("words")).cast("long").alias("n_words"))
+    if near:
+        close = near_items(docs, words, counts).select("doc_id", "text_key", "item_id").distinct().groupBy("doc_id", "text_key").agg(
+            F.count("*").alias("n_near"))
+        full = found.join(close, found.id.eqNullSafe(close.doc_id) & (found.key == close.text_key), "full")
+        found = full.select(F.coalesce("id", "doc_id").alias("id"), F.coalesce("key", "text_key").alias("key"), "n_hit", "items", "n_near")
     return rows.join(found, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")), "left").select(
         "doc_id", "text_key", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
         F.coalesce(F.array_join("items", ","), F.lit("")).alias("items"),
+        *([F.coalesce("n_near", F.lit(0)).alias("n_near")] if near else []),
     )
 
 

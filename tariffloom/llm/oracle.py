@@ -47,9 +47,24 @@ WITH item AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
   FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id
 )
+, known AS (SELECT DISTINCT item_id, unnest(words) AS term FROM item WHERE item_id IS NOT NULL
+), counts AS (SELECT term, count(*) AS n FROM (SELECT unnest(words) AS term FROM doc) GROUP BY term
+), rare AS (
+  SELECT item_id, term, count(*) OVER (PARTITION BY item_id) AS needed
+  FROM (SELECT item_id, term, row_number() OVER (PARTITION BY item_id ORDER BY coalesce(n, 0), term) AS rank FROM known LEFT JOIN counts USING (term))
+  WHERE rank <= 4
+), spot AS (
+  SELECT doc_id, item_id, pos, term, needed
+  FROM (SELECT doc_id, pos, words[pos] AS term FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS pos FROM doc)) JOIN rare USING (term)
+), near AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_near FROM (
+    SELECT a.doc_id, a.item_id FROM spot a JOIN spot b ON b.doc_id = a.doc_id AND b.item_id = a.item_id AND b.pos BETWEEN a.pos - 29 AND a.pos
+    GROUP BY a.doc_id, a.item_id, a.pos, a.needed HAVING count(DISTINCT b.term) = a.needed) GROUP BY doc_id
+)
 SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
-  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.words) AS contaminated
-FROM doc d LEFT JOIN word USING (doc_id) LEFT JOIN items USING (doc_id)
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.words) AS contaminated,
+  coalesce(n_near, 0)::BIGINT AS n_near
+FROM doc d LEFT JOIN word USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN near USING (doc_id)
 """
 
 #: CRC-32 of the bytes of a text, bit by bit.

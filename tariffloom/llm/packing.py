@@ -12,7 +12,8 @@
    from their counts. All batches of a bucket but its last are full.
 
 Cases: NULL and wordless texts have length 0 and form batches of the bucket they fall in; a row longer than the budget is a
-batch of its own; rows that repeat are placed one by one; an empty table gives an empty result; extra columns are kept.
+batch of its own; rows that repeat are placed one by one; an empty table gives an empty result; extra columns are kept, but for
+those named like a column of the result, which take its values.
 """
 
 from __future__ import annotations
@@ -101,27 +102,30 @@ def assigned(rows: DataFrame, length: str, bounds: Sequence[int], budget: int =
     """``rows`` (with a unique ``_row``) and the columns bucket, bucket_len, batch, slot, padding. Inside a slice rows are
     numbered by ``order``, then by ``_row``."""
     tops = F.array(*[F.lit(int(b)).cast("long") for b in bounds]) if bounds else F.array().cast("array<long>")
-    bucket = F.size(F.filter(tops, lambda t: t < F.col(length))).cast("int")
+    bucket = F.lit(0)  # a sum of comparisons: as a filter of an array, Spark may fail to resolve it above a window
+    for b in bounds:
+        bucket = bucket + (F.col(length) > F.lit(int(b))).cast("int")
     placed = rows.withColumn("bucket", bucket).withColumn("bucket_len", F.element_at(tops, F.col("bucket") + 1))
     sizes = placed.groupBy("bucket").agg(F.count("*").alias("_n"))
     slices = {r["bucket"]: -(-r["_n"] // slice_rows) for r in sizes.collect()}  # a row for each bucket
     count = F.element_at(F.array(*[F.lit(max(slices.get(k, 1), 1)) for k in range(max(len(bounds), 1))]), F.col("bucket") + 1)
     placed = placed.withColumn("_slice", F.pmod(F.xxhash64("_row"), count))
     within = Window.partitionBy("bucket", "_slice").orderBy(*[F.col(f"`{c}`") for c in order], "_row")
+    # under names of their own: the aggregate of a table is joined with that table
     offsets = (
-        placed.groupBy("bucket", "_slice").agg(F.count("*").alias("_n"))
+        placed.groupBy(F.col("bucket").alias("_bucket_of"), F.col("_slice").alias("_slice_of")).agg(F.count("*").alias("_n"))
         .withColumn("_before", F.coalesce(F.sum("_n").over(
-            Window.partitionBy("bucket").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+            Window.partitionBy("_bucket_of").orderBy("_slice_of").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         .drop("_n")
     )
     rank = F.col("_before") + F.row_number().over(within) - 1
     per_batch = F.greatest(F.floor(F.lit(budget) / F.greatest("bucket_len", F.lit(1))), F.lit(1)).cast("long")
     return (
-        placed.join(offsets, ["bucket", "_slice"]).withColumn("_rank", rank).withColumn("_per", per_batch)
+        placed.join(offsets, (F.col("bucket") == F.col("_bucket_of")) & (F.col("_slice") == F.col("_slice_of"))).withColumn("_rank", rank).withColumn("_per", per_batch)
         .withColumn("batch", F.floor(F.col("_rank") / F.col("_per")).cast("long"))
         .withColumn("slot", F.col("_rank") % F.col("_per"))
         .withColumn("padding", F.col("bucket_len") - F.col(length))
-        .drop("_row", "_slice", "_before", "_rank", "_per")
+        .drop("_row", "_slice", "_before", "_rank", "_per", "_bucket_of", "_slice_of")
     )
 
 

@@ -55,9 +55,9 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), near=True)
     return found.select(
-        "doc_id", "n_words", "n_hit", "n_items", F.sha2("items", 256).alias("items_sha256"), contaminated().alias("contaminated"))
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2("items", 256).alias("items_sha256"), contaminated().alias("contaminated"), "n_near")
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

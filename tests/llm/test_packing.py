@@ -1,7 +1,10 @@
 from __future__ import annotations
 
 import itertools
+import os
 import re
+import subprocess
+import sys
 from collections import defaultdict
 
 import numpy as np
@@ -68,3 +71,17 @@ def test_many_slices(spark):
     rows = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit(7).cast("long").alias("length"), F.col("id").alias("_row"))
     got = assigned(rows, "length", [7], budget=70, slice_rows=64, order=["doc_id"]).groupBy("batch").count().collect()
     assert len(got) == 100 and {r["count"] for r in got} == {10}
+
+
+def test_a_session_that_packs_first(tmp_path):
+    """A process of its own, whose first query is ``pack``; an extra column named like a result is replaced, others stay."""
+    code = (
+        "from pyspark.sql import SparkSession\n"
+        f"spark = SparkSession.builder.master('local[2]').config('spark.checkpoint.dir', {str(tmp_path)!r}).config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "from tariffloom.llm.packing import pack\n"
+        "rows = spark.createDataFrame([(i, i * 7 % 40, 'mine', 'kept') for i in range(10)], 'doc_id long, length long, bucket string, other string')\n"
+        "out = pack(rows).collect()\n"
+        "assert len(out) == 10 and {r.other for r in out} == {'kept'} and all(r.padding == r.bucket_len - r.length for r in out)\n")
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    run = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=200)
+    assert run.returncode == 0, run.stderr[-1500:]
