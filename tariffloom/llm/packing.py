@@ -101,7 +101,7 @@ def assigned(rows: DataFrame, length: str, bounds: Sequence[int], budget: int =
              order: Sequence[str] = ()) -> DataFrame:
     """``rows`` (with a unique ``_row``) and the columns bucket, bucket_len, batch, slot, padding. Inside a slice rows are
     numbered by ``order``, then by ``_row``."""
-    tops = F.array(*[F.lit(int(b)).cast("long") for b in bounds]) if bounds else F.array().cast("array<long>")
+    tops = F.array(*[F.lit(int(b)).cast("long") for b in bounds or [0]])  # without rows there is no bound
     bucket = F.lit(0)  # a sum of comparisons: as a filter of an array, Spark may fail to resolve it above a window
     for b in bounds:
         bucket = bucket + (F.col(length) > F.lit(int(b))).cast("int")

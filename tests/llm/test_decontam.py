@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import random
 import re
-from collections import Counter, defaultdict
 
 from tariffloom.llm import common, decontam
 
@@ -59,33 +58,6 @@ def test_against_brute_force_both_ways(spark, monkeypatch):
     assert common.broadcast_if_small(d, common.F.lit(1), 10)[1] is False
 
 
-def near(docs, bench, terms=4, span=30):
-    """Items near, by looking at every place of every document."""
-    counts = Counter(w for _, t in docs for w in words(t))
-    known = defaultdict(set)
-    for item, text in bench:
-        if item is not None:
-            known[item] |= set(words(text))
-    rare = {i: set(sorted(w, key=lambda x: (counts[x], x.encode()))[:terms]) for i, w in known.items() if w}
-    for i, text in docs:
-        w = words(text)
-        yield i, sum(any(r <= set(w[max(p - span + 1, 0):p + 1]) for p in range(len(w))) for r in rare.values())
-
-
-def test_near_items_of_whole_texts(spark, odd, odd_texts, none):
-    docs, bench = fixture()
-    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")
-    got = decontam.contamination(d, b, near=True)
-    assert sorted(map(str, ((r.doc_id, r.n_near) for r in got.collect()))) == sorted(map(str, near(docs, bench)))
-    assert got.filter("n_near > 0").count() and answer(d, b) == sorted(map(str, map(tuple, got.drop("text_key", "n_near").collect())))
-    some = [(1, odd_texts[7][1]), (2, "été à la"), (None, "a")]
-    table = spark.createDataFrame([(i, t, "x") for i, t in some], "item_id long, text string, doc_id string")
-    got = decontam.contamination(odd, table, near=True).collect()
-    assert sorted(map(str, ((r.doc_id, r.n_near) for r in got))) == sorted(map(str, near(odd_texts, some)))
-    assert decontam.contamination(none, table, near=True).count() == 0
-    assert {r.n_near for r in decontam.contamination(odd, table.limit(0), near=True).collect()} == {0}
-
-
 def test_odd_and_empty_tables(spark, odd, odd_texts, none):
     bench = [(1, odd_texts[7][1]), (2, "été à la")]
     table = spark.createDataFrame([(i, t, "x") for i, t in bench], "item_id long, text string, doc_id string")
