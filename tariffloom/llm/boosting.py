@@ -88,13 +88,16 @@ def fit_isotonic(margin: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndar
     """Pool adjacent violators: knots of a non-decreasing map of margins to probabilities, one prior row of each class."""
     if len(y) == 0:
         return np.array([0.0]), np.array([0.5])
-    order = np.argsort(margin, kind="stable")
+    # rows of one margin are one point; a weak row of each class at the ends keeps probabilities off 0 and 1
+    places, at = np.unique(margin, return_inverse=True)
+    sums, weights = np.bincount(at, y).astype(float), np.bincount(at).astype(float)
+    for end in (0, -1):
+        sums[end] += 0.5
+        weights[end] += 1
     blocks: list[list[float]] = []  # mean, weight, lowest, highest
-    # one weak row of each class at the ends keeps probabilities off 0 and 1
-    points = [(margin[order[0]], 0.5), *zip(margin[order], y[order]), (margin[order[-1]], 0.5)]
-    for m, v in points:
-        blocks.append([float(v), 1.0, float(m), float(m)])
-        while len(blocks) > 1 and (blocks[-2][0] >= blocks[-1][0] or blocks[-2][3] == blocks[-1][2]):
+    for m, v, w in zip(places.tolist(), (sums / weights).tolist(), weights.tolist()):
+        blocks.append([v, w, m, m])
+        while len(blocks) > 1 and blocks[-2][0] >= blocks[-1][0]:
             v2, w2, _, high = blocks.pop()
             v1, w1, low, _ = blocks.pop()
             blocks.append([(v1 * w1 + v2 * w2) / (w1 + w2), w1 + w2, low, high])
