@@ -3,12 +3,13 @@
 Words are runs of ``[^\\x20\\x09-\\x0D]`` after lower-casing A-Z; a text is its words and one end token.
 
 1. Word counts of all training texts: counted in each task, summed after one shuffle. The table has every word.
-2. Each token belongs to one of a fixed number of classes: the ``OWN`` most frequent words have one each, the end has
-   one, any other word falls into one of ``ENDINGS`` by a hash of its last bytes. Latent states emit classes; a class emits its
+2. Each token belongs to one of a fixed number of classes: the ``OWN`` most frequent words of at most ``LONGEST`` bytes have one
+   each, the end has one, any other word falls into one of ``ENDINGS`` by a hash of its last bytes. Latent states emit classes; a class emits its
    words by their counts, P(w | class) = (c + D) / (C + D (V + 1)) with C and V the class's tokens and distinct words. So
    the emission table is of fixed size, and yet every word of the corpus has its own probability.
 3. Baum-Welch: each round passes over all training sequences; each task accumulates expected counts of starts, transitions
-   and emissions, which are added up in two steps. Training cuts texts into pieces of ``PIECE`` tokens.
+   and emissions, which are added up in two steps. A text is one sequence however long it is: it is held in pieces of ``PIECE``
+   tokens, and the states at their cuts are carried on, forward and backward.
 4. Score: log10 of P(text), the forward recursion over the whole text, scaled at each token, times the words within their
    classes. Counts of frequent words travel with the model (at most ``FREQUENT`` words of at most ``LONGEST`` bytes);
    those of all others are looked up by a join on the word.
@@ -116,9 +117,10 @@ class Classes(dict):
 def vocabulary(counts: DataFrame) -> Vocabulary:
     word = F.col("word")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    # frequent words: all above a threshold of the binned counts, so that at most ``FREQUENT`` are gathered
-    scale = F.floor(F.log2("n") * 16).cast("int")
     short = counts.filter(F.length(word) <= LONGEST)
+    ranked = {bytes(r["word"]): r["n"] for r in short.filter(word != F.lit(END)).orderBy(F.desc("n"), word).limit(OWN).collect()}
+    # more frequent words, to be looked up at once: all above a threshold of the binned counts, at most ``FREQUENT``
+    scale = F.floor(F.log2("n") * 16).cast("int")
     bins = sorted(short.groupBy(scale.alias("bin")).agg(F.count("*").alias("k")).collect(), reverse=True)
     lowest, held = None, 0
     for b in bins:
@@ -126,11 +128,11 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
         if held > FREQUENT:
             break
         lowest = b["bin"]
-    frequent = {} if lowest is None else {
-        bytes(r["word"]): r["n"] for r in short.filter(scale >= lowest).toLocalIterator()}
+    frequent = dict(ranked)
+    if lowest is not None:
+        frequent |= {bytes(r["word"]): r["n"] for r in short.filter(scale >= lowest).toLocalIterator()}
     ends = counts.filter(word == F.lit(END)).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     frequent[END] = ends  # asked for by every text
-    ranked = sorted((w for w in frequent if w != END), key=lambda w: (-frequent[w], w))[:OWN]
     own = {w: k for k, w in enumerate(ranked)} | {END: OWN + ENDINGS}
     by_ending = counts.groupBy((F.crc32(F.substring(word, -3, 3)) % ENDINGS).cast("int").alias("ending")).agg(
         F.sum("n").alias("n"), F.count("*").alias("k"))
@@ -190,50 +192,75 @@ def unpacked(counts: np.ndarray, states: int) -> tuple[np.ndarray, np.ndarray, n
     return counts[:states], counts[states:states * (states + 1)].reshape(states, states), counts[states * (states + 1):].reshape(states, -1)
 
 
-def expected_counts(pieces: list[np.ndarray], model: Model) -> np.ndarray:
-    """Forward-backward over a batch of sequences: expected starts, transitions and emissions in one array."""
-    pieces = sorted(pieces, key=len, reverse=True)
-    sizes = np.array([len(p) for p in pieces])
-    steps, rows, states = int(sizes[0]), len(pieces), len(model.start)
-    seen = np.zeros((steps, rows), np.int64)
-    for k, p in enumerate(pieces):
-        seen[:len(p), k] = p
-    active = np.searchsorted(-sizes, -np.arange(steps), side="left")  # sequences longer than t
-    by_class, move = np.ascontiguousarray(model.emit.T), model.move
-    chance = by_class[seen]
-    alpha, beta, scale = np.zeros_like(chance), np.zeros_like(chance), np.ones((steps, rows))
-    for t in range(steps):
-        n = active[t]
-        a = (model.start if t == 0 else alpha[t - 1, :n] @ move) * chance[t, :n]
+def forward(seen: np.ndarray, active: np.ndarray, model: Model, before: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Scaled forward states of a piece, its scales and the chance of each token. ``before``: states at the end of the piece before."""
+    chance = np.ascontiguousarray(model.emit.T)[seen]
+    alpha, scale = np.zeros_like(chance), np.ones(seen.shape)
+    for t, n in enumerate(active):
+        if t:
+            a = (alpha[t - 1, :n] @ model.move) * chance[t, :n]
+        else:
+            a = (model.start if before is None else before[:n] @ model.move) * chance[0, :n]
         scale[t, :n] = a.sum(1)
         alpha[t, :n] = a / scale[t, :n, None]
-    beta[steps - 1, :active[-1]] = 1
-    later = np.zeros_like(chance)
-    for t in range(steps - 2, -1, -1):
-        n = active[t + 1]
-        later[t + 1, :n] = chance[t + 1, :n] * beta[t + 1, :n] / scale[t + 1, :n, None]
-        beta[t, :n] = later[t + 1, :n] @ move.T
-        beta[t, n:active[t]] = 1
-    gamma = alpha * beta
-    there = np.arange(steps)[:, None] < sizes
-    tokens, weight = seen[there], gamma[there]
-    emit = [np.bincount(tokens, weight[:, s], model.emit.shape[1]) for s in range(states)]
-    moves = move * (alpha[:-1].reshape(-1, states).T @ later[1:].reshape(-1, states)) if steps > 1 else np.zeros_like(move)
-    return np.concatenate([gamma[0].sum(0), moves.ravel(), np.concatenate(emit)])
+    return alpha, scale, chance
+
+
+def expected_counts(texts: list[np.ndarray], model: Model) -> np.ndarray:
+    """Forward-backward over a batch of sequences: expected starts, transitions and emissions in one array.
+
+    Only a piece of each sequence is held at once: a first pass keeps the forward states at the cuts, a second one goes back
+    from the last piece to the first and carries what comes later over the cuts.
+    """
+    texts = sorted(texts, key=len, reverse=True)
+    sizes, states, move = np.array([len(x) for x in texts]), len(model.start), model.move
+    cuts = list(range(0, int(sizes[0]), PIECE))
+
+    def piece(lo: int) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens (steps x sequences), and how many sequences have a token at each step."""
+        rows = int(np.searchsorted(-sizes, -lo, side="left"))
+        seen = np.zeros((min(int(sizes[0]) - lo, PIECE), rows), np.int64)
+        for k in range(rows):
+            part = texts[k][lo:lo + PIECE]
+            seen[:len(part), k] = part
+        return seen, np.searchsorted(-sizes, -np.arange(lo, lo + len(seen)), side="left")
+
+    before: list[np.ndarray | None] = [None]
+    for lo in cuts[:-1]:
+        before.append(forward(*piece(lo), model, before[-1])[0][-1])
+    start, moves, emit = None, np.zeros_like(move), np.zeros((states, model.emit.shape[1]))
+    after = np.zeros((0, states))  # of the first tokens behind the cut
+    for lo, state in zip(reversed(cuts), reversed(before)):
+        seen, active = piece(lo)
+        alpha, scale, chance = forward(seen, active, model, state)
+        steps, beta, later = len(seen), np.zeros_like(chance), np.zeros_like(chance)
+        for t in range(steps - 1, -1, -1):
+            n = len(after)
+            beta[t, :n] = after @ move.T
+            beta[t, n:active[t]] = 1
+            m = active[t]
+            later[t, :m] = chance[t, :m] * beta[t, :m] / scale[t, :m, None]
+            if t == steps - 1:
+                moves += alpha[t, :n].T @ after
+            after = later[t, :m]
+        gamma = alpha * beta
+        there = np.arange(steps)[:, None] < sizes[:seen.shape[1]] - lo
+        tokens, weight = seen[there], gamma[there]
+        for s in range(states):
+            emit[s] += np.bincount(tokens, weight[:, s], emit.shape[1])
+        moves += alpha[:-1].reshape(-1, states).T @ later[1:].reshape(-1, states)
+        start = gamma[0].sum(0)
+    return np.concatenate([start, (move * moves).ravel(), emit.ravel()])
 
 
 def training_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """Pieces of about equal length, ``TRAINED`` tokens with their padding at most."""
+    """Sequences of about equal length; of their pieces, those held at once have ``TRAINED`` tokens with their padding at most."""
     for batch in batches:
-        pieces = []
-        for coded in batch.column(0).to_pylist():
-            seq = np.frombuffer(coded, np.uint16)
-            pieces += [seq[k:k + PIECE] for k in range(0, len(seq), PIECE)]
-        pieces.sort(key=len, reverse=True)
+        texts = sorted((np.frombuffer(coded, np.uint16) for coded in batch.column(0).to_pylist()), key=len, reverse=True)
         at = 0
-        while at < len(pieces):
-            n = max(TRAINED // len(pieces[at]), 1)
-            yield pieces[at:at + n]
+        while at < len(texts):
+            n = max(TRAINED // min(len(texts[at]), PIECE), 1)
+            yield texts[at:at + n]
             at += n
 
 
@@ -254,8 +281,8 @@ def train(coded: DataFrame, vocab: Vocabulary, states: int = STATES, rounds: int
     def counted(now: Model):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
             total = None
-            for pieces in training_batches(batches):
-                total = expected_counts(pieces, now) + (0 if total is None else total)
+            for texts in training_batches(batches):
+                total = expected_counts(texts, now) + (0 if total is None else total)
             if total is not None:
                 yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["counts"])
         return run

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from tariffloom.llm import hidden_markov as hm
 
@@ -55,7 +56,9 @@ def test_likelihood_is_the_sum_over_all_paths():
         assert abs(got - math.log10(total)) < 1e-12
 
 
-def test_expected_counts_against_all_paths():
+@pytest.mark.parametrize("piece", [1, 2, 3, 512])
+def test_expected_counts_against_all_paths(monkeypatch, piece):
+    monkeypatch.setattr(hm, "PIECE", piece)
     model = small_model()
     seqs = [np.array(s, np.uint16) for s in ([1, 4, 2], [3, 0, 3, 1], [2])]
     start, move, emit = np.zeros(3), np.zeros((3, 3)), np.zeros((3, 5))
@@ -74,6 +77,30 @@ def test_expected_counts_against_all_paths():
         assert np.allclose(a, b)
 
 
+def test_a_long_text_trains_as_one_sequence(monkeypatch):
+    rng = np.random.default_rng(8)
+    seqs = [rng.integers(0, 5, n).astype(np.uint16) for n in (2000, 513, 512, 511, 1536, 1, 2000, 1024)]
+    cut = hm.unpacked(hm.expected_counts(seqs, small_model()), 3)
+    monkeypatch.setattr(hm, "PIECE", 4096)
+    whole = hm.unpacked(hm.expected_counts(seqs, small_model()), 3)
+    assert all(np.allclose(a, b) for a, b in zip(cut, whole))
+    start, move, emit = cut
+    assert abs(start.sum() - len(seqs)) < 1e-6  # one start a text, and every other token is moved to
+    assert abs(move.sum() - sum(len(s) - 1 for s in seqs)) < 1e-6 and abs(emit.sum() - sum(map(len, seqs))) < 1e-6
+
+
+def test_own_words_are_ranked_apart_from_the_bins(spark, monkeypatch):
+    """Words of one count: more than are looked up at once, and yet ``OWN`` of them have a class."""
+    flat = spark.range(3000).selectExpr("cast(lpad(id, 5, 'w') as binary) as word", "5L as n")
+    counts = flat.unionByName(spark.createDataFrame([(bytearray(hm.END), 900), (bytearray(b"x" * 40), 700)], flat.schema))
+    monkeypatch.setattr(hm, "FREQUENT", 1000)
+    vocab = hm.vocabulary(counts)
+    assert len(vocab.own) == hm.OWN + 1 and set(vocab.frequent) == set(vocab.own)
+    want = sorted(str(i).rjust(5, "w").encode() for i in range(3000))[:hm.OWN]
+    assert [w for w in vocab.own if w != hm.END] == want
+    assert vocab.class_tokens.sum() == 3000 * 5 + 900 + 700 and vocab.class_tokens.min() >= 0
+
+
 def test_training_never_loses_likelihood():
     rng = np.random.default_rng(6)
     seqs = [rng.integers(0, 5, rng.integers(1, 40)).astype(np.uint16) for _ in range(30)]
