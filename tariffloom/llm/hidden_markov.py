@@ -39,7 +39,8 @@ from tariffloom.llm.common import checkpointed, fold, map_batches, texts_of
 FOLDS = 10
 OWN, ENDINGS, STATES, ROUNDS = 2000, 512, 8, 5
 FREQUENT, LONGEST = 131_072, 32
-PIECE = 512
+#: Tokens of a piece, and pieces whose forward states are kept for the way back.
+PIECE, KEPT = 512, 4
 #: Words counted before they are handed on; words whose class is remembered; tokens of a training batch and of a scoring batch.
 HELD, REMEMBERED, TRAINED, SCORED = 500_000, 300_000, 1 << 17, 1 << 21
 BASE, D = 0.1, 0.3
@@ -192,25 +193,25 @@ def unpacked(counts: np.ndarray, states: int) -> tuple[np.ndarray, np.ndarray, n
     return counts[:states], counts[states:states * (states + 1)].reshape(states, states), counts[states * (states + 1):].reshape(states, -1)
 
 
-def forward(seen: np.ndarray, active: np.ndarray, model: Model, before: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Scaled forward states of a piece, its scales and the chance of each token. ``before``: states at the end of the piece before."""
+def forward(seen: np.ndarray, active: np.ndarray, model: Model, before: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Scaled forward states of a piece, and the chance of each token by its scale. ``before``: states at the end of the piece before."""
     chance = np.ascontiguousarray(model.emit.T)[seen]
-    alpha, scale = np.zeros_like(chance), np.ones(seen.shape)
+    alpha, scale, ones = np.zeros_like(chance), np.ones(seen.shape), np.ones(len(model.start))
     for t, n in enumerate(active):
         if t:
             a = (alpha[t - 1, :n] @ model.move) * chance[t, :n]
         else:
             a = (model.start if before is None else before[:n] @ model.move) * chance[0, :n]
-        scale[t, :n] = a.sum(1)
-        alpha[t, :n] = a / scale[t, :n, None]
-    return alpha, scale, chance
+        scale[t, :n] = total = a @ ones
+        np.divide(a, total[:, None], out=alpha[t, :n])
+    return alpha, chance / scale[:, :, None]
 
 
 def expected_counts(texts: list[np.ndarray], model: Model) -> np.ndarray:
     """Forward-backward over a batch of sequences: expected starts, transitions and emissions in one array.
 
-    Only a piece of each sequence is held at once: a first pass keeps the forward states at the cuts, a second one goes back
-    from the last piece to the first and carries what comes later over the cuts.
+    Only ``KEPT`` pieces of each sequence are held at once: a first pass keeps the forward states of the last ones, and of the others
+    those at the cuts; a second one goes back from the last piece to the first and carries what comes later over the cuts.
     """
     texts = sorted(texts, key=len, reverse=True)
     sizes, states, move = np.array([len(x) for x in texts]), len(model.start), model.move
@@ -226,28 +227,34 @@ def expected_counts(texts: list[np.ndarray], model: Model) -> np.ndarray:
         return seen, np.searchsorted(-sizes, -np.arange(lo, lo + len(seen)), side="left")
 
     before: list[np.ndarray | None] = [None]
-    for lo in cuts[:-1]:
-        before.append(forward(*piece(lo), model, before[-1])[0][-1])
+    kept = {}
+    for lo in cuts:
+        seen, active = piece(lo)
+        kept[lo] = seen, active, *forward(seen, active, model, before[-1])
+        kept.pop(lo - KEPT * PIECE, None)
+        before.append(kept[lo][2][-1].copy())
     start, moves, emit = None, np.zeros_like(move), np.zeros((states, model.emit.shape[1]))
     after = np.zeros((0, states))  # of the first tokens behind the cut
-    for lo, state in zip(reversed(cuts), reversed(before)):
-        seen, active = piece(lo)
-        alpha, scale, chance = forward(seen, active, model, state)
-        steps, beta, later = len(seen), np.zeros_like(chance), np.zeros_like(chance)
+    for lo, state in zip(reversed(cuts), reversed(before[:-1])):
+        if lo in kept:
+            seen, active, alpha, scaled = kept.pop(lo)
+        else:
+            seen, active = piece(lo)
+            alpha, scaled = forward(seen, active, model, state)
+        steps, beta, later = len(seen), np.zeros_like(alpha), np.zeros_like(alpha)
         for t in range(steps - 1, -1, -1):
             n = len(after)
-            beta[t, :n] = after @ move.T
-            beta[t, n:active[t]] = 1
             m = active[t]
-            later[t, :m] = chance[t, :m] * beta[t, :m] / scale[t, :m, None]
+            np.matmul(after, move.T, out=beta[t, :n])
+            beta[t, n:m] = 1
             if t == steps - 1:
                 moves += alpha[t, :n].T @ after
-            after = later[t, :m]
+            after = np.multiply(scaled[t, :m], beta[t, :m], out=later[t, :m])
         gamma = alpha * beta
         there = np.arange(steps)[:, None] < sizes[:seen.shape[1]] - lo
-        tokens, weight = seen[there], gamma[there]
-        for s in range(states):
-            emit[s] += np.bincount(tokens, weight[:, s], emit.shape[1])
+        tokens, weight = seen[there], np.ascontiguousarray(gamma[there].T)
+        for k in range(states):
+            emit[k] += np.bincount(tokens, weight[k], emit.shape[1])
         moves += alpha[:-1].reshape(-1, states).T @ later[1:].reshape(-1, states)
         start = gamma[0].sum(0)
     return np.concatenate([start, (move * moves).ravel(), emit.ravel()])
@@ -304,11 +311,11 @@ def likelihoods(coded: list[np.ndarray], model: Model) -> np.ndarray:
     offsets = (np.cumsum(sizes) - sizes)[order]
     active = np.searchsorted(-sizes[order], -np.arange(sizes.max()), side="left")
     by_class = np.ascontiguousarray(model.emit.T)
-    out = np.zeros(len(coded))
+    out, ones = np.zeros(len(coded)), np.ones(len(model.start))
     state = None
     for t, n in enumerate(active):
         a = (model.start if t == 0 else state[:n] @ model.move) * by_class[flat[offsets[:n] + t]]
-        scale = a.sum(1)
+        scale = a @ ones
         state = a / scale[:, None]
         out[:n] += np.log10(scale)
     result = np.empty(len(coded))
