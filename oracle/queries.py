@@ -54,6 +54,13 @@ SELECT 'cnct', CAST(id AS VARCHAR), count(*) FROM cnct GROUP BY id HAVING count(
 UNION ALL
 SELECT 'cnha', file_id || '|' || room_type || '|' || characteristic, count(*) FROM cnha
 GROUP BY file_id, room_type, characteristic HAVING count(*) > 1""", "ccon", "cnct", "cnha"),
+    "rule_load": _sql(" UNION ALL ".join(f"""
+SELECT '{name}' AS table_name, file_id, CAST(rules AS BIGINT) AS rules,
+       CAST(sum(rules) OVER (ORDER BY file_id) - rules + 1 AS BIGINT) AS first_id,
+       CAST(sum(rules) OVER (ORDER BY file_id) AS BIGINT) AS last_id, different, most_copies
+FROM (SELECT file_id, sum(n) AS rules, count(*) AS different, max(n) AS most_copies
+      FROM (SELECT * EXCLUDE (rule_id), count(*) AS n FROM {name} GROUP BY ALL) GROUP BY file_id)"""
+        for name in ("cnsr", "cnsu", "cngr", "cnem")), "cnsr", "cnsu", "cngr", "cnem"),
     "parse_dates": _sql(f"""
 SELECT rule_id, CASE WHEN rule_id % 11 <> 0 THEN strftime(initial_date, '%Y-%m-%d') END AS initial_date,
        {_text('final_date')} FROM cnsr""", "cnsr"),

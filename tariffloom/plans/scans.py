@@ -11,7 +11,8 @@ from tariffloom.functions.keys import md5_key, money, surrogate
 from tariffloom.operators import availability as av
 from tariffloom.operators.cache import occupancy
 from tariffloom.plans.common import COUPLE, FAMILY, query, supplier_answers
-from tariffloom.sources.stored import conform, key_violations, parse_text_dates
+from tariffloom.sources.load import COPY, load_rules
+from tariffloom.sources.stored import RULE_TABLES, conform, key_violations, parse_text_dates
 
 
 @query
@@ -52,6 +53,21 @@ def key_violation_report(t) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query
+def rule_load(t) -> DataFrame:
+    """Rule tables as they are loaded: rules of a contract, their numbers, and how many of them are different."""
+    held = load_rules(t, t.spark)
+    parts = [held.loaded(name).select(F.lit(name).alias("table_name"), "file_id", "rule_id", COPY) for name in RULE_TABLES]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    first = F.col(COPY) == 1
+    return rows.groupBy("table_name", "file_id").agg(
+        F.count(F.lit(1)).alias("rules"), F.min("rule_id").alias("first_id"), F.max("rule_id").alias("last_id"),
+        F.sum(first.cast("long")).alias("different"), F.max(COPY).alias("most_copies"),
+    )
+
+
 @query
 def parse_dates(t) -> DataFrame:
     """Text dates of the board rules, some of them dirty."""
@@ -191,6 +207,7 @@ QUERIES = {
     "scan_api_answers": scan_api_answers,
     "rejected_answers": rejected_answers,
     "key_violations": key_violation_report,
+    "rule_load": rule_load,
     "parse_dates": parse_dates,
     "interval_column": interval_column,
     "overlap_filter": overlap_filter,
