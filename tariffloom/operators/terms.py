@@ -45,8 +45,8 @@ def as_dictionary(listed: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     return coded.drop(name), coded.filter(F.col(name).isNotNull()).groupBy(key).agg(F.any_value(name).alias(name))
 
 
-def board_grouping_sets(offers: DataFrame, boards: DataFrame) -> DataFrame:
-    """Per offer: one row for the room itself with the board columns empty, and one row per board term.
+def board_grouping_sets(boards: DataFrame) -> DataFrame:
+    """Per offer of ``boards`` (the left join of offers and board rules): one row for the room itself with the board columns empty, and one row per board term.
 
     Both grouping sets come from one scan of the matched rules and are combined before the shuffle.
     """

@@ -130,7 +130,7 @@ def json_group_key(t) -> DataFrame:
 @query
 def board_grouping_sets(t) -> DataFrame:
     """Room row and board rows of every offer from two grouping sets."""
-    grouped = terms.board_grouping_sets(av.offers(t, FAMILY), _boards(t, "left"))
+    grouped = terms.board_grouping_sets(_boards(t, "left"))
     text = [F.coalesce(c, F.lit("")).alias(c) for c in
             ("room_type", "characteristic", "base_board", "board_code", "cnsr_is_per_pax", "board")]
     return grouped.select(

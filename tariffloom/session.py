@@ -26,9 +26,10 @@ def build_session(app: str = "tariffloom", master: str | None = None, **conf: st
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the SQL settings to a session that somebody else created."""
+    """Apply the SQL settings to a session that somebody else created. What its owner has set stays."""
     for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
     return spark
 
 

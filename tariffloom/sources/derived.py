@@ -2,8 +2,8 @@
 
 The shared data holds no contracts, so each contract table is a fixed projection of a shared one: suppliers are
 contracts, line items are dated room prices and rules, orders are board rules, and so on. Every derivation is a
-plain projection (plus a join to a dimension), so filters on it still reach the Parquet scan. Amounts are whole
-cents, so both engines see the same doubles.
+plain projection (plus a join to a dimension), so filters on its plain columns, such as the first date, still reach the
+Parquet scan; those on computed ones, such as the last date, don't. Amounts are whole cents, so both engines see the same doubles.
 """
 
 from __future__ import annotations

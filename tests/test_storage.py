@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tariffloom import schemas
 from tariffloom.plans.common import COUPLE, FAMILY
+from tariffloom.session import tune
 from tariffloom.search import discounts_for_stay, search, search_cache, search_cache_rules
 from tariffloom.operators.availability import nightly_rows
 from tariffloom.operators.cache import build_cache, build_nightly_cache
@@ -82,6 +83,15 @@ def test_stored_respects_the_shared_folder(spark, tmp_path):
     assert used.removeprefix("file:") in df.inputFiles()[0].removeprefix("file://")
 
 
+def test_settings_of_the_owner_stay(spark):
+    other, key = spark.newSession(), "spark.sql.adaptive.skewJoin.enabled"
+    other.conf.set(key, "false")
+    other.conf.unset("spark.sql.requireAllClusterKeysForDistribution")
+    tune(other)
+    assert other.conf.get(key) == "false" and other.conf.get("spark.sql.requireAllClusterKeysForDistribution") == "true"
+    assert spark.conf.get(key) == "true"
+
+
 def test_nights_of_rows_without_a_named_day(spark):
     rows = [("a", "1998-01-01", "1998-01-04", None), ("b", "1998-01-01", "1998-01-04", 2), ("c", "1998-01-04", "1998-01-04", None),
             ("d", "1998-01-09", "1998-01-04", None)]
