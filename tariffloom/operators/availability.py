@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tariffloom.functions import intervals as iv
 from tariffloom.functions import party
 from tariffloom.functions.keys import md5_key
-from tariffloom.operators.interval_join import overlap_join
 from tariffloom.params import Stay
 from tariffloom.schemas import MONEY
 
@@ -119,36 +118,106 @@ def fully_covered(rows: DataFrame, key: tuple[str, ...] | list[str], words: list
     return sums
 
 
-def rooms_for_requests(prices: DataFrame, requests: DataFrame, key: tuple[str, ...] = ROOM_KEY) -> DataFrame:
-    """``sold_rooms`` for a whole table of stays in one plan: per request (request_id, file_id, check_in, check_out, nights) the rooms of its
-    contract with a price for every night, their summed nights and amounts.
+# A window of level k is SPAN * 16^k days long and has REACH * 16^k more at its end, so that a stay of up to REACH * 16^k nights lies in the
+# window in which it begins. The last level holds every stay.
+SPAN_BITS, REACH, LEVEL_BITS, LEVELS = 9, 64, 4, 8
+CROWDED, BUCKETS = 16384, 4096
+SHARED, SUM = "decimal(26,7)", "decimal(36,7)"  # a product with nights and a sum of two keep their scale
+
+
+def _shifted(name: str, value: Column, bits: Column | int) -> Column:
+    return F.call_function(name, value.cast("long"), F.lit(bits) if isinstance(bits, int) else bits)
+
+
+def stay_window(check_in: Column, check_out: Column) -> Column:
+    """Number of the window a stay lies in: its place in the calendar, times ``LEVELS``, and the level."""
+    nights = F.datediff(check_out, check_in)
+    level = F.coalesce(*[F.when(nights <= REACH << LEVEL_BITS * k, F.lit(k)) for k in range(LEVELS - 1)], F.lit(LEVELS - 1))
+    return _shifted("shiftright", F.unix_date(check_in), level * LEVEL_BITS + SPAN_BITS) * LEVELS + level
+
+
+def asked_windows(requests: DataFrame) -> list[int]:
+    """Windows that stays lie in, at most a few thousand in a calendar of ten thousand years."""
+    asked = requests.filter("check_in < check_out").select(stay_window(F.col("check_in"), F.col("check_out")).alias("w")).distinct()
+    return sorted(r.w for r in asked.collect())
 
-    Stays meet price rows of their contract where the two overlap, by bins of dates, so a contract with many prices and many
-    requests doesn't build their product. Covered nights are bits counted from a request's own check-in.
-    """
-    wanted = requests.filter("check_in < check_out").withColumn("nights", F.datediff("check_out", "check_in"))
-    longest = wanted.agg(F.max("nights")).first()[0] or 0
-    met = overlap_join(
-        wanted.select("request_id", "file_id", "check_in", "check_out", F.col("nights").alias("stay_nights")),
-        prices.select(*key, "initial_date", "final_date", "amount"), ["file_id"], ("check_in", "check_out", "initial_date", "final_date"))
-    shared = met.withColumn("nights", iv.common_nights(F.col("initial_date"), F.col("final_date"), F.col("check_in"), F.col("check_out")))
-    first = F.greatest(F.datediff("initial_date", "check_in"), F.lit(0))
-    last = F.least(F.datediff("final_date", "check_in"), F.col("stay_nights"))
-    sums = shared.groupBy("request_id", *key, "stay_nights").agg(
-        F.sum("nights").cast("bigint").alias("sum_nights"), F.sum(F.col("nights") * F.col("amount").cast(MONEY)).alias("stay_amount"),
-        *[F.bit_or(_bits(first, last, base)).alias(f"covered_{base}") for base in range(0, longest, NIGHTS_A_WORD)])
-    for base in range(0, longest, NIGHTS_A_WORD):
-        full = _bits(F.lit(0), F.col("stay_nights"), base)
-        sums = sums.filter(F.col(f"covered_{base}") == full).drop(f"covered_{base}")
-    return sums
 
+def _touched(lo: Column, hi: Column, windows: list[int]) -> Column:
+    """Those of ``windows`` that share a day with [lo, hi), days as numbers."""
+    out = [F.array().cast("array<long>")]
+    for k in sorted({w % LEVELS for w in windows}):
+        places, bits = [w // LEVELS for w in windows if w % LEVELS == k], SPAN_BITS + LEVEL_BITS * k
+        first = F.greatest(_shifted("shiftright", lo.cast("long") - (REACH << LEVEL_BITS * k), bits), F.lit(places[0]))
+        last = F.least(_shifted("shiftright", hi.cast("long") - 1, bits), F.lit(places[-1]))
+        if places[-1] - places[0] + 1 == len(places):
+            met = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<long>"))
+        else:  # windows with gaps: a price row without an end is not expanded over them
+            met = F.filter(F.array(*[F.lit(p).cast("long") for p in places]), lambda p: (p >= first) & (p <= last))  # noqa: B023
+        out.append(F.transform(met, lambda p: p * LEVELS + k))  # noqa: B023
+    return F.concat(*out)
 
-def _bits(first: Column, last: Column, base: int) -> Column:
-    """Nights first .. last - 1 as bits of the word that begins at night ``base``."""
-    a = F.least(F.greatest(first - base, F.lit(0)), F.lit(NIGHTS_A_WORD))
-    b = F.least(F.greatest(last - base, F.lit(0)), F.lit(NIGHTS_A_WORD))
-    one = F.lit(1).cast("long")
-    return F.when(b > a, F.call_function("shiftleft", one, b) - F.call_function("shiftleft", one, a)).otherwise(F.lit(0).cast("long"))
+
+def crowded_contracts(prices: DataFrame, most: int = CROWDED) -> list[int]:
+    """Hash buckets of the contracts with more than ``most`` price rows, at most ``BUCKETS`` numbers at any size."""
+    counts = prices.groupBy("file_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most)
+    return [r.bucket for r in counts.select(_bucket().alias("bucket")).distinct().collect()]
+
+
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("file_id"), F.lit(BUCKETS)).cast("int")
+
+
+def room_windows(prices: DataFrame, windows: list[int], key: tuple[str, ...] = ROOM_KEY, crowded_over: int = CROWDED) -> DataFrame:
+    """A row per room and window in which it has a price: ``_held``, its dates cut to the window, in order, with the number of price rows and
+    their summed amount.
+
+    Rows of crowded contracts with equal dates are summed up first, combined before their shuffle, so that a list is bounded by the dates of a
+    window, or by ``crowded_over``, however many rows a room has.
+    """
+    lo, hi = F.col("_lo"), F.col("_hi")
+    days = prices.filter("initial_date < final_date").select(
+        *key, F.unix_date("initial_date").alias("_lo"), F.unix_date("final_date").alias("_hi"), F.col("amount").cast(MONEY).alias("_amount"))
+    level, place = F.col("_window").bitwiseAND(LEVELS - 1).cast("int"), _shifted("shiftright", F.col("_window"), 3)
+    start = _shifted("shiftleft", place, level * LEVEL_BITS + SPAN_BITS)
+    end = start + _shifted("shiftleft", F.lit((1 << SPAN_BITS) + REACH), level * LEVEL_BITS)
+    cut = days.withColumn("_window", F.explode(_touched(lo, hi, windows))).select(
+        *key, "_window", F.greatest(lo, start).cast("int").alias("_lo"), F.least(hi, end).cast("int").alias("_hi"), "_amount")
+    crowded = crowded_contracts(prices, crowded_over) if windows else []
+    one = [F.lit(1).cast("long").alias("_n"), F.col("_amount").cast(SHARED).alias("_amount")]
+    rows = cut.filter(~_bucket().isin(crowded)) if crowded else cut
+    rows = rows.select(*key, "_window", "_lo", "_hi", *one)
+    if crowded:
+        rows = rows.unionByName(cut.filter(_bucket().isin(crowded)).groupBy(*key, "_window", "_lo", "_hi").agg(
+            F.count(F.lit(1)).alias("_n"), F.sum("_amount").cast(SHARED).alias("_amount")))
+    return rows.groupBy(*key, "_window").agg(F.sort_array(F.collect_list(F.struct("_lo", "_hi", "_n", "_amount"))).alias("_held"))
+
+
+def rooms_for_requests(prices: DataFrame, requests: DataFrame, key: tuple[str, ...] = ROOM_KEY, windows: list[int] | None = None,
+                       rooms: DataFrame | None = None, crowded_over: int = CROWDED) -> DataFrame:
+    """``sold_rooms`` for a whole table of stays in one plan: per request (file_id, check_in, check_out; other columns come along) the rooms of
+    its contract with a price for every night, their summed nights and amounts, and the columns of ``rooms`` (by room) where it is given.
+
+    Price rows are gathered once by room and window of the calendar, and a stay lies in one window of a room. So a request meets a room in
+    one row, and what is found, many times the input, is not shuffled again.
+    """
+    wanted = requests.filter("check_in < check_out").withColumns({
+        "stay_nights": F.datediff("check_out", "check_in"), "_in": F.unix_date("check_in"), "_out": F.unix_date("check_out"),
+        "_window": stay_window(F.col("check_in"), F.col("check_out"))})
+    held = room_windows(prices, asked_windows(requests) if windows is None else windows, key, crowded_over)
+    if rooms is not None:
+        held = held.join(rooms, ROOM)
+    first, past = F.col("_in"), F.col("_out")
+    shared = F.filter("_held", lambda e: (e["_lo"] < past) & (e["_hi"] > first))
+    reached = lambda rows: F.aggregate(rows, first, lambda day, e: F.when(e["_lo"] <= day, F.greatest(day, e["_hi"])).otherwise(day))
+    met = wanted.join(held, ["file_id", "_window"]).withColumn("_met", F.explode(F.filter(F.array(shared), lambda rows: reached(rows) >= past)))
+    nights = lambda e: F.least(e["_hi"], past) - F.greatest(e["_lo"], first)
+    amounts = F.transform("_met", lambda e: (nights(e).cast("decimal(9,0)") * e["_amount"]).cast(SUM))
+    known = F.filter(amounts, lambda x: x.isNotNull())
+    total = F.aggregate(known, F.lit(0).cast(SUM), lambda a, x: (a + x).cast(SUM))
+    return met.withColumns({
+        "sum_nights": F.aggregate("_met", F.lit(0).cast("long"), lambda a, e: a + nights(e) * e["_n"]),
+        "stay_amount": F.when(F.size(known) > 0, total).cast("decimal(38,7)"),
+    }).drop("_window", "_in", "_out", "_held", "_met")
 
 
 def with_party(contracts: DataFrame, ages: Column) -> DataFrame:

@@ -42,20 +42,18 @@ def search_requests(tables, requests: DataFrame, supplier_id: int = 5) -> DataFr
     equal in all columns are searched once, others that share an id each by itself.
     """
     columns = ["request_id", "file_id", "check_in", "check_out", "ages"]
-    asked = requests.select(*columns).distinct().withColumnRenamed("request_id", "asked_id").withColumn(
-        "request_id", F.md5(F.to_json(F.struct("asked_id", *columns[1:]))))
     hotels = tables.table("hotel_supplier").filter(F.col("supplier_id") == supplier_id)
-    rooms = availability.rooms_for_requests(tables.table("cnct"), asked)
-    parties = asked.select("request_id", "asked_id", "file_id", "ages").join(availability.sold_contracts(tables, hotels), "file_id")
-    classified = availability.with_party(parties, F.col("ages")).select("request_id", "asked_id", "contract_name", "city_code", "paxes", "adults", "childes")
+    asked = requests.select(*columns).distinct().join(availability.sold_contracts(tables, hotels), "file_id")
+    parties = availability.with_party(asked, F.col("ages")).select(
+        "request_id", "file_id", "check_in", "check_out", "contract_name", "city_code", "paxes", "adults", "childes")
+    found = availability.rooms_for_requests(
+        tables.table("cnct"), parties, windows=availability.asked_windows(requests),
+        rooms=tables.table("cnha").select(*ROOM, "max_pax", "max_children"))
     nightly = F.col("stay_amount").cast("double") / F.col("sum_nights")
-    return (
-        rooms.join(tables.table("cnha").select(*ROOM, "max_pax", "max_children"), ROOM)
-        .join(classified, "request_id")
-        .filter(availability.fits(F.col("paxes"), F.col("childes")))
-        .withColumn("price", px.room_total(nightly, F.col("is_price_per_pax"), F.col("paxes")) * F.col("stay_nights"))
-        .withColumn("request_id", F.col("asked_id"))
-        .drop("asked_id")
+    return found.filter(availability.fits(F.col("paxes"), F.col("childes"))).select(
+        "request_id", *ROOM, "base_board", "is_price_per_pax", "stay_nights", "sum_nights", "stay_amount", "max_pax", "max_children",
+        "contract_name", "city_code", "paxes", "adults", "childes",
+        (px.room_total(nightly, F.col("is_price_per_pax"), F.col("paxes")) * F.col("stay_nights")).alias("price"),
     )
 
 

@@ -72,6 +72,43 @@ def test_requests_are_searched_like_single_stays(spark):
     assert len(want) > 10 and got == sorted(want)
 
 
+def test_a_request_meets_a_room_in_one_row(spark):
+    """Short, long and very long stays and prices, dirty dates, prices without an amount, many prices of equal dates: against plain sums, with
+    and without rows of equal dates summed up first. What is found isn't gathered again."""
+    rng = random.Random(8)
+    prices = [("hot", "R", "A", "BB", "Y", DAY, DAY + dt.timedelta(days=9), 7.0)] * 300
+    for i in range(400):
+        lo = DAY + dt.timedelta(days=rng.choice([rng.randint(-90, 90), rng.randint(-9_000, 9_000)]))
+        hi = rng.choice([lo + dt.timedelta(days=rng.choice([0, -4, 1, 5, 60, 400, 3000])), dt.date(9999, 12, 31), None])
+        prices.append((rng.choice(["hot", "b", None]), rng.choice(["R", "S", None]), "A", "BB", rng.choice("YN"), lo, hi, rng.choice([None, 1.0, 2.5])))
+    asked = [(i, rng.choice(["hot", "b"]), lo, lo + dt.timedelta(days=rng.choice([1, 3, 9, 64, 65, 1024, 1025, 9000, 0])))
+             for i in range(60) for lo in [DAY + dt.timedelta(days=rng.randint(-600, 600))]]
+    asked += [(60, "hot", dt.date(1, 1, 1), dt.date(9999, 12, 31)), (61, "hot", dt.date(9990, 1, 1), dt.date(9990, 1, 4)), (62, None, DAY, DAY + dt.timedelta(days=1)), (63, "b", None, DAY)]
+    cnct = spark.createDataFrame(prices, "file_id string, room_type string, characteristic string, base_board string, is_price_per_pax string, "
+                                 "initial_date date, final_date date, amount double").repartition(3)
+    requests = spark.createDataFrame(asked, "request_id long, file_id string, check_in date, check_out date")
+    want = []
+    for i, f, ci, co in asked:
+        for room in {p[:5] for p in prices if f and ci and p[0] == f}:
+            met = [(max(ci, p[5]), min(co, p[6]), p[7]) for p in prices if p[:5] == room and p[6] and max(ci, p[5]) < min(co, p[6])]
+            day = ci
+            for lo, hi, _ in sorted(met, key=lambda m: m[:2]):
+                day = max(day, hi) if lo <= day else day
+            if met and day >= co:
+                known = [(hi - lo).days * a for lo, hi, a in met if a is not None]
+                want.append((i, *map(str, room), (co - ci).days, sum((hi - lo).days for lo, hi, _ in met), sum(known) if known else None))
+    assert len(want) > 40
+    for crowded_over in (0, av.CROWDED):
+        found = av.rooms_for_requests(cnct, requests, crowded_over=crowded_over)
+        got = [(r.request_id, *map(str, [r[c] for c in av.ROOM_KEY]), r.stay_nights, r.sum_nights, None if r.stay_amount is None else float(r.stay_amount))
+               for r in found.collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+        assert "Aggregate" not in found._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    held = av.room_windows(cnct, av.asked_windows(requests), crowded_over=0)
+    assert held.agg(F.max(F.size("_held"))).first()[0] < 300  # before: a row a price
+    assert av.rooms_for_requests(cnct, requests.limit(0)).count() == 0
+
+
 @here
 def test_list_comes_in_pricing_order(spark):
     rows = QUERIES["rule_order"](spark, SF).collect()
