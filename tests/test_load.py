@@ -11,8 +11,9 @@ from tariffloom import schemas
 from tariffloom.operators import rules
 from tariffloom.params import FAMILY
 from tariffloom.search import search
+from tariffloom.sources import load
 from tariffloom.sources.derived import DerivedContracts
-from tariffloom.sources.load import COPY, bucket_count, load_contracts, numbered
+from tariffloom.sources.load import CHUNK, COPY, bucket_count, contract_rows, load_contracts, numbered
 from tariffloom.sources.stored import conform
 
 SF = "/root/testdata/sf0.001"
@@ -74,6 +75,32 @@ def test_buckets_join_without_a_shuffle_unless_a_contract_is_crowded(spark, tmp_
     assert [bucket_count([spark.range(n)], 100) for n in (0, 100, 101, 1000)] == [1, 1, 2, 16]
 
 
+def test_rules_in_buckets_are_dealt_once_and_numbered_alike(spark, tmp_path):
+    """The numbers of the tables in buckets are those of the crowded one; a rule of more copies than a chunk."""
+    cngr = conform(spark.createDataFrame([(f"c{k % 41:02}", k % 3) for k in range(500)], "file_id string, frees int"), "cngr")
+    made = Frames(cngr=cngr, cnsr=board_rules(spark), cnsu=conform(spark.createDataFrame([], "file_id string"), "cnsu"))
+    shuffled = lambda name: sum(
+        "Exchange hashpartitioning" in line or "Exchange rangepartitioning" in line for line in plan(name).splitlines())
+    found = []
+    for per_bucket in (500, 10):
+        held = load_contracts(made, spark, f"alike{per_bucket}", ("cngr", "cnsr", "cnsu"), str(tmp_path / str(per_bucket)), per_bucket)
+        found.append({name: sorted(map(tuple, held.loaded(name).select("rule_id", F.coalesce("file_id", F.lit("")), COPY, F.to_json(
+            F.struct(*made.frames[name].columns))).collect())) for name in made.frames})
+        for name in made.frames:
+            spark.sql(f"DROP TABLE alike{per_bucket}_{name}")
+    assert found[0] == found[1] and not found[0]["cnsu"]
+    for name in ("cngr", "cnsr"):
+        assert [r[0] for r in found[0][name]] == list(range(1, made.frames[name].count() + 1))
+    counted = contract_rows({"cngr": cngr, "cnsr": made.frames["cnsr"]}).collect()
+    assert sum(r["_n"] for r in counted) == 1700 and sorted(r["_before"] for r in counted)[0] == 0
+    rows = made.frames["cnsr"]
+    earlier = spark.createDataFrame([("hot", 800)], "file_id string, _offset long")
+    assert shuffled(load.numbered_in_buckets(rows, earlier, 4)) == 2  # the rows and the offsets; before: rows of all columns four times
+    many = conform(spark.range(2 * CHUNK + 5).selectExpr("'hot' as file_id", "'HB' as board_code"), "cnsr")
+    r = numbered(many).agg(F.count(F.lit(1)), F.countDistinct("rule_id"), F.countDistinct(COPY), F.max("rule_id"), F.max(COPY)).first()
+    assert set(r) == {2 * CHUNK + 5}
+
+
 @here
 def test_loaded_contracts_are_searched_alike_and_scans_are_pruned(spark, tmp_path):
     made = DerivedContracts(spark, SF)
