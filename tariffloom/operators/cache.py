@@ -30,28 +30,38 @@ def rooms_of_supplier(tables, supplier_id: int) -> DataFrame:
     )
 
 
-# slots that are no bin of the calendar: a room's own board, which has neither rate nor dates, and rules that are few enough
-OWN_BOARD, PLAIN = -(1 << 60), -(1 << 59)
+# slots that are no bin of the calendar: one for each bucket of rates, with the rules that are few enough and a room's own board
+PLAIN, RATES = -(1 << 59), 8
 CROWDED, BUCKETS = 512, 4096
 
 
 def crowded_buckets(cnsr: DataFrame, most: int = CROWDED) -> list[int]:
-    """Hash buckets of the (contract, rate) pairs with more than ``most`` board rules: at most ``BUCKETS`` numbers at any size. Both sides of
-    the join look their bucket up, so that they agree, and a pair that shares a crowded one's bucket is binned as well."""
-    counts = cnsr.groupBy("file_id", F.col("rate").cast("string").alias("rate")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most)
+    """Hash buckets of the (contract, bucket of rates) pairs with more than ``most`` board rules: at most ``BUCKETS`` numbers at any size. Both
+    sides of the join look their bucket up, so that they agree, and a pair that shares a crowded one's bucket is binned as well."""
+    rates = cnsr.filter(F.col("rate").isNotNull()).select("file_id", _plain_slot(F.col("rate").cast("string")).alias("rate"))
+    counts = rates.groupBy("file_id", "rate").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most)
     return [r.bucket for r in counts.select(_bucket("file_id", "rate").alias("bucket")).distinct().collect()]
 
 
-def _bucket(file_id: str, rate: str) -> Column:
-    return F.pmod(F.xxhash64(file_id, rate), F.lit(BUCKETS)).cast("int")
+def _bucket(file_id: str, rates: str | Column) -> Column:
+    return F.pmod(F.xxhash64(file_id, rates), F.lit(BUCKETS)).cast("int")
+
+
+def _plain_slot(rate: Column) -> Column:
+    return F.lit(PLAIN) - F.pmod(F.xxhash64(rate), F.lit(RATES)).cast("long")
 
 
 def _in_bins(rate: str, crowded: list[int]) -> Column:
-    return _bucket("file_id", rate).isin(crowded) if crowded else F.lit(False)
+    return _bucket("file_id", _plain_slot(F.col(rate))).isin(crowded) if crowded else F.lit(False)
+
+
+def _key_rate(rate: Column) -> Column:
+    """In bins of the calendar the rate is in the key, in a bucket of rates it is compared afterwards."""
+    return F.when(F.col("slot") > PLAIN, rate).otherwise(F.lit(""))
 
 
 def board_choices(rooms: DataFrame, cnsr: DataFrame, crowded: list[int]) -> DataFrame:
-    """Every room once with its base board (no rule), and once per board rule it may take and slot of the rule.
+    """Every room with its base board (no rule) once in each bucket of rates, and once per board rule it may take and slot of the rule.
 
     Wildcards are resolved here, on the room dimension, so the price facts are joined once and on exact keys. A rule
     without a rate matches no price row of the cache and is left out, as is one of no day.
@@ -67,35 +77,34 @@ def board_choices(rooms: DataFrame, cnsr: DataFrame, crowded: list[int]) -> Data
     )
     base = rooms.withColumns({
         "cnsr_amount": F.lit(0.0), "cnsr_percentage": F.lit(0.0), "cnsr_is_per_pax": F.lit(""),
-        "cnsr_pax_ages": iv.empty_int_range(), "rule_rate": F.lit(""), "slot": F.lit(OWN_BOARD),
+        "cnsr_pax_ages": iv.empty_int_range(), "slot": F.explode(F.sequence(F.lit(PLAIN - RATES + 1), F.lit(PLAIN))),
     })
-    plain = F.array(F.lit(PLAIN))
+    plain = F.array(_plain_slot(F.col("rule_rate")))
     slots = F.when(_in_bins("rule_rate", crowded), bins.right_slots(F.col("rule_lo"), F.col("rule_hi"))).otherwise(plain) if crowded else plain
     taken = match_rules(rooms, supplements).drop("rule_id").withColumn("slot", F.explode(slots))
-    return base.unionByName(taken, allowMissingColumns=True)
+    return base.unionByName(taken, allowMissingColumns=True).withColumn("key_rate", _key_rate(F.col("rule_rate")))
 
 
 def boarded_prices(prices: DataFrame, choices: DataFrame, crowded: list[int]) -> DataFrame:
-    """Price rows next to the boards they can be served with, before the dates of a pair are compared.
+    """Price rows next to the boards they can be served with, before rates and dates of a pair are compared.
 
-    The rate is in the key, and where a contract has very many rules of a rate, bins of dates are too: a room with many dated
-    prices and many rules doesn't build their product.
+    A price row meets its own board and the rules in the bucket of its rate, so that it is sent once. Where a contract has very many rules of a
+    bucket, they are met by rate and bins of dates: a room with many dated prices and many rules doesn't build their product.
     """
-    own = F.array(F.lit(OWN_BOARD))
-    dated = F.array(F.lit(PLAIN))
+    slots = F.array(_plain_slot(F.col("price_rate")))
     if crowded:
-        dated = F.when(_in_bins("price_rate", crowded), bins.left_slots(F.col("initial_date"), F.col("final_date"))).otherwise(dated)
-    slots = F.when(F.col("price_rate").isNull(), own).otherwise(F.concat(own, dated))
+        dated = bins.left_slots(F.col("initial_date"), F.col("final_date"))
+        slots = F.when(F.col("price_rate").isNotNull() & _in_bins("price_rate", crowded), F.concat(slots, dated)).otherwise(slots)
     binned = prices.withColumn("price_rate", pr.rule_rate(F.col("generic_rate"), F.col("specific_rate"))).withColumn("slot", F.explode(slots))
-    keyed = binned.withColumn("rule_rate", F.when(F.col("slot") == OWN_BOARD, F.lit("")).otherwise(F.col("price_rate")))
-    return keyed.drop("price_rate").join(choices, [*ROOM, "rule_rate", "slot"])
+    return binned.withColumn("key_rate", _key_rate(F.col("price_rate"))).drop("price_rate").join(choices, [*ROOM, "key_rate", "slot"])
 
 
 def takes_board() -> Column:
-    """The own board, or a rule that shares a night with the price row: each pair passes in one slot only."""
+    """The own board, or a rule of the rate that shares a night with the price row: each pair passes in one slot only."""
     a, b, c, d = map(F.col, ("initial_date", "final_date", "rule_lo", "rule_hi"))
-    plain = (F.col("slot") == PLAIN) & iv.intersects(a, b, c, d)
-    return (F.col("slot") == OWN_BOARD) | plain | ((F.col("slot") > PLAIN) & bins.overlapping(F.col("slot"), a, b, c, d))
+    rate = F.col("rule_rate") == pr.rule_rate(F.col("generic_rate"), F.col("specific_rate"))
+    plain, own = F.col("slot") <= PLAIN, F.col("rule_lo").isNull()
+    return (plain & (own | (rate & iv.intersects(a, b, c, d)))) | (~plain & bins.overlapping(F.col("slot"), a, b, c, d))
 
 
 def build_cache(tables, supplier_id: int = 5, crowded_over: int = CROWDED) -> DataFrame:
