@@ -82,7 +82,8 @@ def board_choices(rooms: DataFrame, cnsr: DataFrame, crowded: list[int]) -> Data
     plain = F.array(_plain_slot(F.col("rule_rate")))
     slots = F.when(_in_bins("rule_rate", crowded), bins.right_slots(F.col("rule_lo"), F.col("rule_hi"))).otherwise(plain) if crowded else plain
     taken = match_rules(rooms, supplements).drop("rule_id").withColumn("slot", F.explode(slots))
-    return base.unionByName(taken, allowMissingColumns=True).withColumn("key_rate", _key_rate(F.col("rule_rate")))
+    met = base.unionByName(taken, allowMissingColumns=True)
+    return met.withColumn("key_rate", _key_rate(F.col("rule_rate"))) if crowded else met
 
 
 def boarded_prices(prices: DataFrame, choices: DataFrame, crowded: list[int]) -> DataFrame:
@@ -91,12 +92,18 @@ def boarded_prices(prices: DataFrame, choices: DataFrame, crowded: list[int]) ->
     A price row meets its own board and the rules in the bucket of its rate, so that it is sent once. Where a contract has very many rules of a
     bucket, they are met by rate and bins of dates: a room with many dated prices and many rules doesn't build their product.
     """
-    slots = F.array(_plain_slot(F.col("price_rate")))
-    if crowded:
-        dated = bins.left_slots(F.col("initial_date"), F.col("final_date"))
-        slots = F.when(F.col("price_rate").isNotNull() & _in_bins("price_rate", crowded), F.concat(slots, dated)).otherwise(slots)
-    binned = prices.withColumn("price_rate", pr.rule_rate(F.col("generic_rate"), F.col("specific_rate"))).withColumn("slot", F.explode(slots))
-    return binned.withColumn("key_rate", _key_rate(F.col("price_rate"))).drop("price_rate").join(choices, [*ROOM, "key_rate", "slot"])
+    return sent_prices(prices, crowded).join(choices, [*ROOM, "slot", "key_rate"] if crowded else [*ROOM, "slot"])
+
+
+def sent_prices(prices: DataFrame, crowded: list[int]) -> DataFrame:
+    """Price rows by slot: one row each, and more only where a contract has very many rules."""
+    rated = prices.withColumn("price_rate", pr.rule_rate(F.col("generic_rate"), F.col("specific_rate")))
+    plain = _plain_slot(F.col("price_rate"))
+    if not crowded:
+        return rated.withColumn("slot", plain).drop("price_rate")
+    dated = bins.left_slots(F.col("initial_date"), F.col("final_date"))
+    binned = F.when(F.col("price_rate").isNotNull() & _in_bins("price_rate", crowded), F.concat(F.array(plain), dated)).otherwise(F.array(plain))
+    return rated.withColumn("slot", F.explode(binned)).withColumn("key_rate", _key_rate(F.col("price_rate"))).drop("price_rate")
 
 
 def takes_board() -> Column:
@@ -107,8 +114,9 @@ def takes_board() -> Column:
     return (plain & (own | (rate & iv.intersects(a, b, c, d)))) | (~plain & bins.overlapping(F.col("slot"), a, b, c, d))
 
 
-def build_cache(tables, supplier_id: int = 5, crowded_over: int = CROWDED) -> DataFrame:
-    """Base boards and supplementary boards in one pass over the price facts.
+def build_cache(tables, supplier_id: int = 5, crowded_over: int = CROWDED, by_city: bool = False) -> DataFrame:
+    """Base boards and supplementary boards in one pass over the price facts; ``by_city`` deals them by city for ``write_cache``, before the
+    columns of the cache make them wide.
 
     The union is on the side of the rooms, so the facts are read once; dates of crowded contracts meet in bins (``interval_join``).
     """
@@ -119,9 +127,9 @@ def build_cache(tables, supplier_id: int = 5, crowded_over: int = CROWDED) -> Da
         "is_price_per_pax",
     )
     board = F.coalesce(F.col("rule_board"), F.col("base_board"))
+    rows = boarded_prices(prices, choices, crowded).filter(takes_board()).drop("slot", "key_rate", "rule_rate", "rule_lo", "rule_hi", "id")
     return (
-        boarded_prices(prices, choices, crowded)
-        .filter(takes_board())
+        (rows.hint("rebalance", "country_code", "city_code") if by_city else rows)
         .select(
             "file_id",
             md5_key(F.col("contract_name"), F.col("contract_number").cast("string"), F.col("room_type"),

@@ -104,7 +104,7 @@ def _written_cache(t) -> DataFrame:
     """The cache as it is used: written by country and city, read back with its declared schema."""
     spark = t.table("cnct").sparkSession
     path = f"{stored_root(spark)}/cache-{uuid.uuid4().hex}"
-    write_cache(cache_ops.build_cache(t), path)
+    write_cache(cache_ops.build_cache(t, by_city=True), path, by_city=True)
     return read_cache(spark, path)
 
 

@@ -14,13 +14,14 @@ from tariffloom.schemas import CACHE
 from tariffloom.session import checkpoint_dir
 
 
-def write_cache(df: DataFrame, path: str) -> None:
+def write_cache(df: DataFrame, path: str, by_city: bool = False) -> None:
     """Price cache as Parquet, laid out for the search filters: country and city prune directories.
 
-    Rebalancing sizes the files at run time: small cities share a task, a city with a third of the rows is split.
+    Rebalancing sizes the files at run time: small cities share a task, a city with a third of the rows is split. Rows that ``build_cache`` has
+    dealt ``by_city`` are not dealt again.
     """
     (
-        df.hint("rebalance", "country_code", "city_code")
+        (df if by_city else df.hint("rebalance", "country_code", "city_code"))
         .sortWithinPartitions("country_code", "city_code", "file_id", "lo")
         .write.mode("overwrite")
         .partitionBy("country_code", "city_code")

@@ -81,6 +81,22 @@ def test_a_crowded_room_does_not_build_the_product(spark):
     joined.unpersist()
 
 
+def test_a_price_row_is_sent_once_and_meets_the_rules_of_its_rate(spark):
+    """Own board and rules in one slot: rates that share a bucket, without a rate, blank, '0'; plain and in bins alike."""
+    t, rng = OneRoom(spark, 0, 0), random.Random(2)
+    span = lambda: (lambda d: (date(d), date(d + rng.choice([0, 20, 90]))))(rng.randint(0, 300))
+    p = [("f", "r", "a", i, *span(), rng.choice([None, "", "0", *map(str, range(1, 13))]), rng.choice([None, "", "0", "3", "7"]), "BB", 10.0, "N") for i in range(150)]
+    r = [("f", rng.choice(["r", "", None]), "a", i, "HB", 1.0, None, "N", rng.choice([None, *range(13)]), *span(), None, None) for i in range(150)]
+    cnct, cnsr = spark.createDataFrame(p, t.cnct.schema), spark.createDataFrame(r, t.cnsr.schema)
+    assert cache_ops.sent_prices(cnct, []).count() == len(p)
+    rate = lambda x: (x[6] or None) if x[6] is not None else (x[7] if x[7] not in ("", "0") else None)
+    want = sorted([(x[3], None) for x in p] + [
+        (x[3], y[9]) for x in p for y in r if y[8] is not None and rate(x) == str(y[8]) and max(x[4], y[9]) < min(x[5], y[10])], key=str)
+    for crowded in ([], cache_ops.crowded_buckets(cnsr, 0)):
+        joined = cache_ops.boarded_prices(cnct, cache_ops.board_choices(t.rooms, cnsr, crowded), crowded)
+        assert sorted(((x.id, x.rule_lo) for x in joined.filter(cache_ops.takes_board()).collect()), key=str) == want
+
+
 STAY = Stay(dt.date(2018, 8, 20), dt.date(2018, 8, 26), (30, 30), dt.date(2018, 8, 1))
 
 
